@@ -123,7 +123,7 @@ def upsert_partitions(
     overwrite replaces.
     """
     spark = new.sparkSession
-    existing = spark.read.parquet(path)
+    existing = spark.read.schema(new.schema).parquet(path)
     touched = new.select(*partitions).distinct()
     affected = existing.join(touched, list(partitions), "left_semi")
     merged = materialise(upsert(affected, new, keys, recency), "upsert")
@@ -141,7 +141,7 @@ def full_reload(existing: DataFrame, new: DataFrame, symbol: str = "symbol") ->
 def reload_partitions(new: DataFrame, path: str, partitions: Sequence[str], symbol: str = "symbol") -> None:
     """Full reload of the batch's symbols on a table partitioned by symbol."""
     spark = new.sparkSession
-    existing = spark.read.parquet(path).join(new.select(symbol).distinct(), symbol, "left_semi")
+    existing = spark.read.schema(new.schema).parquet(path).join(new.select(symbol).distinct(), symbol, "left_semi")
     empty = existing.select(*partitions).distinct()
     # found before the overwrite, which replaces the files this scan reads
     stale = materialise(new_rows(empty, new.select(*partitions).distinct(), list(partitions)), "stale")

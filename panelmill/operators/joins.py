@@ -24,8 +24,9 @@ def asof_by_day(left: DataFrame, right: DataFrame, values: Sequence[str], on: st
 
     Each context row is spread over the days it stays valid, which turns the as-of join into a broadcast
     equi-join: the left side is neither shuffled nor sorted. Days after the last context row look it up
-    under its own date.
+    under its own date. The day-level context is cached: it is small, and read here twice.
     """
+    right = right.select(on, *values).persist()
     carried = F.struct(F.col(on), *values)
     spread = right.select(
         F.col(on).alias("_from"), carried.alias(out),

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from panelmill.functions.columns import DATE_NAMES, require_column, to_day
+from panelmill.sources.schemas import CANDLES
 
 PATH_NOT_FOUND = "PATH_NOT_FOUND"
 
@@ -47,17 +47,15 @@ def read_if_exists(
     spark: SparkSession, path: str, schema: StructType, columns: Sequence[str] | None = None,
     where: Column | None = None,
 ) -> DataFrame:
-    """Pruned and filtered scan; a missing table is an empty frame with the asked columns."""
+    """Pruned and filtered scan; a missing table is an empty frame with the asked columns.
+
+    The schema is given, not inferred: inference reads the partition folder ``interval=1d`` as the
+    number 1.0.
+    """
     try:
-        df = spark.read.parquet(path)
-        for field in schema.fields:
-            if field.name not in df.columns:
-                df = df.withColumn(field.name, F.lit(None).cast(field.dataType))
-        df = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    except (AnalysisException, Py4JJavaError) as error:
-        if isinstance(error, AnalysisException) and error.getCondition() not in (
-            PATH_NOT_FOUND, "UNABLE_TO_INFER_SCHEMA",
-        ):
+        df = spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != PATH_NOT_FOUND:
             raise
         df = spark.createDataFrame([], schema)
     if where is not None:
@@ -67,10 +65,10 @@ def read_if_exists(
 
 def read_candles(
     spark: SparkSession, path: str, interval: str, symbols: Sequence[str] | None = None,
-    require_rows: bool = False,
+    schema: StructType = CANDLES, require_rows: bool = False,
 ) -> DataFrame:
     """One interval of the partitioned candle table as a panel; the filters prune partitions."""
-    df = spark.read.parquet(path).where(F.col("interval") == interval)
+    df = spark.read.schema(schema).parquet(path).where(F.col("interval") == interval)
     if symbols is not None:
         df = df.where(F.col("symbol").isin(list(symbols)))
     if require_rows and df.isEmpty():

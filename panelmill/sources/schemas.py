@@ -2,29 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
+)
+
+_TYPES = {
+    "string": StringType(), "int": IntegerType(), "bigint": LongType(), "double": DoubleType(),
+    "boolean": BooleanType(), "timestamp": TimestampType(),
+}
+
+
+def _schema(text: str) -> StructType:
+    """Schema from ``name type, name type``; unlike ``fromDDL`` this needs no running session."""
+    return StructType([StructField(n, _TYPES[t]) for n, t in (item.split() for item in text.split(","))])
 
-INSTRUMENTS = StructType.fromDDL(
+INSTRUMENTS = _schema(
     "symbol string, ticker string, instrument_id string, figi string, class_code string, exchange string, "
     "currency string, lot int, min_price_increment double, name string, first_1day_candle_date timestamp, "
     "first_1min_candle_date timestamp, loaded_at timestamp"
 )
-CANDLES = StructType.fromDDL(
+CANDLES = _schema(
     "symbol string, ticker string, figi string, instrument_id string, interval string, ts timestamp, "
     "open double, high double, low double, close double, volume bigint, year int"
 )
-DIVIDENDS = StructType.fromDDL(
+DIVIDENDS = _schema(
     "symbol string, ticker string, figi string, instrument_id string, currency string, last_buy_date timestamp, "
     "record_date timestamp, payment_date timestamp, declared_date timestamp, created_at timestamp, "
     "dividend_net double, close_price double, yield_value double, regularity string, dividend_type string"
 )
-SCHEDULES = StructType.fromDDL(
+SCHEDULES = _schema(
     "exchange string, date timestamp, is_trading_day boolean, start_time timestamp, end_time timestamp, "
     "opening_auction_start_time timestamp, opening_auction_end_time timestamp, "
     "closing_auction_start_time timestamp, closing_auction_end_time timestamp, "
     "evening_start_time timestamp, evening_end_time timestamp"
 )
-STATUSES = StructType.fromDDL(
+STATUSES = _schema(
     "symbol string, instrument_id string, figi string, trading_status string, "
     "limit_order_available_flag boolean, market_order_available_flag boolean, "
     "api_trade_available_flag boolean, bestprice_order_available_flag boolean, only_best_price boolean, "
