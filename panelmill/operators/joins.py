@@ -113,10 +113,3 @@ def join_context_closes(main: DataFrame, contexts: dict[str, DataFrame], keys: S
     for name, ctx in contexts.items():
         out = out.join(by_day(ctx.select("date", F.col("close").alias(name))), "date", "left")
     return out
-
-
-def expand(df: DataFrame, name: str, values: Sequence[float]) -> DataFrame:
-    """One copy of each row per grid value. The grid is a literal, so this is a projection, not a join."""
-    return df.withColumn(name, F.explode(F.array(*[F.lit(float(v)) for v in values])))
-
-

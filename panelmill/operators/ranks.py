@@ -97,24 +97,32 @@ def _order_statistic(values: DataFrame, k: int, n: int, limit: int) -> float:
         else:
             passed = less + at_lo + inner + at_hi
             band, below, size = band.where(v > hi), below + passed, size - passed
-    counted = band.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
+    return _sorted_positions(band, [k - below])[k - below]
+
+
+def _sorted_positions(values: DataFrame, ks: Sequence[int]) -> dict[int, float]:
+    """Values at 0-based positions of a column small enough to order in one task."""
+    counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
     upto = counted.select("v", F.sum("c").over(Window.orderBy("v")).alias("upto"))
-    return upto.where(F.col("upto") > k - below).agg(F.min("v")).head()[0]
+    found = upto.agg(*[F.min(F.when(F.col("upto") > k, F.col("v"))) for k in ks]).head()
+    return dict(zip(ks, found))
 
 
 def exact_quantiles(df: DataFrame, col: Column, probs: Sequence[float], limit: int = 1_000_000) -> list[float]:
     """Linear-interpolation quantiles of a whole column, without gathering it in one task."""
-    values = df.select(col.cast("double").alias("v")).where(F.col("v").isNotNull())
-    n = values.count()
-    if n == 0:
-        return [0.0 for _ in probs]
-    known: dict[int, float] = {}
-    out = []
-    for p in probs:
-        h = (n - 1) * p
-        lo, hi = math.floor(h), math.ceil(h)
-        for k in (lo, hi):
-            if k not in known:
-                known[k] = _order_statistic(values, k, n, limit)
-        out.append(known[lo] + (known[hi] - known[lo]) * (h - lo))
-    return out
+    values = df.select(col.cast("double").alias("v")).where(F.col("v").isNotNull()).persist()
+    try:
+        n = values.count()
+        if n == 0:
+            return [0.0 for _ in probs]
+        spots = [(n - 1) * p for p in probs]
+        ks = sorted({k for h in spots for k in (math.floor(h), math.ceil(h))})
+        if n <= limit:
+            known = _sorted_positions(values, ks)
+        else:
+            known = {k: _order_statistic(values, k, n, limit) for k in ks}
+    finally:
+        values.unpersist()
+    low = [known[math.floor(h)] for h in spots]
+    high = [known[math.ceil(h)] for h in spots]
+    return [a + (b - a) * (h - math.floor(h)) for h, a, b in zip(spots, low, high)]

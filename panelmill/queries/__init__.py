@@ -1,4 +1,4 @@
-from panelmill.queries import features, ingest  # noqa: F401
+from panelmill.queries import features, ingest, evaluate  # noqa: F401
 from panelmill.queries.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

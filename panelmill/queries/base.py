@@ -34,6 +34,10 @@ def q6(expr: str) -> str:
     return f"floor(({expr})*1000000+0.5)/1000000"
 
 
+def q10(expr: str) -> str:
+    return f"floor(({expr})*10000000000+0.5)/10000000000"
+
+
 def q4(expr: str) -> str:
     return f"floor(({expr})*10000+0.5)/10000"
 
@@ -100,11 +104,11 @@ RETURNS = f"""rets as (
 PREDS = f"""{BARS},
 {RETURNS},
 sig as (
-  select series, date, {q6('ln(next_ratio)')} as y, cast(coalesce(next_ratio > 1, false) as int) as y_dir,
-         {q6(roll('avg', 'ret_1', 5))} as pred, {q6(roll('stddev_samp', 'ret_1', 20))} as spread from rets),
+  select series, date, {q10('ln(next_ratio) / 100')} as y, cast(coalesce(next_ratio > 1, false) as int) as y_dir,
+         {q10(roll('avg', 'ret_1', 5) + ' / 100')} as pred, {q10(roll('stddev_samp', 'ret_1', 20) + ' / 200')} as half from rets),
 preds as (
-  select series, date, y, y_dir, pred, {q6('pred - spread / 2')} as q_low, {q6('pred + spread / 2')} as q_high
-  from sig where y is not null and pred is not null and spread is not null)"""
+  select series, date, y, y_dir, pred, pred - half as q_low, pred + half as q_high
+  from sig where y is not null and pred is not null and half is not null)"""
 
 
 def features_sql(source: str, prefix: str, key: str = "") -> str:

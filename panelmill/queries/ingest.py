@@ -43,7 +43,8 @@ def _clean(text: str) -> str:
     return _NUM.replace("v)", f"try_cast({text} as double))").replace("then v", f"then try_cast({text} as double)")
 
 
-@query("coerce_columns", with_(BARS, """dirty as (
+def dirty_sql() -> str:
+    return """dirty as (
   select series, 1 as seq, cast(date as varchar) as d, cast(open as varchar) as o, cast(high as varchar) as h,
          cast(low as varchar) as l, cast(close as varchar) as c, cast(volume as varchar) as v from bars
   union all
@@ -52,7 +53,10 @@ def _clean(text: str) -> str:
          cast(case when day(date) = 2 then low - 1 else high end as varchar),
          case when day(date) = 3 then 'n/a' else cast(low as varchar) end,
          case when day(date) = 4 then '-1.0' else cast(close as varchar) end,
-         case day(date) when 5 then '0' when 6 then '-3' else cast(volume + 1 as varchar) end from bars)""")
+         case day(date) when 5 then '0' when 6 then '-3' else cast(volume + 1 as varchar) end from bars)"""
+
+
+@query("coerce_columns", with_(BARS, dirty_sql())
   + f"""select series, try_cast(d as date) as date, {_clean('o')} as open, {_clean('h')} as high, {_clean('l')} as low,
   {_clean('c')} as close, {_clean('v')} as volume from dirty where try_cast(d as date) is not null
   qualify row_number() over (partition by series, try_cast(d as date) order by seq desc) = 1""")

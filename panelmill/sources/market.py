@@ -124,12 +124,19 @@ def dirty_bars(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def predictions(spark: SparkSession, folder: str) -> DataFrame:
-    """Model-free predictions: five-day momentum for the next log return, with an interval around it."""
+    """Model-free predictions: five-day momentum for the next log return, with an interval around it.
+
+    The sample prices jump by a factor of two and more a day. Everything is divided by 100, so that
+    returns are of the size a daily strategy sees and compound to finite equity.
+    """
     from panelmill.operators import features as X
 
     df = X.make_target(X.add_rolling_returns(X.add_returns(bars(spark, folder), KEYS), KEYS), KEYS)
-    pred, spread = quantise(F.col("momentum_5"), 6), quantise(F.col("volatility_20"), 6)
-    return df.select(
-        "series", "date", quantise(F.col("y"), 6).alias("y"), "y_dir", pred.alias("pred"),
-        quantise(pred - spread / 2, 6).alias("q_low"), quantise(pred + spread / 2, 6).alias("q_high"),
+    df = df.select(
+        "series", "date", quantise(F.col("y") / 100, 10).alias("y"), "y_dir",
+        quantise(F.col("momentum_5") / 100, 10).alias("pred"), quantise(F.col("volatility_20") / 200, 10).alias("half"),
     ).dropna()
+    return df.select(
+        "series", "date", "y", "y_dir", "pred",
+        (F.col("pred") - F.col("half")).alias("q_low"), (F.col("pred") + F.col("half")).alias("q_high"),
+    )
