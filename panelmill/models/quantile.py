@@ -1,0 +1,110 @@
+"""Quantile boosting: Spark trees on pinball gradients, leaf values renewed to residual quantiles."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
+from pyspark.sql import Column, DataFrame, functions as F
+
+from panelmill.session import materialise
+from panelmill.sources.writers import load_json, save_json
+
+ACCURACY = 10_000  # rank error of a leaf quantile is at most 1 / ACCURACY of the leaf
+
+
+def pinball(residual: Column, alpha: float) -> Column:
+    return F.when(residual >= 0, alpha * residual).otherwise((alpha - 1.0) * residual)
+
+
+def _leaf_value(values: Mapping[int, float]) -> Column:
+    """Value of a leaf; the table is a literal of at most 2^depth entries."""
+    table = F.create_map(*[F.lit(x) for pair in sorted(values.items()) for x in pair])
+    return F.coalesce(F.try_element_at(table, F.col("_leaf").cast("int")), F.lit(0.0))
+
+
+def _add_step(df: DataFrame, tree: DecisionTreeRegressionModel, values: Mapping[int, float], rate: float, score: str) -> DataFrame:
+    leaves = tree.transform(df)
+    step = _leaf_value({int(k): float(v) for k, v in values.items()}) * rate
+    return leaves.withColumn(score, F.col(score) + step).drop("_leaf", "_tree")
+
+
+@dataclass
+class QuantileGBTModel:
+    alpha: float
+    start: float
+    rate: float
+    trees: list[DecisionTreeRegressionModel] = field(default_factory=list)
+    values: list[dict[int, float]] = field(default_factory=list)
+
+    def transform(self, df: DataFrame, out: str) -> DataFrame:
+        df = df.withColumn(out, F.lit(self.start))
+        for tree, values in zip(self.trees, self.values):
+            df = _add_step(df, tree, values, self.rate, out)
+        return df
+
+    def save(self, spark, folder: str) -> None:
+        for i, tree in enumerate(self.trees):
+            tree.write().overwrite().save(f"{folder}/tree-{i}")
+        head = {"alpha": self.alpha, "start": self.start, "rate": self.rate, "values": self.values}
+        save_json(spark, head, f"{folder}/head")
+
+    @classmethod
+    def load(cls, spark, folder: str) -> QuantileGBTModel:
+        head = load_json(spark, f"{folder}/head")
+        values = [{int(k): v for k, v in item.items()} for item in head["values"]]
+        trees = [DecisionTreeRegressionModel.load(f"{folder}/tree-{i}") for i in range(len(values))]
+        return cls(head["alpha"], head["start"], head["rate"], trees, values)
+
+
+@dataclass
+class QuantileGBT:
+    """Boosted trees for one quantile ``alpha`` of the target."""
+
+    alpha: float
+    rounds: int = 2500
+    rate: float = 0.02
+    depth: int = 6
+    min_rows: int = 30
+    patience: int = 120
+    cut_every: int = 5
+    seed: int = 42
+
+    def fit(self, df: DataFrame, target: str = "y", validation: str | None = "is_val") -> QuantileGBTModel:
+        """``df`` has a ``features`` vector; rows flagged by ``validation`` only decide when to stop."""
+        held = F.col(validation) if validation else F.lit(False)
+        rows = df.select("features", F.col(target).cast("double").alias("_y"), held.alias("_held"))
+        train = rows.where(~F.col("_held"))
+        start = train.agg(F.percentile_approx("_y", F.lit(self.alpha), ACCURACY)).head()[0]
+        model = QuantileGBTModel(self.alpha, float(start), self.rate)
+        rows = materialise(rows.withColumn("_score", F.lit(model.start)), "quantile")
+        best, best_rounds = None, 0
+        for i in range(self.rounds):
+            residual = F.col("_y") - F.col("_score")
+            step = rows.withColumn("_grad", F.when(residual > 0, self.alpha).otherwise(self.alpha - 1.0))
+            tree = DecisionTreeRegressor(
+                featuresCol="features", labelCol="_grad", predictionCol="_tree", leafCol="_leaf", maxDepth=self.depth,
+                minInstancesPerNode=self.min_rows, seed=self.seed + i,
+            ).fit(step.where(~F.col("_held")))
+            # leaves can hold any share of the rows, so their quantile is a mergeable sketch
+            leaf = tree.transform(rows.where(~F.col("_held"))).groupBy(F.col("_leaf").cast("int").alias("leaf")).agg(
+                F.percentile_approx(residual, F.lit(self.alpha), ACCURACY).alias("value")
+            )
+            values = {r["leaf"]: float(r["value"]) for r in leaf.collect()}  # at most 2^depth rows
+            model.trees.append(tree)
+            model.values.append(values)
+            rows = _add_step(rows, tree, values, self.rate, "_score")
+            if (i + 1) % self.cut_every == 0:
+                rows = materialise(rows, "quantile")
+                if validation:
+                    loss = rows.where("_held").agg(F.avg(pinball(residual, self.alpha))).head()[0]
+                    if loss is not None and (best is None or loss < best):
+                        best, best_rounds = loss, i + 1
+                    elif best is not None and i + 1 - best_rounds >= self.patience:
+                        break
+        if best_rounds:
+            del model.trees[best_rounds:], model.values[best_rounds:]
+        return model
+
+

@@ -48,7 +48,7 @@ def direction_metrics(df: DataFrame, keys: Sequence[str], y: str = "y_dir", pred
     seen = sum(r.isNotNull().cast("int") for r in recalls)
     return df.groupBy(*keys).agg(
         F.avg(hit).alias("accuracy"),
-        (sum(F.coalesce(r, F.lit(0.0)) for r in recalls) / seen).alias("balanced_accuracy"),
+        F.try_divide(sum(F.coalesce(r, F.lit(0.0)) for r in recalls), seen).alias("balanced_accuracy"),
     )
 
 

@@ -41,19 +41,33 @@ def value_ranks(df: DataFrame, keys: Sequence[str], name: str, out: str) -> Data
 
 
 def guarded_corr(x: str, y: str) -> Column:
-    """Pearson correlation; 0 when either side is constant or the result is not finite."""
-    r = F.corr(x, y)
-    flat = (F.stddev_pop(x) < FLAT) | (F.stddev_pop(y) < FLAT)
-    return F.when(flat | r.isNull() | F.isnan(r), 0.0).otherwise(r)
+    """Pearson correlation of complete pairs; 0 when either side is constant or the result is not finite.
 
+    Written as covariance over deviations because ``corr`` fails on a constant column in ANSI mode.
+    """
+    both = F.col(x).isNotNull() & F.col(y).isNotNull()
+    sx, sy = (F.stddev_pop(F.when(both, F.col(c))) for c in (x, y))
+    r = F.try_divide(F.covar_pop(x, y), sx * sy)
+    return F.when((sx < FLAT) | (sy < FLAT) | r.isNull() | F.isnan(r), 0.0).otherwise(F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
 
-def rank_correlation(df: DataFrame, keys: Sequence[str], x: str, y: str, out: str = "spearman") -> DataFrame:
-    """Spearman correlation per group over complete pairs; a group may hold any share of the rows."""
-    pairs = materialise(df.select(*keys, x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull()), "pairs")
-    ranked = pairs.join(value_ranks(pairs, keys, x, "_rx"), [*keys, x]).join(
-        value_ranks(pairs, keys, y, "_ry"), [*keys, y]
-    )
-    return ranked.groupBy(*keys).agg(guarded_corr("_rx", "_ry").alias(out))
+
+def rank_correlation(
+    df: DataFrame, keys: Sequence[str], x: str, y: str, out: str = "spearman", stored: bool = False,
+) -> DataFrame:
+    """Spearman correlation per group over complete pairs; a group may hold any share of the rows.
+
+    The pairs are read several times, so they are written out first unless ``df`` is ``stored`` already.
+    """
+    pairs = df.select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
+    pairs = pairs.where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+    if not stored:
+        pairs = materialise(pairs, "pairs")
+    sides = F.array(*[F.struct(F.lit(c).alias("_side"), F.col(c).alias("_v")) for c in ("_x", "_y")])
+    ranks = value_ranks(pairs.select(*keys, F.explode(sides).alias("s")).select(*keys, "s.*"), [*keys, "_side"], "_v", "_r")
+    for c in ("_x", "_y"):
+        side = ranks.where(F.col("_side") == c).select(*keys, F.col("_v").alias(c), F.col("_r").alias(f"{c}_rank"))
+        pairs = pairs.join(side, [*keys, c])
+    return pairs.groupBy(*keys).agg(guarded_corr("_x_rank", "_y_rank").alias(out))
 
 
 def top_correlations(df: DataFrame, target: str, features: Sequence[str], top_n: int = 20) -> DataFrame:
@@ -62,11 +76,10 @@ def top_correlations(df: DataFrame, target: str, features: Sequence[str], top_n:
         F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in features
     ]))
     long = df.select(F.col(target).cast("double").alias("y"), stacked.alias("f")).select("f.feature", "f.x", "y")
-    long = materialise(long.where(F.col("x").isNotNull()), "features")
-    varied = long.groupBy("feature").agg((F.min("x") < F.max("x")).alias("varied")).where("varied").select("feature")
-    target_varies = df.agg((F.min(target) < F.max(target)).alias("v")).scalar()
-    kept = long.join(varied, "feature", "left_semi").where(target_varies)
-    scored = rank_correlation(kept, ["feature"], "x", "y")
+    long = materialise(long.where("x is not null and y is not null"), "features")
+    varied = long.groupBy("feature").agg(F.min("x").alias("a"), F.max("x").alias("b"), F.min("y").alias("c"), F.max("y").alias("d"))
+    varied = varied.where("a < b and c < d").select("feature")
+    scored = rank_correlation(long.join(F.broadcast(varied), "feature", "left_semi"), ["feature"], "x", "y", stored=True)
     return scored.orderBy(F.abs("spearman").desc(), "feature").limit(top_n)
 
 
