@@ -1,8 +1,8 @@
-from panelmill.models.linear import fit_logistic, fit_ridge, signed_score
+from panelmill.models.linear import add_direction, fit_logistic, fit_ridge
 from panelmill.models.quantile import QuantileGBT, QuantileGBTModel
 from panelmill.models.trees import candidate_grid, feature_importance, fit_candidates, prepare_vectors
 
 __all__ = [
     "QuantileGBT", "QuantileGBTModel", "candidate_grid", "feature_importance", "fit_candidates", "fit_logistic",
-    "fit_ridge", "prepare_vectors", "signed_score",
+    "add_direction", "fit_ridge", "prepare_vectors",
 ]

@@ -14,7 +14,7 @@ from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
 from panelmill.functions.columns import feature_columns
-from panelmill.models.linear import fit_logistic, fit_ridge, signed_score
+from panelmill.models.linear import add_direction, fit_logistic, fit_ridge
 from panelmill.models.quantile import QuantileGBT, QuantileGBTModel
 from panelmill.models.trees import PATIENCE, ROUNDS, candidate_grid, fit_candidates, prepare_vectors
 from panelmill.operators import metrics as E
@@ -203,9 +203,7 @@ def run_split(df: DataFrame, keys: Sequence[str], cfg: TrainConfig, features: Se
 
 def score_rows(df: DataFrame, models: Mapping[str, object], features: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Predictions of every model in one pass."""
-    out = models["logreg"].transform(df).withColumn("pred_logreg_score", signed_score())
-    out = out.withColumn("pred_logreg_dir", F.col("pred_logreg_dir").cast("int"))
-    out = out.drop("raw_features", "scaled_features", "logreg_raw", "logreg_probability")
+    out = add_direction(models["logreg"].transform(df)).drop("raw_features", "scaled_features")
     out = models["ridge"].transform(out).drop("raw_features", "scaled_features")
     out = models["main"].transform(prepare_vectors(out, features)).withColumnRenamed("pred", "pred_main_raw")
     out = models["quantile_lower"].transform(out, "pred_quantile_lower")
@@ -333,7 +331,10 @@ def latest_signal(df: DataFrame, folder: str, model: str = "main") -> DataFrame:
         scored = fitted.transform(prepare_vectors(rows, features)).withColumnRenamed("pred", "prediction_raw")
     else:
         scored = PipelineModel.load(f"{folder}/models/{model}").transform(rows)
-        scored = scored.withColumn("prediction_raw", signed_score() if model == "logreg" else F.col("pred_ridge"))
+        if model == "logreg":
+            scored = add_direction(scored).withColumnRenamed("pred_logreg_score", "prediction_raw")
+        else:
+            scored = scored.withColumnRenamed("pred_ridge", "prediction_raw")
     return signal_rows(scored.join(series, keys), keys)
 
 

@@ -1,4 +1,4 @@
-from panelmill.queries import features, ingest, evaluate, modelling  # noqa: F401
+from panelmill.queries import features, ingest, evaluate, modelling, streams  # noqa: F401
 from panelmill.queries.base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -232,7 +232,7 @@ def mfi(spark, folder):
     return six(X.add_mfi(M.bars(spark, folder), K).select("series", "date", "mfi_14"))
 
 
-_INTRADAY = with_(BARS_5M, """r as (select *, cast(ts as date) as date, close / nullif(lag(close) over
+INTRADAY = with_(BARS_5M, """r as (select *, cast(ts as date) as date, close / nullif(lag(close) over
   (partition by series, cast(ts as date) order by ts), 0) - 1 as ret from bars_5m)""") + f"""select series, date,
   {q6('sum(close * volume) / nullif(sum(volume), 0)')} as daily_vwap, {q6('max(high) - min(low)')} as intraday_range,
   {q6('stddev_samp(ret)')} as intraday_vol,
@@ -240,6 +240,6 @@ _INTRADAY = with_(BARS_5M, """r as (select *, cast(ts as date) as date, close /
   from r group by series, date"""
 
 
-@query("intraday_rollup", _INTRADAY)
+@query("intraday_rollup", INTRADAY)
 def intraday_rollup(spark, folder):
     return six(X.intraday_rollup(M.bars_5m(spark, folder), K))
