@@ -64,7 +64,7 @@ def prepare_calendar(df: DataFrame, keys: Sequence[str] = (), recency: Sequence[
 
 
 def prepare_dividends(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Dividend amount and flag per day; a missing amount counts 0 and a zero amount counts 1."""
+    """Dividend amount and flag per day; a missing or zero amount counts 1."""
     day = to_day(df, require_column(df, DIVIDEND_DATE_NAMES, "dividend date"))
     amount_name = find_column(df, AMOUNT_NAMES)
     if amount_name is None:
