@@ -71,15 +71,30 @@ def rank_correlation(
 
 
 def top_correlations(df: DataFrame, target: str, features: Sequence[str], top_n: int = 20) -> DataFrame:
-    """Features by absolute Spearman correlation with the target; constant features are left out."""
-    stacked = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in features
-    ]))
-    long = df.select(F.col(target).cast("double").alias("y"), stacked.alias("f")).select("f.feature", "f.x", "y")
-    long = materialise(long.where("x is not null and y is not null"), "features")
-    varied = long.groupBy("feature").agg(F.min("x").alias("a"), F.max("x").alias("b"), F.min("y").alias("c"), F.max("y").alias("d"))
-    varied = varied.where("a < b and c < d").select("feature")
-    scored = rank_correlation(long.join(F.broadcast(varied), "feature", "left_semi"), ["feature"], "x", "y", stored=True)
+    """Features by absolute Spearman correlation with the target; constant features are left out.
+
+    Pass a stored table: it is read once for the column statistics and again for the ranks. Where no
+    value is missing, the target is ranked once instead of once per feature.
+    """
+    cols = [target, *features]
+    stats = df.agg(
+        F.count(F.lit(1)).alias("n"), *[F.count(c).alias(f"n{i}") for i, c in enumerate(cols)],
+        *[(F.min(c) < F.max(c)).alias(f"v{i}") for i, c in enumerate(cols)],
+    ).head()
+    varied = [c for i, c in enumerate(cols) if stats[f"v{i}"] and i > 0 and stats["v0"]]
+    if not varied:
+        return df.sparkSession.createDataFrame([], "feature string, spearman double")
+    base = df.select(F.col(target).cast("double").alias("y"), *[F.col(c).cast("double").alias(c) for c in varied])
+    stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("x")) for c in varied])).alias("f")
+    complete = all(stats[f"n{i}"] == stats["n"] for i, c in enumerate(cols) if c == target or c in varied)
+    if complete:
+        ranked = base.join(value_ranks(base, [], "y", "ry"), "y")
+        long = ranked.select("ry", stacked).select("f.*", "ry")
+        ranks = value_ranks(base.select(stacked).select("f.*"), ["feature"], "x", "rx")
+        scored = long.join(ranks, ["feature", "x"]).groupBy("feature").agg(guarded_corr("rx", "ry").alias("spearman"))
+    else:
+        long = base.select("y", stacked).select("f.*", "y").where("x is not null and y is not null")
+        scored = rank_correlation(long, ["feature"], "x", "y")
     return scored.orderBy(F.abs("spearman").desc(), "feature").limit(top_n)
 
 

@@ -33,8 +33,9 @@ def time_split(
     """Add ``split`` = train / val / test.
 
     By default the panel is cut at two dates, so no date is on both sides. They are a one-row scalar
-    subquery: the panel itself is neither shuffled nor joined. ``per_key`` cuts each series by its own
-    row positions instead.
+    subquery: the panel itself is neither shuffled nor joined. The subquery reads the ``date`` column of
+    ``df``, so pass a stored table and not a long unfinished plan. ``per_key`` cuts each series by its
+    own row positions instead.
     """
     check_ratios(ratios)
     n = F.col("n")

@@ -288,7 +288,7 @@ def train_and_evaluate(df: DataFrame, keys: Sequence[str], cfg: TrainConfig = Tr
     """Main split, optional walk-forward run, and the saved models and tables when ``folder`` is given."""
     cfg.check()
     keys = list(keys)
-    data = materialise(P.time_split(df, ratios=cfg.ratios), "dataset")
+    data = P.time_split(materialise(df, "dataset"), ratios=cfg.ratios)
     features = feature_columns(data, keys)
     run = run_split(data, keys, cfg, features)
     folds = summary = None

@@ -14,6 +14,7 @@ from panelmill.operators import splits as P
 from panelmill.operators import tuning as T
 from panelmill.queries.base import BARS, CTX_A, CTX_B, PREDS, RETURNS, over, q6, query, roll, six, with_
 from panelmill.queries.ingest import dirty_sql
+from panelmill.session import materialise
 from panelmill.sources import market as M
 
 K = M.KEYS
@@ -27,8 +28,13 @@ dsplit as (select date, case when idx < te then 'train' when idx < ve then 'val'
 sp as (select p.*, split from preds p join dsplit using (date))"""
 
 
+def stored_preds(spark, folder):
+    """The predictions as a table: what reads them more than once should not compute them again."""
+    return materialise(preds(spark, folder), "predictions")
+
+
 def split_preds(spark, folder):
-    return P.time_split(preds(spark, folder))
+    return P.time_split(stored_preds(spark, folder))
 
 
 @query("time_split", with_(PREDS, CUTS) + "select series, date, split from sp")
@@ -62,7 +68,7 @@ fd as (select cast(f + 1 as int) as fold, date, case when idx >= f * {roll} * st
 
 
 def _folds(spark, folder, expanding):
-    df = preds(spark, folder)
+    df = stored_preds(spark, folder)
     n = df.select("date").distinct().count()
     return P.walk_forward(df, P.layout_for(n, 4, 0.70, 0.15, 0.15), expanding)
 
@@ -178,12 +184,12 @@ def _hist_sql(source, col, bins=60):
 
 @query("histogram60", with_(PREDS) + _hist_sql("preds", "y"))
 def histogram60(spark, folder):
-    return six(E.histogram(preds(spark, folder), "y"))
+    return six(E.histogram(stored_preds(spark, folder), "y"))
 
 
 @query("residual_histogram", with_(PREDS, "res as (select y - pred as residual from preds)") + _hist_sql("res", "residual"))
 def residual_histogram(spark, folder):
-    return six(H.residual_histogram(preds(spark, folder)))
+    return six(H.residual_histogram(stored_preds(spark, folder)))
 
 
 _BY_YEAR = """by_year as (select year(date) as fold, avg(y) as y_mean, stddev_pop(y) as y_std, cast(count(*) as double) as rows_used,
@@ -214,7 +220,7 @@ def walk_forward_metric(spark, folder):
   {q6('quantile_cont(y, 0.01)')} as p01, {q6('quantile_cont(y, 0.99)')} as p99, {q6('avg(cast(y > 0 as int))')} as positive_rate,
   {q6('avg(cast(y_dir > 0 as int))')} as y_dir_positive_rate from preds""")
 def target_stats(spark, folder):
-    return six(E.target_stats(preds(spark, folder)))
+    return six(E.target_stats(stored_preds(spark, folder)))
 
 
 _CORR_FEATURES = ["ret_1", "momentum_5", "volatility_20", "log_volume", "day_of_week", "hl_range", "dividend_flag_t"]
@@ -230,6 +236,7 @@ _CORR_FEATURES = ["ret_1", "momentum_5", "volatility_20", "log_volume", "day_of_
   + f"select feature, {q6('corr(rx, ry)')} as spearman from r group by feature having min(x) < max(x) order by abs(corr(rx, ry)) desc limit 5")
 def top_correlations(spark, folder):
     df = X.make_target(X.make_features(M.bars(spark, folder), K), K).dropna()
+    df = materialise(df, "features")
     return six(R.top_correlations(six(df.select("y", *_CORR_FEATURES)), "y", _CORR_FEATURES, 5))
 
 
@@ -451,10 +458,11 @@ def scale_choice(spark, folder):
 
 
 def _candidates(spark, folder):
-    df = preds(spark, folder)
+    df = stored_preds(spark, folder)
     quality = E.regression_metrics(df, K)
     spread = df.groupBy(*K).agg(F.stddev_pop("pred").alias("val_pred_std"), F.stddev_pop("y").alias("y_std"))
-    strategy = G.strategy_metrics(_curve(spark, folder), K).select("series", "sharpe", "exposure")
+    curve = G.strategy_curve(df, K, G.threshold_signal(F.col("pred"), THR), cost_bps=COST)
+    strategy = G.strategy_metrics(curve, K).select("series", "sharpe", "exposure")
     return quality.join(spread, K).join(strategy, K).select(
         F.col("series").alias("candidate_id"), (F.col("series") % 10).alias("run"), "sharpe", "exposure", "ic_pearson",
         "ic_spearman", F.abs(F.col("ic_pearson") - F.col("ic_spearman")).alias("gap"), "val_pred_std", "y_std",
@@ -480,7 +488,7 @@ def candidate_score(spark, folder):
 @query("candidate_choice", with_(PREDS, CURVE, _CAND) + f"""select candidate_id, run, {q6('score')} as score,
   row_number() over (partition by run order by (ratio >= 0.03 and ps >= greatest(1e-5, 0.001 * ys)) desc, score desc, candidate_id) = 1 as selected from cc""")
 def candidate_choice(spark, folder):
-    table = _candidates(spark, folder)
+    table = materialise(_candidates(spark, folder), "candidates")
     return six(T.select_candidate(table, F.col("y_std"), groups=["run"]).select("candidate_id", "run", "score", "selected"))
 
 

@@ -207,3 +207,20 @@ def test_profiles(spark):
     seq = spark.createDataFrame([(i, (i * 7) % 50) for i in range(50)], "s int, d int")
     want = sum(1 for i in range(1, 50) if (i * 7) % 50 < ((i - 1) * 7) % 50)
     assert Q.is_ordered(seq, "s", "d").first().out_of_order == want
+
+
+@pytest.mark.parametrize("holes", [False, True])
+def test_top_correlations(spark, holes):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame({"y": rng.normal(size=300), "flat": 1.0})
+    pdf["a"] = pdf.y + rng.normal(size=300)
+    pdf["b"] = (-pdf.y * 3).round()
+    pdf["c"] = rng.integers(0, 2, 300)
+    df = spark.createDataFrame(pdf)
+    if holes:
+        pdf.loc[pdf.index % 7 == 0, "a"] = np.nan
+        df = spark.createDataFrame(pdf).withColumn("a", F.nanvl("a", F.lit(None)))
+    got = [(r.feature, r.spearman) for r in R.top_correlations(df, "y", ["flat", "a", "b", "c"], 2).collect()]
+    want = {c: pdf[[c, "y"]].dropna().rank().corr().iloc[0, 1] for c in "abc"}
+    assert [c for c, _ in got] == ["b", "a"]
+    assert dict(got) == pytest.approx({c: want[c] for c in "ba"})
