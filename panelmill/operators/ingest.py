@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from panelmill.session import materialise
+from panelmill.sources.readers import read_if_exists
+from panelmill.sources.writers import replace_partitions
 
 # First plausible history date and the fallback lengths of "max" history, in days.
 MIN_HISTORY = "1990-01-01"
@@ -126,11 +128,7 @@ def upsert_partitions(
     existing = spark.read.schema(new.schema).parquet(path)
     touched = new.select(*partitions).distinct()
     affected = existing.join(touched, list(partitions), "left_semi")
-    merged = materialise(upsert(affected, new, keys, recency), "upsert")
-    (
-        merged.repartition(*partitions).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
-    )
+    replace_partitions(materialise(upsert(affected, new, keys, recency), "upsert"), path, partitions)
 
 
 def full_reload(existing: DataFrame, new: DataFrame, symbol: str = "symbol") -> DataFrame:
@@ -145,10 +143,7 @@ def reload_partitions(new: DataFrame, path: str, partitions: Sequence[str], symb
     empty = existing.select(*partitions).distinct()
     # found before the overwrite, which replaces the files this scan reads
     stale = materialise(new_rows(empty, new.select(*partitions).distinct(), list(partitions)), "stale")
-    (
-        materialise(new, "reload").repartition(*partitions).write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
-    )
+    replace_partitions(materialise(new, "reload"), path, partitions)
     # Partition folders of a reloaded symbol that the new rows do not cover; a list of folder names.
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
     for row in stale.toLocalIterator():
@@ -161,8 +156,6 @@ def ingest_candles(
     keys: Sequence[str] = ("symbol", "interval", "ts"),
 ) -> DataFrame:
     """De-duplicate a landing batch and drop rows already stored; the result is ready to append."""
-    from panelmill.sources.readers import read_if_exists
-
     batch = dedup_last(batch.withColumn("year", F.year("ts")), keys, recency)
     stored = read_if_exists(batch.sparkSession, path, batch.schema, columns=[*dict.fromkeys([*keys, *partitions])])
     stored = stored.join(batch.select(*partitions).distinct(), list(partitions), "left_semi")

@@ -391,9 +391,9 @@ def return_stats(spark, folder):
     return six(E.return_stats(_curve(spark, folder), K))
 
 
-@query("zero_exposure", with_(PREDS) + "select series, count(*) filter (abs(pred) > 0.1) as active_days from preds group by series having count(*) filter (abs(pred) > 0.1) = 0")
+@query("zero_exposure", with_(PREDS) + "select series, count(*) filter (abs(pred) > 0.17) as active_days from preds group by series having count(*) filter (abs(pred) > 0.17) = 0")
 def zero_exposure(spark, folder):
-    return Q.zero_exposure(preds(spark, folder).withColumn("signal", G.threshold_signal(F.col("pred"), 0.1)), K)
+    return Q.zero_exposure(preds(spark, folder).withColumn("signal", G.threshold_signal(F.col("pred"), 0.17)), K)
 
 
 @query("low_signal_warning", with_(PREDS) + f"""select series, {q6('quantile_cont(abs(pred), 0.9)')} as pred_abs_p90,

@@ -156,7 +156,7 @@ def incremental_ingest(spark, folder):
     parts = ["interval", "year"]
     for batch in (_stored(spark, folder), M.late_batch(spark, folder)):
         fresh = I.ingest_candles(candles(batch), path, ["volume"], parts)
-        append_partitions(fresh, path, parts, salt=2)
+        append_partitions(fresh, path, parts)
     return spark.read.parquet(path).select("symbol", "ts", "close", "volume")
 
 

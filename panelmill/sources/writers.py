@@ -33,24 +33,28 @@ def with_symbol_bucket(df: DataFrame, buckets: int) -> DataFrame:
     return df.withColumn("symbol_bucket", F.pmod(F.xxhash64("symbol"), F.lit(buckets)).cast("int"))
 
 
-def append_partitions(
-    df: DataFrame, path: str, partitions: Sequence[str] = CANDLE_PARTITIONS, salt: int = 1,
-    sort: Sequence[str] = ("symbol", "ts"),
-) -> None:
-    """Append to Hive partitions, one file per partition and ``salt`` slice.
+def by_partition(df: DataFrame, partitions: Sequence[str], sort: Sequence[str] = ()) -> DataFrame:
+    """Cluster rows on the partition columns before a partitioned write.
 
-    Rows are clustered on the partition columns so that tasks do not each open every directory. A
-    partition that may hold a large share of the batch is split with ``salt`` > 1.
+    A rebalance keeps each task to few folders and, unlike a plain repartition, splits a partition value
+    that holds a large share of the rows over several tasks.
     """
-    cluster = [F.col(c) for c in partitions]
-    if salt > 1:
-        spread = [c for c in sort if c in df.columns] or df.columns
-        cluster.append(F.pmod(F.xxhash64(*spread), F.lit(salt)))
     inner = [c for c in sort if c in df.columns and c not in partitions]
+    return df.hint("rebalance", *partitions).sortWithinPartitions(*partitions, *inner)
+
+
+def append_partitions(
+    df: DataFrame, path: str, partitions: Sequence[str] = CANDLE_PARTITIONS, sort: Sequence[str] = ("symbol", "ts"),
+) -> None:
+    """Append to Hive partitions."""
+    by_partition(df, partitions, sort).write.mode("append").partitionBy(*partitions).parquet(path)
+
+
+def replace_partitions(df: DataFrame, path: str, partitions: Sequence[str]) -> None:
+    """Overwrite only the partitions that ``df`` has rows for."""
     (
-        df.repartition(*cluster)
-        .sortWithinPartitions(*partitions, *inner)
-        .write.mode("append").partitionBy(*partitions).parquet(path)
+        by_partition(df, partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*partitions).parquet(path)
     )
 
 
