@@ -90,9 +90,24 @@ def resume_points(
     return plan.where(F.col("start") < F.col("end")) if skip_done else plan
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality on every key: two missing values are the same key."""
-    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+def resume_dividends(instruments: DataFrame, marks: DataFrame, end: str, start: str = "max") -> DataFrame:
+    """Where each symbol's dividends continue: a day after the last record date. No symbol is skipped,
+    because announced dividends lie after ``end``. ``marks`` has ``symbol, hwm``."""
+    daily = marks.withColumn("interval", F.lit("1d"))
+    return resume_points(instruments, daily, end, start, ("1d",), skip_done=False).drop("interval")
+
+
+def resume_schedules(instruments: DataFrame, marks: DataFrame, end: str, start: str = "max") -> DataFrame:
+    """Where each exchange's schedule continues: the earliest daily start of any instrument, or a day
+    after the last stored date. ``marks`` has ``exchange, hwm``."""
+    end_ts = F.lit(end).cast("timestamp")
+    first = history_start(start, F.lit("1d"), F.col("first_1day_candle_date"), F.col("first_1min_candle_date"), end_ts)
+    earliest = instruments.agg(F.min(first)).scalar()
+    exchanges = instruments.where("exchange <> ''").select("exchange").distinct()
+    following = F.col("hwm").cast("timestamp") + F.make_dt_interval(F.lit(1))
+    plan = exchanges.join(marks.select("exchange", "hwm"), "exchange", "left")
+    plan = plan.select("exchange", F.greatest(earliest, following).alias("start"), end_ts.alias("end"))
+    return plan.where(F.col("start") < F.col("end"))
 
 
 def new_rows(df: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:

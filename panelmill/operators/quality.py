@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from panelmill.functions.columns import DATE_NAMES, find_column, to_instant, to_number
 from panelmill.operators.ingest import union_all
 from panelmill.operators.metrics import missing_ratio
-from panelmill.operators.ranks import guarded_corr
+from panelmill.operators.ranks import guarded_corr, rank_correlation
 from panelmill.session import materialise
 
 PROFILE_SCHEMA = (
@@ -106,8 +106,10 @@ def zero_exposure(curve: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def prediction_summary(predictions: DataFrame, y: str = "y", pred: str = "pred") -> DataFrame:
-    n = F.count(F.lit(1)).alias("predictions_rows")
-    return predictions.agg(n, guarded_corr(pred, y).alias("pearson"))
+    """Rows and both correlations of a stored prediction table, over all its series together."""
+    spearman = rank_correlation(predictions, [], pred, y).scalar()
+    rows = predictions.agg(F.count(F.lit(1)).alias("predictions_rows"), guarded_corr(pred, y).alias("pearson"))
+    return rows.withColumn("spearman", spearman)
 
 
 def quality_report(tables: dict[str, DataFrame | None], spark) -> dict[str, DataFrame]:

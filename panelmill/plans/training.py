@@ -125,10 +125,24 @@ def selection_table(stacked: DataFrame, keys: Sequence[str], cfg: TrainConfig, i
     return marked.orderBy(F.col("selected").desc(), F.col("score").desc()), scales
 
 
+def select_model(fit_rows: DataFrame, keys: Sequence[str], cfg: TrainConfig) -> tuple[dict[int, GBTRegressionModel], DataFrame, DataFrame]:
+    """``(models, table, scales)``: every fitted candidate, the scored table with the best one first, and
+    the prediction scale of every (candidate, series)."""
+    spark = fit_rows.sparkSession
+    gbt = fit_candidates(fit_rows, cfg.grid, cfg.rounds, seed=cfg.seed, parallelism=cfg.parallelism)
+    stacked = materialise(union_all(*[
+        m.transform(fit_rows).select(F.lit(i).alias("candidate_id"), "split", *keys, "date", "y", "pred") for i, m in gbt.items()
+    ]), "stacked")
+    info = spark.createDataFrame(
+        [(i, m.getNumTrees, json.dumps(cfg.grid[i])) for i, m in gbt.items()],
+        "candidate_id int, n_iterations int, params string",
+    )
+    return (gbt, *selection_table(stacked, keys, cfg, info))
+
+
 def run_split(df: DataFrame, keys: Sequence[str], cfg: TrainConfig, features: Sequence[str] | None = None) -> SplitRun:
     """Everything on one split. ``df`` has ``split``, ``date``, ``y``, ``y_dir`` and numeric features."""
     keys = list(keys)
-    spark = df.sparkSession
     features = list(features or feature_columns(df, keys))
     df = materialise(df.select(*keys, "date", "split", "y", "y_dir", *features), "split")
     train = df.where("split = 'train'")
@@ -137,15 +151,7 @@ def run_split(df: DataFrame, keys: Sequence[str], cfg: TrainConfig, features: Se
 
     fit_rows = prepare_vectors(df.where("split in ('train', 'val')"), features).withColumn("is_val", F.col("split") == "val")
     fit_rows = fit_rows.select(*keys, "date", "split", "y", "is_val", "features").persist()
-    gbt = fit_candidates(fit_rows, cfg.grid, cfg.rounds, seed=cfg.seed, parallelism=cfg.parallelism)
-    stacked = materialise(union_all(*[
-        m.transform(fit_rows).select(F.lit(i).alias("candidate_id"), "split", *keys, "date", "y", "pred") for i, m in gbt.items()
-    ]), "stacked")
-    info = spark.createDataFrame(
-        [(i, m.getNumTrees, json.dumps(cfg.grid[i])) for i, m in gbt.items()],
-        "candidate_id int, n_iterations int, params string",
-    )
-    selection, scales = selection_table(stacked, keys, cfg, info)
+    gbt, selection, scales = select_model(fit_rows, keys, cfg)
     chosen = selection.head()["candidate_id"]
     params = cfg.grid[chosen]
 

@@ -547,9 +547,16 @@ def scatter_limit(spark, folder):
     return six(H.scatter_limit(preds(spark, folder)))
 
 
-@query("prediction_summary", with_(PREDS) + f"select count(*) as predictions_rows, {q6(corr_sql('pred', 'y'))} as pearson from preds")
+@query("prediction_summary", with_(PREDS) + f"""select count(*) as predictions_rows, {q6(corr_sql('pred', 'y'))} as pearson,
+  {q6(corr_sql('rp', 'ry'))} as spearman from (select *, {rank_sql('pred', '')} as rp, {rank_sql('y', '')} as ry from preds)""")
 def prediction_summary(spark, folder):
-    return six(Q.prediction_summary(preds(spark, folder)))
+    return six(Q.prediction_summary(stored_preds(spark, folder)))
+
+
+@query("table_summary", with_(BARS) + """select 'bars' as name, count(*) as rows, 7::int as columns, min(date) as date_start, max(date) as date_end from bars
+  union all select 'supplier', count(*), 4, null, null from supplier""")
+def table_summary(spark, folder):
+    return E.table_summary(M.bars(spark, folder), "bars").union(E.table_summary(M.table(spark, folder, "supplier"), "supplier"))
 
 
 @query("compact_report", with_(PREDS, CUTS) + """select 'rows' as section, split as item, cast(count(*) as varchar) as value from sp group by split

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 
 from panelmill.functions import interval_name, interval_names, symbol_list, to_number
 from panelmill.operators import ingest as I
-from panelmill.operators.prepare import prepare_market
+from panelmill.operators.prepare import prepare_dated, prepare_market
 from panelmill.queries.base import BARS, BARS_5M, INSTRUMENTS, q6, query, six, with_
 from panelmill.session import scratch_path
 from panelmill.sources import market as M
 from panelmill.sources import nested as N
-from panelmill.sources.readers import read_candles, read_if_exists
-from panelmill.sources.writers import append_partitions, with_symbol_bucket
+from panelmill.sources.readers import load_dataset, read_candles, read_if_exists
+from panelmill.sources.writers import append_partitions, save_dataset, with_symbol_bucket
 
 K = M.KEYS
 DAY = ["series", "date"]
@@ -90,6 +90,48 @@ def resume_points(spark, folder):
     return plan.select("symbol", "interval", F.col("start").cast("timestamp_ntz").alias("start"))
 
 
+_FIRST_1D = f"""case when first_day >= timestamp '1990-01-01' and first_day < {_END} then first_day else {_END} - interval 3650 days end"""
+
+
+@query("resume_dividends", with_(INSTRUMENTS, """marks as (select 'S' || l_suppkey as symbol, max(l_shipdate) as hwm from lineitem
+  where l_returnflag = 'R' group by 1)""") + f"""select symbol, greatest({_FIRST_1D}, hwm + interval 1 day) as start
+  from instruments left join marks using (symbol)""")
+def resume_dividends(spark, folder):
+    marks = I.high_water_mark(M.dividends(spark, folder), K, "record_date").select(
+        F.concat(F.lit("S"), F.col("series").cast("string")).alias("symbol"), "hwm")
+    plan = I.resume_dividends(M.instruments(spark, folder), marks, "2002-01-01")
+    return plan.select("symbol", F.col("start").cast("timestamp_ntz").alias("start"))
+
+
+@query("resume_schedules", with_(INSTRUMENTS, """marks as (select 'NATION_' || (o_custkey % 20) as exchange, max(o_orderdate) as hwm
+  from orders group by 1)""") + f"""select * from (select exchange, greatest((select min({_FIRST_1D}) from instruments), hwm + interval 1 day) as start
+  from (select distinct exchange from instruments) left join marks using (exchange)) where start < {_END}""")
+def resume_schedules(spark, folder):
+    stored = M.table(spark, folder, "orders").select(
+        F.concat(F.lit("NATION_"), (F.col("o_custkey") % 20).cast("string")).alias("exchange"), "o_orderdate")
+    plan = I.resume_schedules(M.instruments(spark, folder), I.high_water_mark(stored, ["exchange"], "o_orderdate"), "2002-01-01")
+    return plan.select("exchange", F.col("start").cast("timestamp_ntz").alias("start"))
+
+
+@query("dated_frame", """select user_id, ts as date, value from events
+  qualify row_number() over (partition by user_id, ts order by event_id desc) = 1""")
+def dated_frame(spark, folder):
+    """Timestamps kept to the microsecond, one row per user and instant."""
+    out = prepare_dated(M.table(spark, folder, "events"), ["user_id"], ["event_id"])
+    return out.select("user_id", F.col("date").cast("timestamp_ntz").alias("date"), "value")
+
+
+@query("saved_dataset", with_(BARS) + f"select series, date, {q6('open')} as open, {q6('close')} as close, volume from bars")
+def saved_dataset(spark, folder):
+    """A dataset saved as CSV and loaded again as text, then coerced."""
+    path = scratch_path(spark, "saved") + ".csv"
+    save_dataset(M.bars(spark, folder), path)
+    back = load_dataset(spark, path)
+    return six(back.select(
+        F.col("series").cast("bigint").alias("series"), "date", *[to_number(F.col(c)).alias(c) for c in ("open", "close", "volume")]
+    ))
+
+
 @query("new_rows_anti", with_(BARS, LATE) + "select l.* from late l anti join old o on l.series = o.series and l.date = o.date")
 def new_rows_anti(spark, folder):
     return I.new_rows(M.late_batch(spark, folder), _stored(spark, folder), DAY)
