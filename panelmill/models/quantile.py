@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, functions as F
 
-from panelmill.session import materialise
+from panelmill.session import Stored
 from panelmill.sources.writers import load_json, save_json
 
 ACCURACY = 10_000  # rank error of a leaf quantile is at most 1 / ACCURACY of the leaf
@@ -78,7 +78,8 @@ class QuantileGBT:
         train = rows.where(~F.col("_held"))
         start = train.agg(F.percentile_approx("_y", F.lit(self.alpha), ACCURACY)).head()[0]
         model = QuantileGBTModel(self.alpha, float(start), self.rate)
-        rows = materialise(rows.withColumn("_score", F.lit(model.start)), "quantile")
+        held_rows = Stored(rows.withColumn("_score", F.lit(model.start)), "quantile")
+        rows = held_rows.df
         best, best_rounds = None, 0
         for i in range(self.rounds):
             residual = F.col("_y") - F.col("_score")
@@ -96,13 +97,16 @@ class QuantileGBT:
             model.values.append(values)
             rows = _add_step(rows, tree, values, self.rate, "_score")
             if (i + 1) % self.cut_every == 0:
-                rows = materialise(rows, "quantile")
+                cut = Stored(rows, "quantile")
+                held_rows.delete()
+                held_rows, rows = cut, cut.df
                 if validation:
                     loss = rows.where("_held").agg(F.avg(pinball(residual, self.alpha))).head()[0]
                     if loss is not None and (best is None or loss < best):
                         best, best_rounds = loss, i + 1
                     elif best is not None and i + 1 - best_rounds >= self.patience:
                         break
+        held_rows.delete()
         if best_rounds:
             del model.trees[best_rounds:], model.values[best_rounds:]
         return model

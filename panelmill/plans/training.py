@@ -24,7 +24,7 @@ from panelmill.operators import tuning as T
 from panelmill.operators.features import latest_rows
 from panelmill.operators.ingest import union_all
 from panelmill.operators.reports import model_quality
-from panelmill.session import materialise
+from panelmill.session import Stored, materialise
 from panelmill.sources.writers import load_json, save_json, save_models, save_tables
 
 
@@ -130,21 +130,24 @@ def select_model(fit_rows: DataFrame, keys: Sequence[str], cfg: TrainConfig) ->
     the prediction scale of every (candidate, series)."""
     spark = fit_rows.sparkSession
     gbt = fit_candidates(fit_rows, cfg.grid, cfg.rounds, seed=cfg.seed, parallelism=cfg.parallelism)
-    stacked = materialise(union_all(*[
+    stacked = Stored(union_all(*[
         m.transform(fit_rows).select(F.lit(i).alias("candidate_id"), "split", *keys, "date", "y", "pred") for i, m in gbt.items()
     ]), "stacked")
     info = spark.createDataFrame(
         [(i, m.getNumTrees, json.dumps(cfg.grid[i])) for i, m in gbt.items()],
         "candidate_id int, n_iterations int, params string",
     )
-    return (gbt, *selection_table(stacked, keys, cfg, info))
+    table, scales = selection_table(stacked.df, keys, cfg, info)
+    stacked.delete()
+    return gbt, table, scales
 
 
 def run_split(df: DataFrame, keys: Sequence[str], cfg: TrainConfig, features: Sequence[str] | None = None) -> SplitRun:
     """Everything on one split. ``df`` has ``split``, ``date``, ``y``, ``y_dir`` and numeric features."""
     keys = list(keys)
     features = list(features or feature_columns(df, keys))
-    df = materialise(df.select(*keys, "date", "split", "y", "y_dir", *features), "split")
+    stored = Stored(df.select(*keys, "date", "split", "y", "y_dir", *features), "split")
+    df = stored.df
     train = df.where("split = 'train'")
     ridge = fit_ridge(train, features)
     logistic = fit_logistic(train, features)
@@ -169,6 +172,7 @@ def run_split(df: DataFrame, keys: Sequence[str], cfg: TrainConfig, features: Se
     scored = score_rows(df.where("split in ('val', 'test')"), models, features, keys).join(scale, keys)
     scored = scored.withColumn("pred_main", F.col("pred_main_raw") * F.col("prediction_scale"))
     scored = materialise(scored, "scored")
+    stored.delete()
     val, test = (scored.where(F.col("split") == s) for s in ("val", "test"))
 
     tuned, tables = {}, {}
@@ -276,8 +280,9 @@ def walk_forward_run(df: DataFrame, keys: Sequence[str], cfg: TrainConfig, featu
     rows = []
     for fold in range(1, layout.folds + 1):
         mine = dates.where(F.col("fold") == fold).select("date", "split")
-        split = materialise(df.join(F.broadcast(mine), "date"), f"fold-{fold}")
-        rows.append(materialise(fold_row(run_split(split, keys, cfg, features), split, fold), "fold-row"))
+        split = Stored(df.join(F.broadcast(mine), "date"), f"fold-{fold}")
+        rows.append(materialise(fold_row(run_split(split.df, keys, cfg, features), split.df, fold), "fold-row"))
+        split.delete()
     folds = union_all(*rows)
     return folds, E.fold_summary(folds)
 

@@ -41,12 +41,34 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back.
+class Stored:
+    """A frame written as Parquet in the shared folder.
 
-    Cuts lineage durably (it survives lost executors) and, unlike an RDD checkpoint, keeps column
-    pruning and filter pushdown for whatever reads the table next.
+    Cuts lineage durably (it survives lost executors) and, unlike an RDD checkpoint, keeps column pruning
+    and filter pushdown for whatever reads the table next. ``delete`` it once nothing lazy reads it.
     """
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    written: list[Stored] = []
+
+    def __init__(self, df: DataFrame, label: str) -> None:
+        self.spark = df.sparkSession
+        self.path = scratch_path(self.spark, label)
+        df.write.parquet(self.path)
+        self.df = self.spark.read.schema(df.schema).parquet(self.path)
+        Stored.written.append(self)
+
+    def delete(self) -> None:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+        Stored.written.remove(self)
+
+
+def materialise(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a stored table that lives until ``clear_scratch`` or the end of the job."""
+    return Stored(df, label).df
+
+
+def clear_scratch() -> None:
+    """Delete every table this process stored; frames that still read them become unusable."""
+    for stored in list(Stored.written):
+        stored.delete()
