@@ -36,7 +36,7 @@ with p as (
   select page_id, encode(coalesce(html, '')) as payload, sha1(encode(coalesce(html, ''))) as hex from pages),
 g as (select payload, min(page_id) as first from p group by payload)
 select p.page_id, cast(octet_length(p.payload) as bigint) as payload_bytes,
-  array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     1 + ((cast('0x' || substr(p.hex, cast(1 + 5 * (i // 4) as bigint), 5) as bigint) >> cast(15 - 5 * (i % 4) as integer)) & 31), 1)), '') as payload_digest,
   case when p.page_id = g.first then 'response' else 'revisit' end as record_type,
   case when p.page_id <> g.first then g.first end as refers_to
