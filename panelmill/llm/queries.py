@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from panelmill.llm.common import table
 from panelmill.llm.exact_dedup import exact_groups
 from panelmill.llm.html_tree import extract_pages
+from panelmill.llm.minhash_join import near_groups
 from panelmill.llm.prefix_bpe import encode_documents
 from panelmill.llm.quality_trees import score_quality
 from panelmill.llm.url_automaton import filter_urls
@@ -46,6 +47,27 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op4_near_dedup", r"""
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as a
+  from documents),
+s as (
+  select doc_id, unnest(case when len(a) = 0 then [] when len(a) < 5 then [array_to_string(a, ' ')]
+    else list_distinct(list_transform(range(1, len(a) - 3), lambda i: array_to_string(a[i:i + 4], ' '))) end) as shingle
+  from w),
+n as (select doc_id, count(*) as size from s group by doc_id),
+links as (
+  select x.doc_id as a, y.doc_id as b from s x join s y on x.shingle = y.shingle and x.doc_id <> y.doc_id
+  join n nx on nx.doc_id = x.doc_id join n ny on ny.doc_id = y.doc_id
+  group by x.doc_id, y.doc_id, nx.size, ny.size having 100 * count(*) >= 75 * (nx.size + ny.size - count(*))),
+reach as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a)
+select w.doc_id, coalesce(n.size, 0) as n_shingles, least(w.doc_id, coalesce(m.low, w.doc_id)) as component_id,
+  w.doc_id <= coalesce(m.low, w.doc_id) as kept
+from w left join n using (doc_id) left join (select a as doc_id, min(b) as low from reach group by a) m using (doc_id)""")
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
 @query("op5_url_filter", r"""
 with u as (
   select page_id,
