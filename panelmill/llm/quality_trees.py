@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from panelmill.llm.common import store, texts
 
-#: Labelled rows used for the fit, at most: the ones with the smallest hash of their id.
+#: Labelled rows used for the fit, about: the ones whose hash of the id is in the share of all hashes that gives so many.
 SAMPLE = 20_000
 SYMBOLS = "#$%&*|!?.,:;@=<>{}[]()/\\_~^+\"'-"
 FEATURES = [
@@ -154,7 +154,7 @@ def score_quality(
 ) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1), predicted (1 if the score reaches ``threshold``).
 
-    The trees see statistics of the text only. They are fitted on at most ``sample`` labelled rows that are not held
+    The trees see statistics of the text only. They are fitted on about ``sample`` labelled rows that are not held
     out; a null label or id is no label, and of repeated labels of one id the smallest counts. Null and empty texts
     are scored as texts without words; with no label at all every document scores 1. The pass over the texts and the
     fit run when this is called; only the sample's statistics (a bounded number of short rows) reach the driver.
@@ -162,7 +162,10 @@ def score_quality(
     stats = store(add_statistics(docs, id_col, text_col), "quality-statistics").df
     known = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).dropna()
              .where(~is_held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("y").alias("y")))
-    seen = stats.dropDuplicates(["doc_id"]).join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).toPandas()
+    known = store(known, "quality-labels").df
+    share = min(1.0, sample / max(1, known.count()))
+    known = known.where(F.xxhash64("doc_id") <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64))))
+    seen = stats.dropDuplicates(["doc_id"]).join(known, "doc_id").toPandas().sort_values("doc_id")
     forest = fit_forest(seen[FEATURES].to_numpy(np.float32), (seen["y"].to_numpy() > 0).astype(float))
     kind = stats.schema["doc_id"].dataType.simpleString()
 

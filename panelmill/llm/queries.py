@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from panelmill.llm.common import table
+from panelmill.llm.decontaminate import find_items
 from panelmill.llm.exact_dedup import exact_groups
 from panelmill.llm.html_tree import extract_pages
 from panelmill.llm.minhash_join import near_groups
+from panelmill.llm.pii_feistel import pseudonymise
 from panelmill.llm.prefix_bpe import encode_documents
 from panelmill.llm.quality_trees import score_quality
 from panelmill.llm.url_automaton import filter_urls
@@ -19,6 +21,8 @@ from panelmill.llm.warc_index import archive_pages, read_records
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+#: A key for tests only; a caller passes one from a secret store.
+PII_KEY = "key of the registered query"
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
@@ -32,6 +36,11 @@ def query(name: str, sql: str | None = None) -> Callable:
     return add
 
 
+@query("op1_decontaminate")
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op2_warc", r"""
 with p as (
   select page_id, encode(coalesce(html, '')) as payload, sha1(encode(coalesce(html, ''))) as hex from pages),
@@ -47,6 +56,11 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_records(index, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query("op3_pii")
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(table(spark, sf_dir, "documents"), PII_KEY)
+
+
 @query("op4_near_dedup", r"""
 with recursive w as (
   select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as a
