@@ -15,6 +15,7 @@ from panelmill.llm.minhash_join import near_groups
 from panelmill.llm.pii_feistel import pseudonymise
 from panelmill.llm.prefix_bpe import encode_documents
 from panelmill.llm.quality_trees import score_quality
+from panelmill.llm.suffix_dedup import strip_repeats
 from panelmill.llm.url_automaton import filter_urls
 from panelmill.llm.warc_index import archive_pages, read_records
 
@@ -109,6 +110,11 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return strip_repeats(table(spark, sf_dir, "documents"))
+
+
 @query("op9_exact_dedup", r"""
 with t as (
   select doc_id, length(coalesce(text, '')) as n, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as norm from documents),
