@@ -295,7 +295,7 @@ def encode_documents(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary, pattern)
-        for b in batches:
+        for b in (x.slice(i, 512) for x in batches for i in range(0, x.num_rows, 512)):  # ids take more room than texts
             counts, shas, backs, lists = [], [], [], []
             for text in b.column(1).to_pylist():
                 packed = bpe.encode_packed(text)
@@ -307,13 +307,13 @@ def encode_documents(
                 shas.append(hashlib.sha256(packed).hexdigest())
                 backs.append(hashlib.sha256(back).hexdigest())
                 if keep_ids:
-                    lists.append(ids)
+                    lists.append(ids.view(np.int32))
             cols = [b.column(0), pa.array(counts, pa.int64()), pa.array(shas, pa.string()), pa.array(backs, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
-                cols.append(pa.array(lists, pa.list_(pa.int64())))
+                cols.append(pa.array(lists, pa.list_(pa.int32())))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(cols, names)
 
-    schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<bigint>" if keep_ids else "")
+    schema = f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + (", ids array<int>" if keep_ids else "")
     return rows.mapInArrow(encode, schema)

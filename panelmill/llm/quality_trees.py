@@ -1,7 +1,8 @@
 """Quality scores: histogram gradient-boosted trees over document statistics.
 
-Statistics are counted in one pass over the texts and stored. The trees are fitted on a bounded sample of labelled
-rows and kept as flat arrays; scoring walks all documents of a batch down one tree level at a time.
+The trees are fitted on the statistics of a bounded sample of labelled documents and kept as flat arrays. Scoring is one
+pass over all texts without a shuffle: statistics are counted and all documents of a batch walk down one tree level at
+a time.
 """
 
 from __future__ import annotations
@@ -148,33 +149,64 @@ def is_held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
+def fit_quality(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE,
+) -> Forest:
+    """Fit on the statistics of about ``sample`` labelled documents that are not held out.
+
+    A null label or id is no label; of repeated labels of one id the smallest counts, of repeated documents one. The
+    ids of the sample are broadcast and its statistics come to the driver: both are bounded by ``sample``, whatever the
+    size of the tables.
+    """
+    known = store(
+        labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).dropna()
+        .where(~is_held_out(F.col("id"))).groupBy("id").agg(F.min("y").alias("y")), "quality-labels").df
+    share = min(1.0, sample / max(1, known.count()))
+    known = known.where(F.xxhash64("id") <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64))))
+    rows = texts(docs, id_col, text_col).join(F.broadcast(known.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi")
+    seen = add_statistics(rows).toPandas().sort_values(["doc_id", *FEATURES]).drop_duplicates("doc_id")
+    both = seen.merge(known.toPandas(), left_on="doc_id", right_on="id").sort_values("doc_id")
+    return fit_forest(both[FEATURES].to_numpy(np.float32), (both["y"].to_numpy() > 0).astype(float))
+
+
+def _scores(forest: Forest, found: list[str | None]) -> np.ndarray:
+    x = np.array([statistics(t or "") for t in found], np.float32).reshape(len(found), len(FEATURES))
+    return forest.score(x)
+
+
 def score_quality(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
     threshold: float = 0.7, sample: int = SAMPLE,
 ) -> DataFrame:
     """One row per document: doc_id, held_out, score (0 to 1), predicted (1 if the score reaches ``threshold``).
 
-    The trees see statistics of the text only. They are fitted on about ``sample`` labelled rows that are not held
-    out; a null label or id is no label, and of repeated labels of one id the smallest counts. Null and empty texts
-    are scored as texts without words; with no label at all every document scores 1. The pass over the texts and the
-    fit run when this is called; only the sample's statistics (a bounded number of short rows) reach the driver.
+    The trees see statistics of the text only, whole texts of any length. Null and empty texts are scored as texts
+    without words; with no label at all every document scores nearly 1, with one kind of label all score the same.
+    Repeated rows are scored each. The fit runs when this is called.
     """
-    stats = store(add_statistics(docs, id_col, text_col), "quality-statistics").df
-    known = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).dropna()
-             .where(~is_held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("y").alias("y")))
-    known = store(known, "quality-labels").df
-    share = min(1.0, sample / max(1, known.count()))
-    known = known.where(F.xxhash64("doc_id") <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64))))
-    seen = stats.dropDuplicates(["doc_id"]).join(known, "doc_id").toPandas().sort_values("doc_id")
-    forest = fit_forest(seen[FEATURES].to_numpy(np.float32), (seen["y"].to_numpy() > 0).astype(float))
-    kind = stats.schema["doc_id"].dataType.simpleString()
+    forest = fit_quality(docs, labels, id_col, text_col, label_col, sample)
+    rows = texts(docs, id_col, text_col)
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            x = np.stack([b.column(1 + j).to_numpy() for j in range(len(FEATURES))], 1)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(forest.score(x))], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_scores(forest, b.column(1).to_pylist()))], ["doc_id", "score"])
 
-    scored = stats.select("doc_id", *FEATURES).mapInArrow(walk, f"doc_id {kind}, score double")
-    return scored.select(
+    return rows.mapInArrow(score, f"doc_id {kind}, score double").select(
         "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score",
         F.when(F.col("score") >= threshold, 1).otherwise(0).alias("predicted"))
+
+
+def drop_low_quality(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality",
+    threshold: float = 0.7, sample: int = SAMPLE,
+) -> DataFrame:
+    """``docs`` without the rows that score below ``threshold``, all columns as they were; rows are filtered where they are."""
+    forest = fit_quality(docs, labels, id_col, text_col, label_col, sample)
+    at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(_scores(forest, b.column(at).to_pylist()) >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)

@@ -130,7 +130,7 @@ def suffix_order(raw: bytes, wanted: np.ndarray) -> np.ndarray:
             where = np.searchsorted(t[before], np.arange(c + 1, 257))
             for k in np.flatnonzero(where[1:] > where[:-1]).tolist():
                 waiting[c + 1 + k].append(before[where[k]: where[k + 1]])
-    order = np.concatenate(done)
+    order = np.concatenate([np.zeros(0, np.int64), *done])
     return order[wanted[order]]
 
 
