@@ -41,8 +41,8 @@ IN_HOST, ANY = "host", "any"
 
 def rule_globs(rule: Rule) -> list[list]:
     """The rule's host itself and its subdomains, with any end of the path. A glob is a list of bytes and gaps."""
-    tail = [*rule.text.encode(), ANY]
-    return [tail, [IN_HOST, ord("."), *tail]]
+    tails = [[*rule.text.encode(), ANY]] if rule.path else [[*rule.host.encode()], [*rule.host.encode(), ord("/"), ANY]]
+    return [head + tail for tail in tails for head in ([], [IN_HOST, ord(".")])]
 
 
 class Automaton:
