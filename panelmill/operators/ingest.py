@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import pyarrow as pa
+from pyarrow import fs
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
-from panelmill.session import materialise
+from panelmill.session import Stored
 from panelmill.sources.readers import read_if_exists
 from panelmill.sources.writers import replace_partitions
 
@@ -131,19 +135,40 @@ def upsert(existing: DataFrame, new: DataFrame, keys: Sequence[str], recency: Se
     return dedup_last(both, keys, ["_src", *recency]).drop("_src")
 
 
+def stored_table(spark: SparkSession, path: str, like: StructType, partitions: Sequence[str]) -> DataFrame:
+    """The table at ``path`` with all columns its files have; a missing one is an empty frame like ``like``.
+
+    The types of the partition columns come from ``like``, because inference reads ``interval=1d`` as a number.
+    """
+    try:
+        found = spark.read.option("mergeSchema", True).parquet(path).schema
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], like)
+    fields = [like[f.name] if f.name in partitions else f for f in found]
+    return spark.read.schema(StructType(fields)).parquet(path)
+
+
+def same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on keys in which a null equals a null."""
+    a, b = left.alias("_left"), right.select(*keys).distinct().alias("_right")
+    return a.join(b, reduce(lambda x, y: x & y, [F.col(f"_left.{k}").eqNullSafe(F.col(f"_right.{k}")) for k in keys]), how)
+
+
 def upsert_partitions(
     new: DataFrame, path: str, keys: Sequence[str], partitions: Sequence[str], recency: Sequence[str] = (),
 ) -> None:
     """Upsert into a partitioned table, reading and rewriting only the partitions the batch touches.
 
-    The merged rows are written to the shared scratch folder first, so no task reads files that the
+    Stored columns that the batch lacks stay in all rows the batch does not replace, and a table that does not exist
+    yet is created. The merged rows are written to the shared scratch folder first, so no task reads files that the
     overwrite replaces.
     """
-    spark = new.sparkSession
-    existing = spark.read.schema(new.schema).parquet(path)
-    touched = new.select(*partitions).distinct()
-    affected = existing.join(touched, list(partitions), "left_semi")
-    replace_partitions(materialise(upsert(affected, new, keys, recency), "upsert"), path, partitions)
+    existing = stored_table(new.sparkSession, path, new.schema, partitions)
+    merged = Stored(upsert(same_keys(existing, new, partitions, "left_semi"), new, keys, recency), "upsert")
+    replace_partitions(merged.df, path, partitions)
+    merged.delete()
 
 
 def full_reload(existing: DataFrame, new: DataFrame, symbol: str = "symbol") -> DataFrame:
@@ -151,19 +176,38 @@ def full_reload(existing: DataFrame, new: DataFrame, symbol: str = "symbol") ->
     return union_all(new_rows(existing, new.select(symbol).distinct(), [symbol]), new)
 
 
+def _delete_folders(folders: DataFrame) -> None:
+    """Delete the folders in column ``folder``, each in the task that holds its row; one that is gone is no fault."""
+
+    def delete(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for uri in batch.column(0).to_pylist():
+                where, root = fs.FileSystem.from_uri(uri)
+                if where.get_file_info(root).type == fs.FileType.Directory:
+                    where.delete_dir(root)
+            yield batch
+
+    folders.select("folder").mapInArrow(delete, "folder string").write.format("noop").mode("overwrite").save()
+
+
 def reload_partitions(new: DataFrame, path: str, partitions: Sequence[str], symbol: str = "symbol") -> None:
-    """Full reload of the batch's symbols on a table partitioned by symbol."""
-    spark = new.sparkSession
-    existing = spark.read.schema(new.schema).parquet(path).join(new.select(symbol).distinct(), symbol, "left_semi")
-    empty = existing.select(*partitions).distinct()
-    # found before the overwrite, which replaces the files this scan reads
-    stale = materialise(new_rows(empty, new.select(*partitions).distinct(), list(partitions)), "stale")
-    replace_partitions(materialise(new, "reload"), path, partitions)
-    # Partition folders of a reloaded symbol that the new rows do not cover; a list of folder names.
-    fs_path = spark._jvm.org.apache.hadoop.fs.Path
-    for row in stale.toLocalIterator():
-        folder = fs_path(path + "/" + "/".join(f"{p}={row[p]}" for p in partitions))
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    """Full reload of the batch's symbols, whatever the layout.
+
+    Partitions that the symbols had or have are rewritten with the rows of all other symbols in them and the new ones;
+    a partition that is left without rows is deleted.
+    """
+    existing = stored_table(new.sparkSession, path, new.schema, partitions)
+    symbols = new.select(symbol).distinct()
+    old = same_keys(existing.withColumn("_file", F.col("_metadata.file_path")) if existing.inputFiles() else existing.withColumn("_file", F.lit("")), symbols, [symbol], "left_semi")
+    old = Stored(old.select(*partitions, F.regexp_replace("_file", "/[^/]*$", "").alias("folder")).distinct(), "reload-old")
+    touched = old.df.select(*partitions).union(new.select(*partitions)).distinct()
+    others = same_keys(same_keys(existing, touched, partitions, "left_semi"), symbols, [symbol], "left_anti")
+    merged = Stored(union_all(others, new), "reload")
+    stale = Stored(same_keys(old.df, merged.df, partitions, "left_anti"), "reload-stale")
+    replace_partitions(merged.df, path, partitions)
+    _delete_folders(stale.df)
+    for table in (old, merged, stale):
+        table.delete()
 
 
 def ingest_candles(

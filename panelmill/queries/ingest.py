@@ -215,6 +215,41 @@ def partition_upsert(spark, folder):
     return spark.read.parquet(path).withColumn("year", F.col("year").cast("int"))
 
 
+@query("upsert_first_load", with_(BARS, LATE) + "select series, date, volume, cast(year(date) as int) as year from late")
+def upsert_first_load(spark, folder):
+    """An upsert into a table that does not exist yet."""
+    path = scratch_path(spark, "first")
+    I.upsert_partitions(M.late_batch(spark, folder).select("series", "date", "volume", F.year("date").alias("year")), path, DAY, ["year"])
+    return spark.read.parquet(path).withColumn("year", F.col("year").cast("int"))
+
+
+@query("upsert_new_columns", with_(BARS, LATE) + """select o.series, o.date, o.volume, 'stored' as note, null::double as close, cast(year(o.date) as int) as year
+  from old o anti join late l on l.series = o.series and l.date = o.date
+  where year(o.date) in (select year(date) from late)
+  union all select series, date, volume, null, close, cast(year(date) as int) from late
+  union all select o.series, o.date, o.volume, 'stored', null, cast(year(o.date) as int) from old o where year(o.date) not in (select year(date) from late)""")
+def upsert_new_columns(spark, folder):
+    """A batch that lacks a stored column and brings another: no stored value is lost."""
+    path = scratch_path(spark, "columns")
+    first = _stored(spark, folder).select("series", "date", "volume", F.lit("stored").alias("note"), F.year("date").alias("year"))
+    append_partitions(first, path, ["year"], sort=DAY)
+    I.upsert_partitions(M.late_batch(spark, folder).select("series", "date", "volume", "close", F.year("date").alias("year")), path, DAY, ["year"])
+    back = spark.read.option("mergeSchema", True).parquet(path)
+    return back.select("series", "date", "volume", "note", "close", F.col("year").cast("int").alias("year"))
+
+
+@query("bucket_reload", with_(BARS, LATE) + f"""select series, date, volume from old where not ({_RELOAD})
+  union all select series, date, volume from late where {_RELOAD} and year(date) = 2001""")
+def bucket_reload(spark, folder):
+    """Some series reloaded on a layout in which all series share the partitions; years they no longer have are kept for the others."""
+    path = scratch_path(spark, "buckets")
+    cols = ["series", "date", "volume", F.year("date").alias("year"), (F.col("series") % 3).alias("bucket")]
+    append_partitions(_stored(spark, folder).select(*cols), path, ["bucket", "year"], sort=DAY)
+    batch = M.late_batch(spark, folder).where((F.col("series") % 7 == 3) & (F.year("date") == 2001)).select(*cols)
+    I.reload_partitions(batch, path, ["bucket", "year"], "series")
+    return spark.read.parquet(path).select("series", "date", "volume")
+
+
 @query("read_if_exists", with_(BARS) + """select series, date, close from bars where year(date) = 1998""")
 def read_existing(spark, folder):
     """Filtered, pruned read of a stored table, unioned with the empty result of a missing one."""

@@ -126,6 +126,22 @@ def test_ingest_twice_is_ingest_once(spark, folder):
     assert rows(back.groupBy("symbol").count(), "symbol", "count") == [("A", 2), ("B", 120)]
 
 
+def test_partition_writes_lose_nothing(spark, folder):
+    path, parts = f"{folder}/notes", ["bucket", "year"]
+    one = "symbol string, ts int, note string, bucket int, year int"
+    stored = spark.createDataFrame([("A", 1, "y", 0, 2020), ("B", 1, "y", 0, 2020), ("A", 2, "n", None, None), ("C", 5, "c", 1, 2019)], one)
+    I.upsert_partitions(stored, path, ["symbol", "ts"], parts)  # there is no table yet
+    fresh = spark.createDataFrame([("A", 3, 7.0, 0, 2020), ("A", 4, 8.0, None, None)], "symbol string, ts int, px double, bucket int, year int")
+    I.upsert_partitions(fresh, path, ["symbol", "ts"], parts)
+    back = spark.read.option("mergeSchema", True).parquet(path)
+    assert rows(back.where("px is null"), "symbol", "ts", "note") == [("A", 1, "y"), ("A", 2, "n"), ("B", 1, "y"), ("C", 5, "c")]
+    assert rows(back.where("px > 0"), "symbol", "ts") == [("A", 3), ("A", 4)]
+
+    I.reload_partitions(spark.createDataFrame([("A", 9, "new", 2, 2021), ("C", 6, "new", 1, 2020)], one), path, parts)
+    back = spark.read.option("mergeSchema", True).parquet(path)
+    assert rows(back, "symbol", "ts") == [("A", 9), ("B", 1), ("C", 6)]  # the folder of year 2019 and that of nulls are gone
+
+
 def test_snapshots(spark, folder):
     path = f"{folder}/instruments"
     assert S.read_current(spark, path, INSTRUMENTS).count() == 0
