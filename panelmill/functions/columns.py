@@ -37,7 +37,18 @@ def to_instant(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.NumericType):
         # integers are nanoseconds since the epoch
         return F.timestamp_micros(F.floor(F.col(name) / 1000).cast("long"))
-    return F.trim(F.col(name)).try_cast("timestamp")
+    return text_instant(F.col(name))
+
+
+#: Seconds or minutes followed by a zone or an offset.
+ZONED = r"[0-9]:[0-9]{1,2}(\.[0-9]*)?\s*([A-Za-z]|[+-][0-9])"
+
+
+def text_instant(text: Column) -> Column:
+    """Instant of a text; one that names no zone is UTC, whatever the zone of the session."""
+    text = F.trim(text)
+    local = F.concat(text.try_cast("timestamp_ntz").cast("string"), F.lit("Z"))
+    return F.when(text.rlike(ZONED), text.try_cast("timestamp")).otherwise(local.try_cast("timestamp"))
 
 
 def to_day(df: DataFrame, name: str) -> Column:
@@ -48,6 +59,10 @@ def to_day(df: DataFrame, name: str) -> Column:
     if isinstance(kind, T.TimestampNTZType):
         return F.to_date(F.col(name))
     instant = to_instant(df, name)
+    if isinstance(kind, T.StringType):
+        text = F.trim(F.col(name))
+        utc = F.to_date(F.to_utc_timestamp(instant, F.current_timezone()))
+        return F.when(text.rlike(ZONED), utc).otherwise(F.to_date(text.try_cast("timestamp_ntz")))
     if df.sparkSession.conf.get("spark.sql.session.timeZone") not in ("UTC", "Etc/UTC", "Z"):
         instant = F.to_utc_timestamp(instant, F.current_timezone())
     return F.to_date(instant)
@@ -108,5 +123,5 @@ def feature_columns(
         f.name for f in df.schema.fields if f.name not in skip and isinstance(f.dataType, T.NumericType)
     )
     if not names:
-        raise ValueError("No numeric feature columns detected.")
+        raise ValueError("the table has no numeric feature")
     return names

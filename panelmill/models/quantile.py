@@ -96,7 +96,7 @@ class QuantileGBT:
             model.trees.append(tree)
             model.values.append(values)
             rows = _add_step(rows, tree, values, self.rate, "_score")
-            if (i + 1) % self.cut_every == 0:
+            if (i + 1) % self.cut_every == 0 or i + 1 == self.rounds:
                 cut = Stored(rows, "quantile")
                 held_rows.delete()
                 held_rows, rows = cut, cut.df

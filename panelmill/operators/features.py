@@ -96,7 +96,7 @@ def context_features(context: DataFrame, prefix: str, keys: Sequence[str] = ())
     """Context returns on the context's own calendar; ``context`` has one row per key and date."""
     close = f"close_{prefix}"
     if close not in context.columns:
-        raise ValueError(f"Missing required context close column: {close}")
+        raise ValueError(f"the context has no close column {close}")
     out = _context_from_close(context.select(*keys, "date", close), close, prefix, keys)
     return out.select(*keys, "date", *context_columns(prefix))
 
@@ -140,7 +140,7 @@ def finalize(df: DataFrame, require_rows: bool = False) -> DataFrame:
     floats = [f.name for f in df.schema.fields if isinstance(f.dataType, (DoubleType, FloatType))]
     out = df.withColumns({c: finite(F.col(c)) for c in floats}).dropna("any")
     if require_rows and out.isEmpty():
-        raise ValueError("Dataset is empty after dropping NaN/inf values.")
+        raise ValueError("no row is left without missing values")
     return out
 
 

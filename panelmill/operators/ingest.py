@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
+from panelmill.functions.columns import text_instant
 from panelmill.session import Stored
 from panelmill.sources.readers import read_if_exists
 from panelmill.sources.writers import replace_partitions
@@ -57,10 +58,10 @@ def high_water_mark(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataF
 def history_start(start: str, interval: Column, first_day: Column, first_minute: Column, end: Column) -> Column:
     """Start of a series' history; ``"max"`` uses the first known candle if it is plausible."""
     if start.strip().lower() != "max":
-        return F.lit(start).cast("timestamp")
+        return text_instant(F.lit(start))
 
     def plausible(c: Column) -> Column:
-        return c.isNotNull() & (c >= F.lit(MIN_HISTORY).cast("timestamp")) & (c < end)
+        return c.isNotNull() & (c >= text_instant(F.lit(MIN_HISTORY))) & (c < end)
 
     daily = F.when(plausible(first_day), first_day).otherwise(end - F.make_dt_interval(F.lit(FALLBACK_DAYS["1d"])))
     floor = end - F.make_dt_interval(F.lit(FALLBACK_DAYS["5m"]))
@@ -85,7 +86,7 @@ def resume_points(
     intervals: Sequence[str] = ("1d", "5m"), skip_done: bool = True,
 ) -> DataFrame:
     """Where each (symbol, interval) continues: the later of history start and mark + one bar."""
-    end_ts = F.lit(end).cast("timestamp")
+    end_ts = text_instant(F.lit(end))
     plan = instruments.withColumn("interval", F.explode(F.array(*[F.lit(i) for i in intervals])))
     plan = plan.join(marks.select("symbol", "interval", "hwm"), ["symbol", "interval"], "left")
     first = history_start(start, F.col("interval"), F.col("first_1day_candle_date"), F.col("first_1min_candle_date"), end_ts)
@@ -104,7 +105,7 @@ def resume_dividends(instruments: DataFrame, marks: DataFrame, end: str, start:
 def resume_schedules(instruments: DataFrame, marks: DataFrame, end: str, start: str = "max") -> DataFrame:
     """Where each exchange's schedule continues: the earliest daily start of any instrument, or a day
     after the last stored date. ``marks`` has ``exchange, hwm``."""
-    end_ts = F.lit(end).cast("timestamp")
+    end_ts = text_instant(F.lit(end))
     first = history_start(start, F.lit("1d"), F.col("first_1day_candle_date"), F.col("first_1min_candle_date"), end_ts)
     earliest = instruments.agg(F.min(first)).scalar()
     exchanges = instruments.where("exchange <> ''").select("exchange").distinct()

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from panelmill.session import materialise
+
 # Fixed value: age, in days, of a context row that does not exist.
 NO_CONTEXT_AGE = 10000.0
 
@@ -24,9 +26,9 @@ def asof_by_day(left: DataFrame, right: DataFrame, values: Sequence[str], on: st
 
     Each context row is spread over the days it stays valid, which turns the as-of join into a broadcast
     equi-join: the left side is neither shuffled nor sorted. Days after the last context row look it up
-    under its own date. The day-level context is cached: it is small, and read here twice.
+    under its own date. The day-level context is stored: it is small, and read here twice.
     """
-    right = right.select(on, *values).persist()
+    right = materialise(right.select(on, *values), "context")
     carried = F.struct(F.col(on), *values)
     spread = right.select(
         F.col(on).alias("_from"), carried.alias(out),
@@ -92,7 +94,7 @@ def merge_context(
 
 def trading_days_only(df: DataFrame, calendar: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows whose date the calendar marks as trading; dates it does not know are dropped."""
-    days = calendar.where("is_trading_day").select(*by, "date")
+    days = calendar.where("is_trading_day").select(*by, "date").distinct()
     return df.join(days if by else by_day(days), [*by, "date"], "left_semi")
 
 
@@ -108,8 +110,8 @@ def join_dividends(df: DataFrame, dividends: DataFrame | None, keys: Sequence[st
 
 
 def join_context_closes(main: DataFrame, contexts: dict[str, DataFrame], keys: Sequence[str] = ()) -> DataFrame:
-    """Main close beside the close of each context on the same date."""
+    """Main close beside the close of each context on the same date; of several closes of a day the largest."""
     out = main.select(*keys, "date", F.col("close").alias("main"))
     for name, ctx in contexts.items():
-        out = out.join(by_day(ctx.select("date", F.col("close").alias(name))), "date", "left")
+        out = out.join(by_day(ctx.groupBy("date").agg(F.max("close").alias(name))), "date", "left")
     return out

@@ -32,7 +32,10 @@ def regression_metrics(df: DataFrame, keys: Sequence[str], y: str = "y", pred: s
     ranks come from the range-partitioned form.
     """
     if daily and keys:
-        ranked = df.select(*keys, y, pred, series_rank(keys, pred).alias("_rp"), series_rank(keys, y).alias("_ry"))
+        # a pair with a missing side has no rank; nulls sort first, so they move all other ranks by the same amount
+        both = F.col(y).isNotNull() & F.col(pred).isNotNull()
+        pairs = df.select(*keys, y, pred, F.when(both, F.col(y)).alias("_y"), F.when(both, F.col(pred)).alias("_p"))
+        ranked = pairs.select(*keys, y, pred, F.when(both, series_rank(keys, "_p")).alias("_rp"), F.when(both, series_rank(keys, "_y")).alias("_ry"))
         return ranked.groupBy(*keys).agg(*error_aggregates(y, pred), guarded_corr("_rp", "_ry").alias("ic_spearman"))
     errors = df.groupBy(*keys).agg(*error_aggregates(y, pred))
     ranks = rank_correlation(df, keys, pred, y, "ic_spearman")

@@ -1,4 +1,4 @@
-"""Raw tables to clean market, calendar and dividend frames."""
+"""Raw tables to clean bar, calendar and dividend frames."""
 
 from __future__ import annotations
 
@@ -16,9 +16,9 @@ def check_dates(df: DataFrame, name: str = "date") -> DataFrame:
     """Fail on an empty table or one without a single readable date (runs one small job)."""
     rows, dated = df.agg(F.count(F.lit(1)), F.count(name)).head()
     if rows == 0:
-        raise ValueError("Input table is empty.")
+        raise ValueError("there are no rows")
     if dated == 0:
-        raise ValueError(f"Failed to parse date column '{name}'")
+        raise ValueError(f"no value of {name} is a date")
     return df
 
 
@@ -30,7 +30,7 @@ def _keep_last(df: DataFrame, keys: Sequence[str], recency: Sequence[str]) -> Da
     return keep_first(df, keys, [F.col(c).desc_nulls_last() for c in rest])
 
 
-def prepare_market(
+def prepare_bars(
     df: DataFrame, keys: Sequence[str] = (), suffix: str = "", recency: Sequence[str] = (), validate: bool = False,
 ) -> DataFrame:
     """``keys, date`` and numeric OHLCV, one row per key and day, the last row winning.
@@ -42,7 +42,7 @@ def prepare_market(
     for field in OHLCV:
         source = find_column(df, (field,))
         if source is None and not suffix:
-            raise ValueError(f"Missing required market column: {field}")
+            raise ValueError(f"the bar table has no column for {field}")
         if source is not None:
             cols.append(to_number(F.col(source)).alias(f"{field}_{suffix}" if suffix else field))
     extra = [F.col(c).alias(f"_seq{i}") for i, c in enumerate(recency)]

@@ -24,9 +24,9 @@ def selector_signal(
 ) -> Column:
     """Direction of the main prediction, kept only where the predicted interval limits the risk."""
     if risk_multiple <= 0:
-        raise ValueError("risk_multiple must be > 0")
+        raise ValueError("the risk multiple has to be above 0")
     if max_width is not None and max_width <= 0:
-        raise ValueError("max_width must be > 0 when provided")
+        raise ValueError("a largest width has to be above 0")
     pred, q_low, q_high = finite(pred), finite(q_low), finite(q_high)
     if use_cost_rule:
         band = risk_multiple * (thr_min if isinstance(thr_min, Column) else F.lit(float(thr_min)))
@@ -46,7 +46,7 @@ def cost_threshold(cost_bps: float, multiplier: float = 1.0) -> float:
     if cost_bps <= 0:
         return 0.0
     if multiplier <= 0:
-        raise ValueError("multiplier must be > 0")
+        raise ValueError("the multiplier has to be above 0")
     return cost_bps / BPS * multiplier
 
 

@@ -331,13 +331,20 @@ def save_run(result: RunResult, cfg: TrainConfig, keys: Sequence[str], folder: s
 
 
 def latest_signal(df: DataFrame, folder: str, model: str = "main") -> DataFrame:
-    """Signal of every series' newest row from a saved run."""
+    """Signal of every series' newest row from a saved run, by the model's own threshold and scale.
+
+    ``prediction_scale`` belongs to the main model; the others predict in the unit of the target (``ridge`` and the
+    quantiles, compared with the main threshold) or a score with a threshold of its own (``logreg``).
+    """
     spark = df.sparkSession
     head = load_json(spark, f"{folder}/config")
     keys, features = head["keys"], head["features"]
     series = spark.read.parquet(f"{folder}/data/strategy")
     rows = latest_rows(df, keys)
-    if model == "main":
+    if model.startswith("quantile_"):
+        fitted = QuantileGBTModel.load(spark, f"{folder}/models/{model}")
+        scored = fitted.transform(prepare_vectors(rows, features), "prediction_raw")
+    elif model == "main":
         fitted = GBTRegressionModel.load(f"{folder}/models/main")
         scored = fitted.transform(prepare_vectors(rows, features)).withColumnRenamed("pred", "prediction_raw")
     else:
@@ -346,6 +353,9 @@ def latest_signal(df: DataFrame, folder: str, model: str = "main") -> DataFrame:
             scored = add_direction(scored).withColumnRenamed("pred_logreg_score", "prediction_raw")
         else:
             scored = scored.withColumnRenamed("pred_ridge", "prediction_raw")
+    series = series.withColumn("threshold", F.col("threshold_logreg" if model == "logreg" else "threshold_main"))
+    if model != "main":
+        series = series.withColumn("prediction_scale", F.lit(1.0))
     return signal_rows(scored.join(series, keys), keys)
 
 
@@ -353,7 +363,7 @@ def signal_rows(scored: DataFrame, keys: Sequence[str]) -> DataFrame:
     prediction = F.col("prediction_raw") * F.col("prediction_scale")
     out = scored.select(
         *keys, "date", prediction.alias("prediction"), "prediction_raw", "prediction_scale",
-        F.col("threshold_main").alias("threshold"),
+        "threshold",
     )
     signal = G.threshold_signal(F.col("prediction"), F.col("threshold"))
     return out.withColumn("signal", signal).withColumn("signal_label", G.signal_label(F.col("signal")))

@@ -42,7 +42,7 @@ def q4(expr: str) -> str:
     return f"floor(({expr})*10000+0.5)/10000"
 
 
-# --- shared SQL: market views of the tables ---------------------------------------------------------
+# --- shared SQL: bar views of the tables ---------------------------------------------------------
 
 BARS = f"""trades as (
   select l_suppkey as series, cast(l_shipdate as date) as date, l_extendedprice / l_quantity as px, l_quantity as qty,

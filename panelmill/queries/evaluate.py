@@ -15,7 +15,7 @@ from panelmill.operators import tuning as T
 from panelmill.queries.base import BARS, CTX_A, CTX_B, PREDS, RETURNS, over, q6, query, roll, six, with_
 from panelmill.queries.ingest import dirty_sql
 from panelmill.session import materialise
-from panelmill.sources import market as M
+from panelmill.sources import views as M
 
 K = M.KEYS
 preds = M.predictions

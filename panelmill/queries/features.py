@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from panelmill.functions import quantise
 from panelmill.operators import features as X
 from panelmill.operators import joins as J
-from panelmill.operators.prepare import prepare_calendar, prepare_dividends, prepare_market
+from panelmill.operators.prepare import prepare_calendar, prepare_dividends, prepare_bars
 from panelmill.plans.dataset import build_dataset
 from panelmill.queries.base import (
     BARS, BARS_5M, CALENDAR, CTX_A, CTX_B, DIVIDENDS, RETURNS, features_sql, over, q6, query, roll, six, with_,
 )
-from panelmill.sources import market as M
+from panelmill.sources import views as M
 
 K = M.KEYS
 

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from panelmill.functions import interval_name, interval_names, symbol_list, to_number
 from panelmill.operators import ingest as I
-from panelmill.operators.prepare import prepare_dated, prepare_market
+from panelmill.operators.prepare import prepare_dated, prepare_bars
 from panelmill.queries.base import BARS, BARS_5M, INSTRUMENTS, q6, query, six, with_
 from panelmill.session import scratch_path
-from panelmill.sources import market as M
+from panelmill.sources import views as M
 from panelmill.sources import nested as N
 from panelmill.sources.readers import load_dataset, read_candles, read_if_exists
 from panelmill.sources.writers import append_partitions, save_dataset, with_symbol_bucket
@@ -61,7 +61,7 @@ def dirty_sql() -> str:
   {_clean('c')} as close, {_clean('v')} as volume from dirty where try_cast(d as date) is not null
   qualify row_number() over (partition by series, try_cast(d as date) order by seq desc) = 1""")
 def coerce_columns(spark, folder):
-    return prepare_market(M.dirty_bars(spark, folder), K, recency=["seq"])
+    return prepare_bars(M.dirty_bars(spark, folder), K, recency=["seq"])
 
 
 @query("high_water_mark", with_(BARS) + "select series, max(date) as hwm from bars group by series")

@@ -8,7 +8,7 @@ from panelmill.queries.base import BARS, BARS_5M, query, six, with_
 from panelmill.queries.ingest import LATE
 from panelmill.queries.features import INTRADAY
 from panelmill.session import scratch_path
-from panelmill.sources import market as M
+from panelmill.sources import views as M
 from panelmill.streaming import bars as S
 
 CANDLE = "symbol string, interval string, ts timestamp, close double, volume double"
@@ -45,13 +45,13 @@ def stream_dedup(spark, folder):
     return spark.read.schema(bars.schema).parquet(out).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
-@query("stream_daily_rollup", INTRADAY.replace(
-    "from r group by", "from r where date + interval 1 day <= (select max(ts) from bars_5m) - interval 1 hour group by"))
+@query("stream_daily_rollup", INTRADAY)
 def stream_daily_rollup(spark, folder):
-    """Days the watermark has closed: those that end an hour or more before the newest bar."""
+    """Days as the watermark closes them, then those still open at the end of the bounded run."""
     land, out, checkpoint = (scratch_path(spark, n) for n in ("landing", "rollup", "checkpoint"))
     bars = M.bars_5m(spark, folder).withColumn("ts", F.col("ts").cast("timestamp"))
     bars.write.parquet(land)
     rollup = S.daily_rollup(S.landing(spark, land, bars.schema), M.KEYS)
     S.append_files(rollup, out, checkpoint).awaitTermination()
-    return six(spark.read.schema(rollup.schema).parquet(out))
+    closed = spark.read.schema(rollup.schema).parquet(out)
+    return six(closed.unionByName(S.open_days(spark.read.parquet(land), closed, M.KEYS)))

@@ -1,4 +1,4 @@
-"""Flatten nested market-data records into the raw tables."""
+"""Flatten nested records of a bar feed into the raw tables."""
 
 from __future__ import annotations
 

@@ -30,9 +30,9 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
             return reader.csv(path, header=True)
     except AnalysisException as error:
         if error.getCondition() == PATH_NOT_FOUND:
-            raise FileNotFoundError(f"Input file not found: {path}") from error
+            raise FileNotFoundError(f"there is nothing at {path}") from error
         raise
-    raise ValueError(f"Unsupported file format: {path}")
+    raise ValueError(f"{path} ends in no known format")
 
 
 def try_read(spark: SparkSession, path: str) -> DataFrame | None:

@@ -36,6 +36,7 @@ SCHEDULES = _schema(
     "closing_auction_start_time timestamp, closing_auction_end_time timestamp, "
     "evening_start_time timestamp, evening_end_time timestamp"
 )
+# The column names of the feed's records.
 STATUSES = _schema(
     "symbol string, instrument_id string, figi string, trading_status string, "
     "limit_order_available_flag boolean, market_order_available_flag boolean, "

@@ -1,4 +1,4 @@
-"""Market-shaped views of a star schema (lineitem, orders, events, supplier, nation).
+"""Bar-shaped views of a star schema (lineitem, orders, events, supplier, nation).
 
 The registered queries read these tables; a user with real candles starts from ``readers`` instead.
 """

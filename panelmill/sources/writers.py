@@ -25,7 +25,7 @@ def save_dataset(df: DataFrame, path: str) -> None:
     elif suffix in (".csv", ".txt"):
         df.write.mode("overwrite").option("header", True).csv(path)
     else:
-        raise ValueError(f"Unsupported output format: {path}")
+        raise ValueError(f"cannot write the format of {path}")
 
 
 def with_symbol_bucket(df: DataFrame, buckets: int) -> DataFrame:

@@ -45,12 +45,14 @@ def dedup(stream: DataFrame, keys: Sequence[str], ts: str = "ts", lateness: str
 def daily_rollup(stream: DataFrame, keys: Sequence[str], ts: str = "ts", lateness: str = "1 hour") -> DataFrame:
     """Daily vwap, range and volatility of intraday bars, emitted once the watermark closes the day.
 
-    The closes kept per open day are at most one per slot: 288 for five-minute bars.
+    A bar that comes twice counts once, so the closes kept per open day are at most one per slot: 288 for five-minute
+    bars. Days that the watermark has not closed when a bounded run ends come from ``open_days``.
     """
+    once = [*keys, ts]
+    stream = stream.withWatermark(ts, lateness).dropDuplicatesWithinWatermark(once) if stream.isStreaming else stream.dropDuplicates(once)
     ordered = F.array_sort(F.collect_list(F.struct(ts, "close")))
     daily = (
-        stream.withWatermark(ts, lateness)
-        .groupBy(*keys, F.window(ts, "1 day").alias("day"))
+        stream.groupBy(*keys, F.window(ts, "1 day").alias("day"))
         .agg(
             F.sum(F.col("close") * F.col("volume")).alias("traded"), F.sum("volume").alias("volume"),
             (F.max("high") - F.min("low")).alias("intraday_range"), ordered.alias("bars"),
@@ -75,6 +77,12 @@ def daily_rollup(stream: DataFrame, keys: Sequence[str], ts: str = "ts", latenes
     )
 
 
+def open_days(landed: DataFrame, closed: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame:
+    """The rollup of the days that the stream has not emitted, from the landed bars."""
+    left = landed.withColumn("date", F.to_date(ts)).join(closed.select(*keys, "date"), [*keys, "date"], "left_anti")
+    return daily_rollup(left.drop("date"), keys, ts)
+
+
 def append_files(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Exactly-once Parquet sink for a stream in append mode."""
     return (

@@ -224,3 +224,10 @@ def test_top_correlations(spark, holes):
     want = {c: pdf[[c, "y"]].dropna().rank().corr().iloc[0, 1] for c in "abc"}
     assert [c for c, _ in got] == ["b", "a"]
     assert dict(got) == pytest.approx({c: want[c] for c in "ba"})
+
+
+def test_rank_forms_agree_on_missing_values(spark):
+    data = [("A", 1, 0.3, 0.1), ("A", 2, None, 0.9), ("A", 3, 0.1, None), ("A", 4, 0.2, 0.05), ("A", 5, 0.5, 0.4), ("A", 6, None, None)]
+    df = spark.createDataFrame(data, "k string, day int, y double, pred double")
+    daily, pooled = (E.regression_metrics(df, ["k"], daily=d).first().ic_spearman for d in (True, False))
+    assert daily == pytest.approx(pooled) and daily == pytest.approx(1.0)

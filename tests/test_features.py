@@ -105,7 +105,7 @@ def test_time_split_errors(spark):
         P.time_split(df, ratios=(0.5, 0.3, 0.3))
     with pytest.raises(ValueError):
         P.time_split(df, ratios=(1.0, 0.0, 0.0))
-    with pytest.raises(Exception, match="too small"):
+    with pytest.raises(Exception, match="too few dates"):
         P.time_split(df).collect()
 
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from panelmill.functions import symbol_list, to_number
 from panelmill.operators import ingest as I
-from panelmill.operators.prepare import check_dates, prepare_calendar, prepare_dated, prepare_dividends, prepare_market
+from panelmill.operators.prepare import check_dates, prepare_calendar, prepare_dated, prepare_dividends, prepare_bars
 from panelmill.sources import readers as R
 from panelmill.sources import snapshots as S
 from panelmill.sources import writers as W
@@ -63,18 +63,18 @@ def test_instrument_choice(spark):
     assert rows(best, "symbol", "uid", "score") == [("ONLY", "u3", 110), ("TIE", "u4", 10), ("USDRUB", "u2", 200)]
 
 
-def test_market_frame_coerces_and_requires_columns(spark):
+def test_bar_frame_coerces_and_requires_columns(spark):
     df = spark.createDataFrame(
         [(1, "2020-01-01", "1", "inf", "x", "4", None), (2, "2020-01-01T10:00:00Z", "2", "3", "1", "2", "7"), (3, "bad", "1", "1", "1", "1", "1")],
         "seq int, Date string, OPEN string, high string, low string, close string, Volume string",
     )
-    got = prepare_market(df, recency=["seq"]).collect()
+    got = prepare_bars(df, recency=["seq"]).collect()
     assert [(r.date, r.open, r.high, r.low, r.close, r.volume) for r in got] == [(dt.date(2020, 1, 1), 2.0, 3.0, 1.0, 2.0, 7.0)]
     with pytest.raises(ValueError):
-        prepare_market(df.drop("close"))
-    assert prepare_market(df.select("Date", "close"), suffix="fx").columns == ["date", "close_fx"]
+        prepare_bars(df.drop("close"))
+    assert prepare_bars(df.select("Date", "close"), suffix="fx").columns == ["date", "close_fx"]
     with pytest.raises(ValueError):
-        prepare_market(df.where("seq = 3"), validate=True)
+        prepare_bars(df.where("seq = 3"), validate=True)
     with pytest.raises(ValueError):
         check_dates(df.where("seq > 9").withColumn("date", F.lit(None)))
     assert [r.n for r in spark.range(1).select(to_number(F.lit("inf")).alias("n")).collect()] == [None]
@@ -169,3 +169,20 @@ def test_readers_and_writers(spark, folder):
     assert empty.columns == ["v"] and empty.isEmpty()
     W.save_json(spark, {"a": 1, "b": None}, f"{folder}/j")
     assert W.load_json(spark, f"{folder}/j") == {"a": 1, "b": None}
+
+
+def test_texts_without_a_zone_are_utc_in_any_session(spark):
+    from panelmill.functions import to_day, to_instant
+
+    rows_in = [("2020-01-01 23:00:00",), ("2020-07-01",), ("2020-01-01T23:00:00+03:00",), ("2020-01-01 01:30:00 Europe/Paris",), ("2020-03-08 02:30:00",), ("no date",), (None,)]
+    df = spark.createDataFrame(rows_in, "d string")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = df.select(to_day(df, "d").cast("string").alias("day"), F.unix_micros(to_instant(df, "d")).alias("at")).collect()
+        start = spark.range(1).select(F.unix_micros(I.history_start("2020-01-01", F.lit("1d"), F.lit(None), F.lit(None), F.lit(None))).alias("at")).first().at
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert [r.day for r in got] == ["2020-01-01", "2020-07-01", "2020-01-01", "2020-01-01", "2020-03-08", None, None]
+    assert [r.at and r.at // 1_000_000 for r in got] == [1577919600, 1593561600, 1577908800, 1577838600, 1583634600, None, None]
+    assert start == 1577836800 * 1_000_000

@@ -85,6 +85,26 @@ def test_feature_columns(data):
         feature_columns(data.select("i", "y"), ["i"])
 
 
+def test_trees_do_not_depend_on_the_unit_of_the_target(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(400, 2))
+    y = 0.01 * (x[:, 0] + np.sin(3 * x[:, 1]))
+    base = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "y": y, "is_val": np.arange(400) % 4 == 0}))
+    grid = [{"learning_rate": 0.3, "max_depth": 3, "min_child_rows": 5}]
+    trees = []
+    for unit in (1.0, 100.0):
+        rows = prepare_vectors(base.withColumn("y", F.col("y") * unit), ["a", "b"])
+        trees.append(fit_candidates(rows, grid, rounds=12)[0].getNumTrees)
+    assert trees[0] == trees[1] > 3
+
+
+def test_quantile_trees_validate_the_last_round(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=300)
+    rows = prepare_vectors(spark.createDataFrame(pd.DataFrame({"a": x, "y": x, "is_val": np.arange(300) % 3 == 0})), ["a"])
+    assert len(QuantileGBT(0.5, rounds=3, rate=0.3, depth=2).fit(rows).trees) == 3
+
+
 def test_config_checks():
     for bad in (dict(alpha_low=0.9), dict(risk_multiple=0), dict(max_width=-1.0)):
         with pytest.raises(ValueError):
@@ -92,7 +112,7 @@ def test_config_checks():
 
 
 def test_latest_signal_uses_scale(spark):
-    row = spark.createDataFrame([("A", "2026-02-19", 0.3, 2.0, 0.5)], "k string, date string, prediction_raw double, prediction_scale double, threshold_main double")
+    row = spark.createDataFrame([("A", "2026-02-19", 0.3, 2.0, 0.5)], "k string, date string, prediction_raw double, prediction_scale double, threshold double")
     got = signal_rows(row, ["k"]).first()
     assert got.prediction == pytest.approx(0.6) and got.signal == 1 and got.signal_label == "long"
 
@@ -117,5 +137,10 @@ def test_full_run_saves_and_reloads(spark, folder):
     assert ic > 0.4
     got = latest_signal(df, folder).collect()
     assert {r.k for r in got} == {"A", "B"} and all(r.date == days[-1].date() for r in got)
-    assert latest_signal(df, folder, "ridge").count() == 2 and latest_signal(df, folder, "logreg").count() == 2
+    saved = {r.k: r for r in spark.read.parquet(f"{folder}/data/strategy").collect()}
+    for model, threshold, scaled in (
+            ("main", "threshold_main", True), ("ridge", "threshold_main", False), ("logreg", "threshold_logreg", False), ("quantile_lower", "threshold_main", False)):
+        rows = latest_signal(df, folder, model).collect()
+        assert len(rows) == 2 and all(r.threshold == saved[r.k][threshold] for r in rows)
+        assert all(r.prediction_scale == (saved[r.k]["prediction_scale"] if scaled else 1.0) for r in rows)
     assert spark.read.option("header", True).csv(f"{folder}/reports/model_quality").count() == 20

@@ -9,7 +9,7 @@ from panelmill.operators import tuning as T
 from panelmill.operators.joins import merge_context, trading_days_only
 from panelmill.operators.splits import time_split
 from panelmill.session import Stored, clear_scratch, materialise
-from panelmill.sources import market as M
+from panelmill.sources import views as M
 
 FOLDER = "/root/testdata/sf0.001"
 
