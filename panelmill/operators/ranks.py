@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from panelmill.session import materialise
+from panelmill.session import Stored, materialise
 
 FLAT = 1e-12  # fixed value: a deviation below this counts as constant
 
@@ -64,6 +64,7 @@ def rank_correlation(
         pairs = materialise(pairs, "pairs")
     sides = F.array(*[F.struct(F.lit(c).alias("_side"), F.col(c).alias("_v")) for c in ("_x", "_y")])
     ranks = value_ranks(pairs.select(*keys, F.explode(sides).alias("s")).select(*keys, "s.*"), [*keys, "_side"], "_v", "_r")
+    ranks = materialise(ranks, "value-ranks")  # then both sides of the joins are plain exchanges, and Spark splits frequent values
     for c in ("_x", "_y"):
         side = ranks.where(F.col("_side") == c).select(*keys, F.col("_v").alias(c), F.col("_r").alias(f"{c}_rank"))
         pairs = pairs.join(side, [*keys, c])
@@ -88,9 +89,9 @@ def top_correlations(df: DataFrame, target: str, features: Sequence[str], top_n:
     stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("x")) for c in varied])).alias("f")
     complete = all(stats[f"n{i}"] == stats["n"] for i, c in enumerate(cols) if c == target or c in varied)
     if complete:
-        ranked = base.join(value_ranks(base, [], "y", "ry"), "y")
+        ranked = base.join(materialise(value_ranks(base, [], "y", "ry"), "value-ranks"), "y")
         long = ranked.select("ry", stacked).select("f.*", "ry")
-        ranks = value_ranks(base.select(stacked).select("f.*"), ["feature"], "x", "rx")
+        ranks = materialise(value_ranks(base.select(stacked).select("f.*"), ["feature"], "x", "rx"), "value-ranks")
         scored = long.join(ranks, ["feature", "x"]).groupBy("feature").agg(guarded_corr("rx", "ry").alias("spearman"))
     else:
         long = base.select("y", stacked).select("f.*", "y").where("x is not null and y is not null")
@@ -98,59 +99,31 @@ def top_correlations(df: DataFrame, target: str, features: Sequence[str], top_n:
     return scored.orderBy(F.abs("spearman").desc(), "feature").limit(top_n)
 
 
-def _order_statistic(values: DataFrame, k: int, n: int, limit: int) -> float:
-    """Value at 0-based position ``k`` of the sorted column ``v``.
+def _at_positions(values: DataFrame, ks: Sequence[int]) -> dict[int, float]:
+    """Values at 0-based positions of the sorted column ``v``, all in one pass over range partitions.
 
-    Each pass brackets the position with approximate percentiles and keeps only the values strictly
-    inside the bracket, until few enough are left to sort.
+    Values are counted first, so repeated ones cost one row. A running count inside each range partition plus the count
+    of the partitions before it places every value; only the window over those partition totals is without a key.
     """
-    band, below, size, accuracy = values, 0, n, 10_000
-    while size > limit:
-        at = (k - below) / size
-        probs = [max(0.0, at - 2 / accuracy), min(1.0, at + 2 / accuracy)]
-        lo, hi = band.agg(F.percentile_approx("v", probs, accuracy)).head()[0]
-        v = F.col("v")
-        less, at_lo, inner, at_hi = band.agg(
-            F.count_if(v < lo), F.count_if(v == lo), F.count_if((v > lo) & (v < hi)), F.count_if((v == hi) & (v > lo))
-        ).head()
-        place = k - below
-        if place < less:
-            band, size = band.where(v < lo), less
-        elif place < less + at_lo:
-            return lo
-        elif place < less + at_lo + inner:
-            band, below, size = band.where((v > lo) & (v < hi)), below + less + at_lo, inner
-        elif place < less + at_lo + inner + at_hi:
-            return hi
-        else:
-            passed = less + at_lo + inner + at_hi
-            band, below, size = band.where(v > hi), below + passed, size - passed
-    return _sorted_positions(band, [k - below])[k - below]
-
-
-def _sorted_positions(values: DataFrame, ks: Sequence[int]) -> dict[int, float]:
-    """Values at 0-based positions of a column small enough to order in one task."""
-    counted = values.groupBy("v").agg(F.count(F.lit(1)).alias("c"))
-    upto = counted.select("v", F.sum("c").over(Window.orderBy("v")).alias("upto"))
-    found = upto.agg(*[F.min(F.when(F.col("upto") > k, F.col("v"))) for k in ks]).head()
+    laid = Stored(
+        values.groupBy("v").agg(F.count(F.lit(1)).alias("c")).repartitionByRange("v").withColumn("_part", F.spark_partition_id()), "quantiles")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = laid.df.groupBy("_part").agg(F.sum("c").alias("_m")).select("_part", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_offset"))
+    inside = F.sum("c").over(Window.partitionBy("_part").orderBy("v"))
+    placed = laid.df.select("v", "_part", inside.alias("_run")).join(offsets, "_part")
+    found = placed.agg(*[F.min(F.when(F.col("_offset") + F.col("_run") > k, F.col("v"))) for k in ks]).head()
+    laid.delete()
     return dict(zip(ks, found))
 
 
-def exact_quantiles(df: DataFrame, col: Column, probs: Sequence[float], limit: int = 1_000_000) -> list[float]:
-    """Linear-interpolation quantiles of a whole column, without gathering it in one task."""
-    values = df.select(col.cast("double").alias("v")).where(F.col("v").isNotNull()).persist()
-    try:
-        n = values.count()
-        if n == 0:
-            return [0.0 for _ in probs]
-        spots = [(n - 1) * p for p in probs]
-        ks = sorted({k for h in spots for k in (math.floor(h), math.ceil(h))})
-        if n <= limit:
-            known = _sorted_positions(values, ks)
-        else:
-            known = {k: _order_statistic(values, k, n, limit) for k in ks}
-    finally:
-        values.unpersist()
+def exact_quantiles(df: DataFrame, col: Column, probs: Sequence[float]) -> list[float]:
+    """Linear-interpolation quantiles of a whole column, by the same method for any number of rows."""
+    values = df.select(col.cast("double").alias("v")).where(F.col("v").isNotNull())
+    n = values.count()
+    if n == 0:
+        return [0.0 for _ in probs]
+    spots = [(n - 1) * p for p in probs]
+    known = _at_positions(values, sorted({k for h in spots for k in (math.floor(h), math.ceil(h))}))
     low = [known[math.floor(h)] for h in spots]
     high = [known[math.ceil(h)] for h in spots]
     return [a + (b - a) * (h - math.floor(h)) for h, a, b in zip(spots, low, high)]
