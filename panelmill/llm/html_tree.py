@@ -29,8 +29,10 @@ NAMES = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion promoted banner nav navbar navigation menu menubar "
     "breadcrumb breadcrumbs sidebar sidebars aside footer masthead topbar toolbar comment comments disqus reply replies respond cookie cookies consent "
     "gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations "
-    "widget widgets pagination pager skip tags tagcloud outbrain taboola disclaimer alert".split())
+    "widget widgets rail adsbygoogle pagination pager skip tags tagcloud outbrain taboola disclaimer alert".split())
 SPLIT_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: A menu without a name is one of these that holds little but links.
+LISTS = frozenset("ul ol dl div section table".split())
 #: An open element of these kinds ends where one of the others starts.
 CLOSED_BY = {
     "p": BLOCK, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "option": frozenset(["option"]),
@@ -40,13 +42,13 @@ SCOPE = {"li": frozenset(["ul", "ol", "menu"]), "tr": frozenset(["table"]), "td"
 
 
 class Node:
-    __slots__ = ("tag", "skip", "hint", "parent", "items", "score", "chars", "linked", "commas")
+    __slots__ = ("tag", "skip", "hint", "parent", "items", "score", "chars", "linked", "links", "commas")
 
     def __init__(self, tag: str, parent: Node | None, skip: bool, hint: float = 0.0) -> None:
         self.tag, self.parent, self.skip, self.hint = tag, parent, skip, hint
         self.items: list[Node | str] = []
         self.score = 0.0
-        self.chars = self.linked = self.commas = 0
+        self.chars = self.linked = self.links = self.commas = 0
 
 
 def boilerplate(tag: str, attributes: str, depth_main: bool) -> tuple[bool, float]:
@@ -156,7 +158,7 @@ def blocks(root: Node) -> list[str]:
             parts.append(unescape(x))
         elif x.tag in BLOCK:
             close()
-            if not x.skip:
+            if not x.skip and not (x.tag in LISTS and x.links > 2 and x.linked > 0.8 * x.chars):
                 todo.append(None)
                 todo += reversed(x.items)
         elif not x.skip:
@@ -174,10 +176,11 @@ def main_text(html: str) -> str:
         node.chars += len(text)
         node.commas += text.count(",")
         if node.tag == "a":
-            node.linked = node.chars
+            node.linked, node.links = node.chars, 1
         if node.parent is not None:
             node.parent.chars += node.chars
             node.parent.linked += node.linked
+            node.parent.links += node.links
             if node.tag not in BLOCK:
                 node.parent.commas += node.commas
     for node in nodes:
@@ -196,6 +199,10 @@ def main_text(html: str) -> str:
         return "\n".join(blocks(nodes[0])) if nodes else ""
     value = {id(x): (x.score + (x.hint if x.score > 0 else 0)) * (1 - x.linked / x.chars) for x in held}
     best = max(held, key=lambda x: value[id(x)])  # the first of equals: the outer one
+    around = best
+    while around is not None and not around.hint:
+        around = around.parent
+    best = around or best  # of a part of an article, the article
     if best.parent is None:
         return "\n".join(blocks(best))
     out = []

@@ -143,6 +143,8 @@ TEXT = "\n".join(f"Sentence number {i}, with a comma, and some more words to cou
     (f"<script>var p = '<p>no</p>';</script><style>p{{}}</style><!-- <p>no</p> --><article>{BODY}</article>", TEXT),
     ("<article><p>one <b>bold<br>line</b>\n\t two<p>three", "one bold line two\nthree"),
     ("<article><ul><li>a<li>b</ul><table><tr><td>c<td>d</table><pre>e\n  f</pre></article>", "a\nb\nc\nd\ne f"),
+    (f"<body><ul><li><a href=a>One</a><li><a href=b>Two</a><li><a href=c>Three</a></ul>{BODY}<ul><li>see <a href=d>this</a></ul></body>", TEXT + "\nsee this"),
+    (f"<article><h1>Title</h1><section>{BODY * 9}</section><section><p>short end</p></section></article>", "\n".join(["Title", *[TEXT] * 9, "short end"])),
     ("<div>a<div>b</div>c</div>", "a\nb\nc"), ("<p>cut off in a ta<", "cut off in a ta<"), ("<p>cut<a href='x", "cut"),
     ("<ARTICLE><P CLASS=Lead>Upper</P></ARTICLE>", "Upper"), ("<script>never closed <p>x</p>", ""), ("a</p></div></zzz>b", "ab"),
 ])
