@@ -35,8 +35,8 @@ def _is_done(edges: DataFrame) -> bool:
     return seen.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).isEmpty()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(u, root) for every node of ``edges`` (columns u, v) but the roots, root being the smallest node it can reach.
+def components(edges: DataFrame) -> Stored:
+    """The stored table (u, v) with v the smallest node that u can reach, for every node of ``edges`` but those smallest ones.
 
     Alternates large-star and small-star steps on stored tables until only stars are left, about as many rounds as the
     logarithm of the longest path. Runs when called. No edges: an empty table.
@@ -47,4 +47,4 @@ def components(edges: DataFrame) -> DataFrame:
         now.delete()
         now = _star(large.df, False)
         large.delete()
-    return now.df.select("u", F.col("v").alias("root"))
+    return now

@@ -7,15 +7,16 @@ ten million times. So the task is to find all pairs with that many common postin
 * skip: a document with fewer than MATCHES postings that anyone shares cannot be in a pair;
 * prefix: of m shared postings only the m - MATCHES + 1 rarest are merged, since pairs with enough collisions meet
   in one of those; long lists stay out of it and are counted by comparing signatures;
-* lists are first merged with their smallest member only. Pairs that are confirmed on the full sets become
-  components, and only what is then in different components of one list is paired up. So a large group of copies
-  costs as many rows as it has members, and no pair of different texts is lost.
+* lists are first merged with their smallest member, their leader, only. Pairs that are confirmed on the full sets
+  become components. Documents that share a list share its leader, so what is then in different components under one
+  leader is counted set against set inside tasks that hold a bounded part of the group each. Only links leave a task:
+  a large group of copies costs as many rows as it has members, and no pair of different texts is lost.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -25,8 +26,11 @@ from pyspark.sql import functions as F
 
 from panelmill.llm.common import free_name, store, texts
 from panelmill.llm.components import components
+from panelmill.session import Stored
 
 WORDS, COORDINATES, MATCHES = 5, 48, 18
+#: Shingles of the sets in one tile of a group.
+TILE = 500_000
 #: A pair is linked if 100 * common >= PERCENT * union.
 PERCENT = 75
 _random = np.random.default_rng(20240229)
@@ -110,16 +114,88 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
     return found.mapInArrow(count, "node binary, shingles array<bigint>").dropDuplicates(["node"])
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Those of the stored (u, v) that the full sets link."""
-    ends = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    sets = store(_full_sets(docs, nodes.join(ends, "node", "left_semi"), id_col, text_col), "minhash-sets").df
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Those of (u, v) that the full sets link."""
     both = pairs.join(sets.toDF("u", "set_u"), "u").join(sets.toDF("v", "set_v"), "v")
     common = F.size(F.array_intersect("set_u", "set_v")).alias("common")
     return (both.select("u", "v", common, (F.size("set_u") + F.size("set_v")).alias("total"))
             .where(100 * F.col("common") >= PERCENT * (F.col("total") - F.col("common"))).select("u", "v"))
 
 
+def _linked(index: list[tuple], probes: list[tuple], joined: dict) -> Iterator[tuple]:
+    """(u, v) of links between probes and indexed sets of other components.
+
+    Rows are (node, root, shingles). The index is an inverted list; a probe counts what it has in common with all.
+    ``joined`` leads from root to root through the links yielded so far, and a link inside one such tree adds nothing:
+    a tile yields fewer links than it has components.
+    """
+
+    def top(x: bytes) -> bytes:
+        while (up := joined.get(x, x)) != x:
+            joined[x] = joined.get(up, up)
+            x = up
+        return x
+
+    sizes = np.array([len(x[2]) for x in index])
+    flat = np.concatenate([np.asarray(x[2], np.int64) for x in index])
+    order = np.argsort(flat, kind="stable")
+    keys, owner = flat[order], np.repeat(np.arange(len(index)), sizes)[order]
+    for node, root, shingles in probes:
+        own = np.asarray(shingles, np.int64)
+        low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+        n = high - low
+        post = np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())
+        common = np.bincount(owner[post], minlength=len(index))
+        for k in np.flatnonzero(100 * common >= PERCENT * (sizes + len(own) - common)).tolist():
+            a, b = top(root), top(index[k][1])
+            if a != b:
+                joined[max(a, b)] = min(a, b)
+                yield node, index[k][0]
+
+
+def _across(stars: DataFrame, roots: DataFrame, nodes: DataFrame, sets: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Links between different components under one leader.
+
+    Each member is indexed in one tile of its group, of TILE shingles, and what is outside the group's most frequent
+    component is compared with all tiles.
+    """
+    under = stars.select(F.col("v").alias("leader"), F.col("u").alias("node"))
+    under = under.union(under.select("leader", F.col("leader").alias("node")).distinct())
+    members = keep(
+        under.join(roots, "node", "left").select("leader", "node", F.coalesce("root", "node").alias("root"))
+        .join(nodes.select("node", "n_shingles"), "node"), "minhash-under")
+    parts = members.groupBy("leader", "root").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
+    groups = keep(
+        parts.groupBy("leader").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.count(F.lit(1)).alias("roots"), F.ceil(F.sum("size") / TILE).alias("tiles"))
+        .where("roots > 1").drop("roots"), "minhash-mixed")
+    mixed = members.join(groups, "leader").select(
+        "leader", "node", "root", (F.col("root") != F.col("main")).alias("odd"), F.col("tiles").cast("int").alias("tiles"))
+    mixed = keep(mixed, "minhash-split")
+    rows = mixed.select("leader", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int").alias("tile"), F.lit(0).alias("role"), "node", "root").union(
+        mixed.where("odd").select("leader", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("tile"), F.lit(1), "node", "root"))
+    dealt = rows.join(sets, "node").select("leader", "tile", "role", "node", "root", "shingles").repartition("leader", "tile").sortWithinPartitions("leader", "tile", "role")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(group: tuple[list, list]) -> pa.RecordBatch:
+            links = list(_linked(*group, joined)) if group[0] and group[1] else []
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.binary()) for k in (0, 1)], ["u", "v"])
+
+        at, group, joined = None, ([], []), {}
+        for b in batches:
+            heads, sets = list(zip(*(c.to_pylist() for c in b.columns[:5]))), b.column(5)
+            for j, (leader, tile, role, node, root) in enumerate(heads):
+                if (leader, tile) != at or role == 1 and len(group[1]) >= 1000:
+                    yield found(group)
+                    if (leader, tile) == at:
+                        group = (group[0], [])
+                    else:
+                        at, group, joined = (leader, tile), ([], []), {}
+                group[role].append((node, root, sets[j].values.to_numpy(zero_copy_only=False)))
+        yield found(group)
+
+    return dealt.mapInArrow(compare, "u binary, v binary")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept, and node, root, text_key for further use.
 
@@ -129,50 +205,46 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     only counts if there is no other. Equal sets are one node; repeated rows are members of it, each on its own row.
     An empty table gives an empty result. Runs jobs when called; every table that is read twice is stored.
     """
+    used: list[Stored] = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        used.append(store(df, label))
+        return used[-1].df
+
     every = store(sketches(docs, id_col, text_col), "minhash-sketches").df
-    nodes = store(
+    nodes = keep(
         every.where("node is not null").groupBy("node").agg(
             F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"),
             F.min(F.struct("doc_id", "text_key")).alias("one"))
         .select("node", "first_id", "n_shingles", "sig", F.col("one.text_key").alias("text_key"), F.col("one.doc_id").alias("doc_id")),
-        "minhash-nodes").df
+        "minhash-nodes")
 
     postings = nodes.select("node", F.posexplode("sig").alias("at", "value")).select(
         "node", (F.shiftleft(F.col("at").cast("bigint"), 32) + F.col("value")).alias("post"))
-    shared = store(postings.groupBy("post").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1"), "minhash-shared").df
+    shared = keep(postings.groupBy("post").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("leader")).where("n > 1"), "minhash-shared")
     merged = (postings.join(shared, "post").groupBy("node")
               .agg(F.sort_array(F.collect_list(F.struct("n", "post", "leader"))).alias("posts")).where(F.size("posts") >= MATCHES))
-    prefixes = store(merged.select("node", F.slice("posts", 1, F.size("posts") - MATCHES + 1).alias("posts")), "minhash-prefixes").df
+    prefixes = keep(merged.select("node", F.slice("posts", 1, F.size("posts") - MATCHES + 1).alias("posts")), "minhash-prefixes")
 
     stars = prefixes.select(F.col("node").alias("u"), F.explode(F.array_distinct(F.col("posts.leader"))).alias("v")).where("u <> v")
-    first = store(_alike(stars, nodes), "minhash-stars").df
-    links = store(_confirmed(first, docs, nodes, id_col, text_col), "minhash-links").df
-    roots = store(components(links), "minhash-roots").df
-
-    # What a list holds outside its most frequent component is paired with everything of other components in it.
-    lists = prefixes.select("node", F.explode("posts.post").alias("post")).join(
-        roots.select(F.col("u").alias("node"), "root"), "node", "left").select("post", "node", F.coalesce("root", "node").alias("root"))
-    lists = store(lists, "minhash-lists").df
-    mains = (lists.groupBy("post", "root").count().groupBy("post").agg(F.max_by("root", F.struct("count", "root")).alias("main"), F.count(F.lit(1)).alias("n"))
-             .where("n > 1").select("post", "main"))
-    mains = store(mains, "minhash-mains").df
-    split = store(lists.join(mains, "post"), "minhash-split").df
-    odd = split.where("root <> main").select("post", F.col("node").alias("a"), F.col("root").alias("root_a"))
-    cross = (odd.join(split.select("post", F.col("node").alias("b"), "root", "main"), "post")
-             .where((F.col("root_a") != F.col("root")) & ((F.col("root") == F.col("main")) | (F.col("a") < F.col("b"))))
-             .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    tried = first.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    second = store(_alike(cross.join(tried, ["u", "v"], "left_anti"), nodes), "minhash-cross").df
-    if not second.isEmpty():
-        more = store(_confirmed(second, docs, nodes, id_col, text_col), "minhash-more").df
-        if not more.isEmpty():
-            roots = components(roots.select("u", F.col("root").alias("v")).union(more))
-
-    member = nodes.select("node", "first_id").join(roots.select(F.col("u").alias("node"), "root"), "node", "left").select(
+    first = _alike(stars, nodes)
+    ends = stars.select(F.col("u").alias("node")).union(stars.select(F.col("v").alias("node"))).distinct()
+    sets = keep(_full_sets(docs, nodes.join(ends, "node", "left_semi"), id_col, text_col), "minhash-sets")
+    links = keep(_confirmed(first, sets), "minhash-links")
+    used.append(components(links))
+    roots = used[-1].df.toDF("node", "root")
+    more = keep(_across(stars, roots, nodes, sets, keep), "minhash-more")
+    if not more.isEmpty():
+        used.append(components(roots.toDF("u", "v").union(more)))
+        roots = used[-1].df.toDF("node", "root")
+
+    member = nodes.select("node", "first_id").join(roots, "node", "left").select(
         "node", "first_id", F.coalesce("root", "node").alias("root"))
-    member = store(member, "minhash-members").df
-    least = store(member.groupBy("root").agg(F.min("first_id").alias("component_id")), "minhash-least").df
+    member = keep(member, "minhash-members")
+    least = keep(member.groupBy("root").agg(F.min("first_id").alias("component_id")), "minhash-least")
     ids = store(member.join(least, "root").select("node", "root", "component_id"), "minhash-ids").df
+    for table in used:  # all but the sketches and the ids, which the result reads
+        table.delete()
     return (every.select("doc_id", "n_shingles", "node", "text_key").join(ids, "node", "left")
             .withColumn("component_id", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")))
             .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),

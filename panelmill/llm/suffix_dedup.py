@@ -10,7 +10,7 @@ successors are sorted, the others are induced from them by a scan over the bucke
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelmill.llm.common import store, texts
+from panelmill.session import Stored
 
 SPAN, GRAM = 400, 160
 _WINDOW = SPAN - GRAM + 1
@@ -257,7 +258,7 @@ def _compared(pieces: DataFrame) -> DataFrame:
     return dealt.mapInArrow(compare, SPANS.format(kind))
 
 
-def _counted(pieces: DataFrame) -> DataFrame:
+def _counted(pieces: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """The same for anchors with more than HOT stretches: every run is a row of two hashes, counted before the shuffle."""
     kind = pieces.schema["doc_id"].dataType.simpleString()
 
@@ -270,13 +271,22 @@ def _counted(pieces: DataFrame) -> DataFrame:
                     [b.column(0).take(own), b.column(1).take(own), pa.array(range(low, low + len(runs)), pa.int32()), pa.array(runs, pa.binary())],
                     ["doc_id", "tag", "start", "run"])
 
-    runs = store(pieces.mapInArrow(spread, f"doc_id {kind}, tag int, start int, run binary"), "suffix-runs").df
-    twice = store(runs.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix-twice").df
+    runs = keep(pieces.mapInArrow(spread, f"doc_id {kind}, tag int, start int, run binary"), "suffix-runs")
+    twice = keep(runs.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix-twice")
     return runs.join(twice, "run").select("doc_id", "tag", "start", (F.col("start") + SPAN).alias("stop"))
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, tag, start, stop) of bytes that are repeated; spans of a document may overlap and repeat."""
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[Stored]]:
+    """(doc_id, tag, start, stop) of bytes that are repeated, and the stored tables it reads.
+
+    Spans of a document may overlap and repeat.
+    """
+    used: list[Stored] = []
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        used.append(store(df, label))
+        return used[-1].df
+
     rows = _keyed(docs, id_col, text_col)
     every = store(_anchor_table(rows), "suffix-anchors")
     again = store(
@@ -284,26 +294,27 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         .where("n > 1").select("anchor", (F.col("s") != F.col("z")).alias("mixed")), "suffix-again")
     hits = store(every.df.join(again.df, "anchor"), "suffix-hits")
     every.delete(), again.delete()
+    used.append(hits)
     hits = hits.df
 
-    kinds = store(
+    kinds = keep(
         hits.groupBy("anchor", "stretch", "mixed").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "tag", "at", "low", "high")).alias("one")),
-        "suffix-kinds").df
-    whole = store(kinds.where("n > 1").select("anchor", "stretch"), "suffix-whole").df
+        "suffix-kinds")
+    whole = keep(kinds.where("n > 1").select("anchor", "stretch"), "suffix-whole")
     covered = hits.join(whole, ["anchor", "stretch"]).select("doc_id", "tag", F.col("low").alias("start"), (F.col("high") + SPAN).alias("stop"))
 
     # Only groups with a stretch that occurs once are left; of the others in them one stretch each stands for all.
     mixed = kinds.where("mixed")
-    open_groups = store(
+    open_groups = keep(
         mixed.groupBy("anchor").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("kinds")).where("least = 1").select("anchor", "kinds"),
-        "suffix-open").df
-    members = store(mixed.join(open_groups, "anchor").select("anchor", "one.*", "kinds"), "suffix-members").df
-    pieces = store(_pieces(rows, members.where(F.col("kinds") <= HOT)), "suffix-pieces").df
+        "suffix-open")
+    members = keep(mixed.join(open_groups, "anchor").select("anchor", "one.*", "kinds"), "suffix-members")
+    pieces = keep(_pieces(rows, members.where(F.col("kinds") <= HOT)), "suffix-pieces")
     spans = covered.unionByName(_compared(pieces))
     hot = members.where(F.col("kinds") > HOT)
     if not hot.isEmpty():
-        spans = spans.unionByName(_counted(_pieces(rows, hot)))
-    return spans
+        spans = spans.unionByName(_counted(_pieces(rows, hot), keep))
+    return spans, used
 
 
 def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep_bytes: bool = False) -> DataFrame:
@@ -316,9 +327,12 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     rows = _keyed(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
+    found, used = repeated_spans(docs, id_col, text_col)
     spans = store(
-        repeated_spans(docs, id_col, text_col).groupBy(F.col("doc_id").alias("id"), F.col("tag").alias("of"))
+        found.groupBy(F.col("doc_id").alias("id"), F.col("tag").alias("of"))
         .agg(F.collect_set(F.struct("start", "stop")).alias("spans")), "suffix-spans").df
+    for table in used:
+        table.delete()
     joined = rows.join(spans, _same_row(rows, spans), "left").select("doc_id", "data", "spans.start", "spans.stop")
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

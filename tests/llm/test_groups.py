@@ -59,7 +59,7 @@ def test_no_rows(spark):
 
 def test_components_of_a_path_a_ring_and_a_star(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 102), (102, 100)] + [(200, 200 + i) for i in range(1, 30)] + [(7, 7)]
-    got = {r.u: r.root for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
+    got = {r.u: r.v for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).df.collect()}
     assert got == {i: 1 for i in range(2, 41)} | {101: 100, 102: 100} | {200 + i: 200 for i in range(1, 30)}
 
 
@@ -90,16 +90,18 @@ def near_rows():
     base = [rnd.choice(words) for _ in range(150)]
     rows = [(1, " ".join(base)), (2, " ".join(base).upper()), (3, "\n".join(base)), (4, None), (5, ""), (6, " \t"), (7, "one two"), (8, "One\ttwo"),
             (9, "one two three"), (None, "one two"), (11, " ".join(base)), (11, " ".join(base)), (12, "É t"), (13, "é t")]
-    for k in range(60):  # a family around the threshold: chains that only some members link
+    for k in range(90):  # a family around the threshold: chains that only some members link
         copy = list(base)
-        for _ in range(rnd.randint(1, 6)):
+        for _ in range(rnd.randint(1, 9)):
             copy[rnd.randrange(len(copy))] = rnd.choice(words)
         rows.append((100 + k, " ".join(copy)))
     rows += [(300 + k, " ".join(rnd.choice(words) for _ in range(rnd.randint(1, 40)))) for k in range(30)]
     return rows
 
 
-def test_near_groups(spark):
+@pytest.mark.parametrize("tile", [500_000, 700])
+def test_near_groups(spark, monkeypatch, tile):
+    monkeypatch.setattr(minhash_join, "TILE", tile)
     rows = near_rows()
     got = near_groups(frame(spark, rows)).select("doc_id", "n_shingles", "component_id", "kept")
     assert sorted((tuple(r) for r in got.collect()), key=str) == near_expected(rows)
