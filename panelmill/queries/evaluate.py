@@ -278,12 +278,11 @@ def table_profile(spark, folder):
     return report.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("date_min", "date_max")})
 
 
-@query("common_window", with_(BARS, CTX_B) + """select case when start > "end" then 'empty_intersection' else 'ok' end as status, start, "end" from (
-  select greatest((select min(date) from bars), (select min(date) from ctx_b))::timestamp as start,
-         least((select max(date) from bars), (select max(date) from ctx_b))::timestamp as "end")""")
+@query("common_window", with_(BARS, dirty_sql(), CTX_B) + """select case when start > "end" then 'empty_intersection' else 'ok' end as status, start, "end" from (
+  select greatest((select min(date) from bars), (select min(date) from ctx_b), (select min(try_cast(d as date)) from dirty))::timestamp as start,
+         least((select max(date) from bars), (select max(date) from ctx_b), (select max(try_cast(d as date)) from dirty))::timestamp as "end")""")
 def common_window(spark, folder):
-    tables = {n: df for n, df in _profiles(spark, folder).items() if n in ("bars", "context", "suppliers", "absent")}
-    out = Q.quality_report(tables, spark)["common_window"]
+    out = Q.quality_report(_profiles(spark, folder), spark)["common_window"]
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("start", "end")})
 
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from panelmill.functions import quantise
+from panelmill.functions import feature_columns, quantise
 from panelmill.operators import features as X
 from panelmill.operators import joins as J
+from panelmill.operators import ranks as R
 from panelmill.operators.prepare import prepare_calendar, prepare_dividends, prepare_bars
 from panelmill.plans.dataset import build_dataset
 from panelmill.queries.base import (
     BARS, BARS_5M, CALENDAR, CTX_A, CTX_B, DIVIDENDS, RETURNS, features_sql, over, q6, query, roll, six, with_,
 )
+from panelmill.session import materialise
 from panelmill.sources import views as M
 
 K = M.KEYS
@@ -193,6 +195,21 @@ def features_daily(spark, folder):
     return six(dataset(spark, folder)).select("series", "date", *_DOUBLES, *_INTS)
 
 
+_RANKED = [c for c in [*_DOUBLES, *_INTS] if c not in ("y", "y_dir")]
+
+
+@query("all_correlations", _ALL_DAILY.rstrip() + ", ok as (select " + ", ".join(f"{q6(c)} as {c}" for c in _DOUBLES) + ", " + ", ".join(f"{c}::double as {c}" for c in _INTS)
+       + " from feat where " + " and ".join(f"{c} is not null" for c in _DOUBLES) + "), "
+       + f"long as (select y, unnest([{', '.join(repr(c) for c in _RANKED)}]) as feature, unnest([{', '.join(_RANKED)}]) as x from ok), "
+       + "r as (select feature, rank() over (partition by feature order by x) + (count(*) over (partition by feature, x) - 1) / 2.0::double as rx, "
+       "rank() over (partition by feature order by y) + (count(*) over (partition by feature, y) - 1) / 2.0::double as ry, x from long) "
+       + f"select feature, {q6('corr(rx, ry)')} as spearman from r group by feature having min(x) < max(x) order by abs(corr(rx, ry)) desc, feature limit 20")
+def all_correlations(spark, folder):
+    """The 20 features that follow the target most closely, of all the features of the daily panel."""
+    df = materialise(six(dataset(spark, folder)), "features")
+    return six(R.top_correlations(df, "y", feature_columns(df, K), 20))
+
+
 # --- indicators -------------------------------------------------------------------------------------
 
 
