@@ -41,7 +41,7 @@ def main() -> None:
         spark.catalog.clearCache()
     print(json.dumps({
         "metric": "total seconds of the headline queries", "value": round(sum(times.values()), 3), "unit": "sec",
-        "queries": times, "sf": folder.rstrip("/").rsplit("sf", 1)[-1],
+        "queries": times, "cpus": int(os.environ["BENCH_CPUS"]), "sf": folder.rstrip("/").rsplit("sf", 1)[-1],
     }))
     spark.stop()
 
