@@ -1,6 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import functions as F
 
 from panelmill.functions import feature_columns
@@ -8,6 +9,8 @@ from panelmill.models import (
     QuantileGBT, QuantileGBTModel, add_direction, candidate_grid, feature_importance, fit_candidates, fit_logistic, fit_ridge,
     prepare_vectors,
 )
+from panelmill.models import trees
+from panelmill.models.trees import stopping_round
 from panelmill.plans.training import TrainConfig, latest_signal, signal_rows, train_and_evaluate
 
 N = 400
@@ -98,6 +101,44 @@ def test_trees_do_not_depend_on_the_unit_of_the_target(spark):
     assert trees[0] == trees[1] > 3
 
 
+def test_stopping_round_waits_for_patience():
+    errors = [5.0, 4.0, 4.5, 4.2, 3.0, 3.5, 3.5, 3.5, 2.0]
+    assert stopping_round(errors, 2) == (2, True)  # two rounds without a gain
+    assert stopping_round(errors, 3) == (5, True)
+    assert stopping_round(errors, 9) == (9, False)
+
+
+def test_a_noisy_rise_does_not_end_a_fit(spark, folder):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(500, 3))
+    y = 0.01 * (0.3 * x[:, 0] + rng.normal(size=500))
+    rows = prepare_vectors(spark.createDataFrame(pd.DataFrame(
+        {"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "y": y, "is_val": np.arange(500) % 3 == 0})), ["a", "b", "c"]).cache()
+    grid = [{"learning_rate": 0.05, "max_depth": 2, "min_child_rows": 15}]
+    whole = fit_candidates(rows.withColumn("is_val", F.lit(False)).join(rows.select("a", F.col("is_val").alias("held")), "a").where("not held"), grid, rounds=24)[0]
+    held = rows.where("is_val")
+    errors = list(whole.evaluateEachIteration(held, "squared"))
+    rise = next(i for i in range(1, 24) if errors[i] > min(errors[:i]))
+    best = int(np.argmin(errors)) + 1
+    assert rise < best < 24  # the first rise comes before the best round
+    model = fit_candidates(rows, grid, rounds=24)[0]
+    assert model.getNumTrees == best and len(model.featureImportances) == 3
+    assert model.evaluateEachIteration(held, "squared")[-1] == pytest.approx(min(errors), rel=1e-9)
+    model.write().overwrite().save(f"{folder}/cut")
+    again = GBTRegressionModel.load(f"{folder}/cut").transform(held.select("a", "features"))
+    both = again.join(model.transform(held).select("a", F.col("pred").alias("p")), "a")
+    assert again.count() == both.where("pred = p").count()
+
+
+def test_fits_go_on_beyond_the_first_chunk(data, monkeypatch):
+    rows = prepare_vectors(data, ["a", "b", "c"]).withColumn("is_val", F.col("i") % 5 == 0).cache()
+    grid = [{"learning_rate": 0.1, "max_depth": 2, "min_child_rows": 15}]
+    one = fit_candidates(rows, grid, rounds=16)[0]
+    monkeypatch.setattr(trees, "FIRST_ROUNDS", 3)
+    parts = fit_candidates(rows, grid, rounds=16)[0]
+    assert parts.getNumTrees == one.getNumTrees > 6 and parts.toDebugString.split("\n")[1:] == one.toDebugString.split("\n")[1:]
+
+
 def test_quantile_trees_validate_the_last_round(spark):
     rng = np.random.default_rng(6)
     x = rng.normal(size=300)
