@@ -22,7 +22,7 @@ WORD = DIGITS + LETTERS
 
 #: The candidates of each kind, in order of precedence. None of them may begin or end inside a longer word or number.
 PATTERNS = {
-    "secret": r"(?i:\b(?:api[_-]?key|access[_-]?key|secret(?:[_-]?key)?|token|passwd|password|pwd))[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_+/=.-]{6,200}",
+    "secret": r"(?i:\b(?:api[_-]?key|access[_-]?key|secret(?:[_-]?key)?|token|passwd|password|pwd))[\"']?[ \t]{0,3}[=:][ \t]{0,3}[\"']?[A-Za-z0-9_+/=.-]{6,}",
     "key": r"(?<![A-Za-z0-9])(?:AKIA|ASIA)[A-Z0-9]{16}(?![A-Za-z0-9])",
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){1,8}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -116,14 +116,14 @@ def refill(shape: Column, symbols: str, fresh: Column) -> Column:
 def _refill(shape: Column, symbols: str, fresh: Column) -> Column:
     start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
 
-    def put(s: Column, c: Column) -> Column:
-        new = F.substring(fresh, s["at"], F.lit(1))
-        take = c.rlike(f"^[{symbols}]$")
+    def put(s: Column, run: Column) -> Column:
+        take, new = run.rlike(f"^[{symbols}]"), F.substring(fresh, s["at"], F.length(run))
+        written = F.array_join(F.zip_with(F.split(run, ""), F.split(new, ""), lambda c, n: F.when(c.rlike("^[A-Z]$"), F.upper(n)).otherwise(n)), "")
         return F.struct(
-            F.concat(s["out"], F.when(~take, c).when(c.rlike("^[A-Z]$"), F.upper(new)).otherwise(new)).alias("out"),
-            (s["at"] + take.cast("int")).alias("at"))
+            F.concat(s["out"], F.when(take, written).otherwise(run)).alias("out"),
+            (s["at"] + F.when(take, F.length(run)).otherwise(0)).alias("at"))
 
-    return F.aggregate(F.filter(F.split(shape, ""), lambda c: c != ""), start, put, lambda s: s["out"])
+    return F.aggregate(F.regexp_extract_all(shape, F.lit(f"[{symbols}]+|[^{symbols}]+"), F.lit(0)), start, put, lambda s: s["out"])
 
 
 def _ip(m: Column, key: str) -> Column:

@@ -309,3 +309,17 @@ def test_suffix_order_and_common_prefixes():
         marks = repeated_starts(raw, full)
         starts = [raw[i: i + SPAN] for i in np.flatnonzero(full)]
         assert marks[full].tolist() == [starts.count(s) > 1 for s in starts]
+
+
+# --- pseudonyms: whole values and neighbours
+
+def test_long_secrets_are_replaced_whole(spark):
+    rng = random.Random(3)
+    value = "".join(rng.choice("ABCDEFabcdef0123456789._-ghijXYZ") for _ in range(450))
+    long = "Q" * 4_000 + "9z" * 3_000
+    got = pseudonymise(docs_of(spark, [(1, f"token={value} end"), (2, f"password: {long}")]), "k").orderBy("doc_id").collect()
+    fresh = got[0].text[len("token="):-len(" end")]
+    assert len(fresh) == 450 and all(a.isalnum() == b.isalnum() for a, b in zip(value, fresh))
+    same = [sum(a == b for a, b in zip(value[i:i + 50], fresh[i:i + 50]) if a.isalnum()) for i in range(0, 450, 50)]
+    assert max(same) < 20 and got[0].n_replaced == 1  # no stretch stays, also beyond 200 characters
+    assert len(got[1].text) == len("password: ") + 10_000 and long[-100:] not in got[1].text and long[:100] not in got[1].text
