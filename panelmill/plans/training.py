@@ -142,6 +142,14 @@ def select_model(fit_rows: DataFrame, keys: Sequence[str], cfg: TrainConfig) ->
     return gbt, table, scales
 
 
+def quantile_model(alpha: float, params: Mapping, cfg: TrainConfig) -> QuantileGBT:
+    """The quantile learner with the settings of a candidate."""
+    return QuantileGBT(
+        alpha, rounds=cfg.quantile_rounds or cfg.rounds, rate=params["learning_rate"], depth=params["max_depth"],
+        min_rows=params["min_child_rows"], patience=PATIENCE, seed=cfg.seed,
+    )
+
+
 def run_split(df: DataFrame, keys: Sequence[str], cfg: TrainConfig, features: Sequence[str] | None = None) -> SplitRun:
     """Everything on one split. ``df`` has ``split``, ``date``, ``y``, ``y_dir`` and numeric features."""
     keys = list(keys)
@@ -158,13 +166,7 @@ def run_split(df: DataFrame, keys: Sequence[str], cfg: TrainConfig, features: Se
     chosen = selection.head()["candidate_id"]
     params = cfg.grid[chosen]
 
-    def quantile(alpha: float) -> QuantileGBTModel:
-        return QuantileGBT(
-            alpha, rounds=cfg.quantile_rounds or cfg.rounds, rate=params["learning_rate"], depth=params["max_depth"],
-            min_rows=params["min_child_rows"], patience=PATIENCE, seed=cfg.seed,
-        ).fit(fit_rows)
-
-    lower, upper = quantile(cfg.alpha_low), quantile(cfg.alpha_high)
+    lower, upper = (quantile_model(alpha, params, cfg).fit(fit_rows) for alpha in (cfg.alpha_low, cfg.alpha_high))
     fit_rows.unpersist()
     models = {"ridge": ridge, "logreg": logistic, "main": gbt[chosen], "quantile_lower": lower, "quantile_upper": upper}
 

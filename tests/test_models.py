@@ -11,6 +11,7 @@ from panelmill.models import (
 )
 from panelmill.models import trees
 from panelmill.models.trees import stopping_round
+from panelmill.queries import QUERIES, modelling
 from panelmill.plans.training import TrainConfig, latest_signal, signal_rows, train_and_evaluate
 
 N = 400
@@ -146,6 +147,27 @@ def test_quantile_trees_validate_the_last_round(spark):
     assert len(QuantileGBT(0.5, rounds=3, rate=0.3, depth=2).fit(rows).trees) == 3
 
 
+def test_registered_queries_run_the_full_search(spark, monkeypatch):
+    """Nothing is fitted: every query is stopped where it hands its settings to the models."""
+    class Seen(Exception):
+        pass
+
+    def stop(*args, **kwargs):
+        raise Seen(next(a for a in args if isinstance(a, TrainConfig)))
+
+    days = pd.bdate_range("2020-01-01", periods=200)
+    panel = spark.createDataFrame(pd.DataFrame({"series": "A", "date": days.date, "y": 0.1, "y_dir": 1, "f1": 1.0}))
+    monkeypatch.setattr(modelling, "dataset", lambda *_: panel)
+    for name in ("select_model", "run_split", "train_and_evaluate", "walk_forward_run"):
+        monkeypatch.setattr(modelling, name, stop)
+    for name in ("gbt_select", "quantile_gbt", "feature_importance", "train_evaluate", "walk_forward_run", "model_latest_signal"):
+        with pytest.raises(Seen) as seen:
+            QUERIES[name](spark, "/root/testdata/sf0.001")
+        cfg = seen.value.args[0]
+        assert list(cfg.grid) == candidate_grid() and cfg.rounds == (cfg.quantile_rounds or cfg.rounds) == 2500, name
+        assert len(cfg.scales) == 6 and cfg.folds == 6, name
+
+
 def test_config_checks():
     for bad in (dict(alpha_low=0.9), dict(risk_multiple=0), dict(max_width=-1.0)):
         with pytest.raises(ValueError):
