@@ -35,6 +35,12 @@ PATTERNS = {
 }
 #: Lines without any of these characters hold no candidate, and no candidate goes over the end of a line.
 HINT = "[0-9@=:]"
+NUMBERS = f"^(?:{PATTERNS['card']}|{PATTERNS['iban']})$"
+#: Runs of groups in which a card or an account number can stand beside other groups, and one group with what is before it.
+CARD_RUN, CARD_GROUP = r"(?<![0-9])[0-9]++(?:[ -][0-9]++)*+", "[ -]?[0-9]+"
+IBAN_RUN, IBAN_GROUP = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]*+(?![A-Za-z0-9])(?: [A-Z0-9]++(?![A-Za-z0-9]))*+", " ?[A-Z0-9]+"
+#: Usual groupings of cards; they go before others that may pass the check by chance.
+CARD_FORM = r"^[ -]?(?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}(?:[ -][0-9]{3})?|3[0-9]{3}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{13,19})$"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: Days from 1900-01-01 that date pseudonyms are drawn from, as a product of two numbers for the two halves.
 FIRST_DAY, DAY_A, DAY_B = "1900-01-01", 250, 292
@@ -162,6 +168,67 @@ def _iban(m: Column, key: str) -> Column:
         F.length(flat).between(15, 34) & (mod97(flat) == 1), refill(m, "A-Z0-9", fresh(flat))))
 
 
+def _parts(run: Column, group: str, most: int, rank: Callable[[Column], Column], fresh: Callable[[Column], Column]) -> Column:
+    """``(text, n)``: a run of groups with its valid parts replaced, and their number.
+
+    A part is one or more whole groups, at most ``most``. ``rank`` is null for a part that is not valid; of the valid parts
+    that begin at a group the smallest rank counts, of rank 0 the shortest, of others the longest, and a part gives way to one of rank 0 inside it.
+    """
+    def spans(groups: Column) -> Column:
+        return F.transform(groups, lambda g, i: F.array_min(F.filter(F.transform(
+            F.sequence(F.lit(1), F.least(F.lit(most), F.size(groups) - i)),
+            lambda w: let(rank(F.array_join(F.slice(groups, i + 1, w), "")), lambda r: F.struct(
+                r.alias("rank"), F.when(r == 0, w).otherwise(-w).alias("order"), w.alias("w")))), lambda x: x["rank"].isNotNull())))
+
+    def write(groups: Column, best: Column) -> Column:
+        start = F.struct(F.lit(1).alias("at"), F.array().cast("array<string>").alias("out"), F.lit(0).alias("n"))
+
+        def step(s: Column, i: Column) -> Column:
+            own = F.element_at(best, i)
+            inside = F.exists(F.slice(best, i + 1, own["w"] - 1), lambda x: F.coalesce(x["rank"] == 0, F.lit(False)))
+            take = own.isNotNull() & ((own["rank"] == 0) | ~F.coalesce(inside, F.lit(False)))
+            return F.when(i < s["at"], s).when(take, F.struct(
+                (i + own["w"]).alias("at"), F.array_append(s["out"], fresh(F.array_join(F.slice(groups, i, own["w"]), ""))).alias("out"),
+                (s["n"] + 1).alias("n"))).otherwise(F.struct(
+                    (i + 1).alias("at"), F.array_append(s["out"], F.element_at(groups, i)).alias("out"), s["n"].alias("n")))
+
+        return F.aggregate(F.sequence(F.lit(1), F.size(groups)), start, step, lambda s: F.struct(F.array_join(s["out"], "").alias("text"), s["n"].alias("n")))
+
+    return let(F.regexp_extract_all(run, F.lit(group), F.lit(0)), lambda groups: let(spans(groups), lambda best: write(groups, best)))
+
+
+def _card_parts(run: Column, key: str) -> Column:
+    def rank(part: Column) -> Column:
+        return let(only(part, "0-9"), lambda d: F.when(
+            F.length(d).between(13, 19), F.when(luhn_sum(d) % 10 == 0, F.when(part.rlike(CARD_FORM), 0).otherwise(1))))
+
+    return _parts(run, CARD_GROUP, 19, rank, lambda part: _card(part, key))
+
+
+def _iban_parts(run: Column, key: str) -> Column:
+    def rank(part: Column) -> Column:
+        return let(F.replace(part, F.lit(" "), F.lit("")), lambda flat: F.when(
+            flat.rlike("^[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}$"), F.when(mod97(flat) == 1, 0)))
+
+    return _parts(run, IBAN_GROUP, 9, rank, lambda part: F.concat(
+        F.regexp_extract(part, "^ ?", 0), _iban(F.ltrim(part), key)))
+
+
+def _mend(text: Column, run: str, long: str, parts: Callable[[Column], Column]) -> Column:
+    """``(text, n)`` of a line whose replaced values stand between line feeds: parts of the runs elsewhere are replaced."""
+    def segment(piece: Column) -> Column:
+        return let(F.transform(F.regexp_extract_all(piece, F.lit(run), F.lit(0)), lambda m: F.when(m.rlike(long), parts(m)).otherwise(
+            F.struct(m.alias("text"), F.lit(0).alias("n")))), lambda fresh: F.struct(
+                F.array_join(F.zip_with(F.split(piece, run, -1), fresh, lambda t, m: F.concat(
+                    t, F.coalesce(F.concat(F.lit("\n"), m["text"], F.lit("\n")), F.lit("")))), "").alias("text"),
+                F.aggregate(fresh, F.lit(0), lambda n, x: n + x["n"]).alias("n")))
+
+    pieces = F.transform(F.split(text, "\n", -1), lambda piece, i: F.when(i % 2 == 0, segment(piece)).otherwise(
+        F.struct(F.concat(F.lit("\n"), piece, F.lit("\n")).alias("text"), F.lit(0).alias("n"))))
+    return let(pieces, lambda p: F.struct(
+        F.array_join(F.transform(p, lambda x: x["text"]), "").alias("text"), F.aggregate(p, F.lit(0), lambda n, x: n + x["n"]).alias("n")))
+
+
 def _phone(m: Column, key: str) -> Column:
     """The country code of a number that begins with "+" stays."""
     def fresh(land: Column) -> Column:
@@ -206,28 +273,42 @@ def pseudonym(m: Column, key: str) -> Column:
                    .otherwise(F.coalesce(_date(m, key, "dd/MM/yyyy"), _date(m, key, "MM/dd/yyyy"))))
     out = out.when(is_kind["ssn"], _ssn(m, key))
     return out.otherwise(F.coalesce(
-        F.when(is_kind["iban"], _iban(m, key)), F.when(is_kind["card"], _card(m, key)), F.when(is_kind["phone"], _phone(m, key))))
+        F.when(is_kind["iban"], _iban(m, key)), F.when(is_kind["card"] & m.rlike(CARD_FORM), _card(m, key)), F.when(is_kind["phone"], _phone(m, key))))
 
 
 def pseudonymise(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, text with pseudonyms, n_found (candidates), n_replaced (valid ones).
 
     A null text is an empty one; texts of any length are searched whole; repeated rows give repeated rows. Candidates
-    that fail their check, such as a number of a card's length without its check digit, stay as they are. Every text is
+    that fail their check, such as a number of a card's length without its check digit, stay as they are, but for the valid
+    card and account numbers made of some of their groups. Every text is
     split and joined in place: there is no shuffle, so frequent values and hot sources make no difference.
     """
 
     def line(text: Column) -> Column:
+        """Valid candidates replaced, each between line feeds, which no line has of its own."""
         def join(found: Column) -> Column:
             return let(F.transform(found, lambda m: pseudonym(m, key)), lambda fresh: F.struct(
                 F.array_join(F.zip_with(
-                    F.split(text, ANY, -1), F.zip_with(found, fresh, lambda m, f: F.coalesce(f, m)),
+                    F.split(text, ANY, -1), F.zip_with(found, fresh, lambda m, f: F.coalesce(F.concat(F.lit("\n"), f, F.lit("\n")), m)),
                     lambda t, m: F.concat(t, F.coalesce(m, F.lit("")))), "").alias("text"),
-                F.size(found).alias("found"), F.size(F.filter(fresh, lambda x: x.isNotNull())).alias("replaced")))
+                F.size(found).alias("found"), F.size(F.filter(fresh, lambda x: x.isNotNull())).alias("replaced"),
+                F.exists(F.zip_with(found, fresh, lambda m, f: f.isNull() & m.rlike(NUMBERS)), lambda x: x).alias("failed")))
 
         return F.when(text.rlike(HINT), let(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), join)).otherwise(
-            F.struct(text.alias("text"), F.lit(0).alias("found"), F.lit(0).alias("replaced")))
+            F.struct(text.alias("text"), F.lit(0).alias("found"), F.lit(0).alias("replaced"), F.lit(False).alias("failed")))
+
+    def mended(run: str, long: str, parts: Callable[[Column, str], Column]) -> Column:
+        def one(x: Column) -> Column:
+            return F.when(~x["failed"], x).otherwise(let(_mend(x["text"], run, long, lambda m: parts(m, key)), lambda p: F.struct(
+                p["text"].alias("text"), F.greatest(x["found"], x["replaced"] + p["n"]).alias("found"),
+                (x["replaced"] + p["n"]).alias("replaced"), x["failed"].alias("failed"))))
+
+        return F.transform("lines", one).alias("lines")
 
     lines = texts(docs, id_col, text_col).select("doc_id", F.transform(F.split("text", "\n", -1), line).alias("lines"))
+    # accounts first; what is in a run of groups that begins like an account is no card
+    for step in ((IBAN_RUN, ".{15}", _iban_parts), (CARD_RUN, ".{13}", _card_parts)):
+        lines = lines.select("doc_id", mended(*step))
     count = lambda name: F.aggregate(F.col(f"lines.{name}"), F.lit(0).cast("bigint"), lambda s, x: s + x).alias(f"n_{name}")
-    return lines.select("doc_id", F.array_join("lines.text", "\n").alias("text"), count("found"), count("replaced"))
+    return lines.select("doc_id", F.array_join(F.transform("lines.text", lambda t: F.replace(t, F.lit("\n"), F.lit(""))), "\n").alias("text"), count("found"), count("replaced"))

@@ -323,3 +323,20 @@ def test_long_secrets_are_replaced_whole(spark):
     same = [sum(a == b for a, b in zip(value[i:i + 50], fresh[i:i + 50]) if a.isalnum()) for i in range(0, 450, 50)]
     assert max(same) < 20 and got[0].n_replaced == 1  # no stretch stays, also beyond 200 characters
     assert len(got[1].text) == len("password: ") + 10_000 and long[-100:] not in got[1].text and long[:100] not in got[1].text
+
+
+def test_valid_numbers_beside_other_groups(spark):
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    texts = [
+        f"{card} 12/26", f"{card} 123", f"row 12 {card}", f"1234 {card} 7", f"{card} 12 {card} 34", f"12 {card.replace(' ', '')} 99", "3782 822463 10005 12/26",
+        f"{iban} EUR", f"{iban} EUR 4,00", f"{iban} {iban}", f"{iban} PAID NOW", f"NR12 {iban} x", f"{iban} EUR and {card} 123 on 1992-02-29",
+    ]
+    got = [r.text for r in pseudonymise(docs_of(spark, list(enumerate(texts))), "k").orderBy("doc_id").collect()]
+    one = pseudonymise(docs_of(spark, [(1, card), (2, iban)]), "k").orderBy("doc_id").collect()
+    for text, out in zip(texts[:6] + texts[7:12], got[:6] + got[7:12]):
+        want = text.replace(card, one[0].text).replace(card.replace(" ", ""), one[0].text.replace(" ", "")).replace(iban, one[1].text)
+        assert out == want, (text, out)
+    assert "3782 822463 10005" not in got[6] and got[6].endswith(" 12/26") and luhn(re.sub(r"\D", "", got[6][:17]))
+    assert got[12].startswith(f"{one[1].text} EUR and {one[0].text} 123 on ") and "1992-02-29" not in got[12]
+    kept = ["1234 5678 9012 3456", "4111111111111112 and 1", "DE89 3704 0044 0532 0130 01"]
+    assert [r.text for r in pseudonymise(docs_of(spark, list(enumerate(kept))), "k").orderBy("doc_id").collect()] == kept
