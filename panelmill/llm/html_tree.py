@@ -30,6 +30,9 @@ NAMES = frozenset(
     "breadcrumb breadcrumbs sidebar sidebars aside footer masthead topbar toolbar comment comments disqus reply replies respond cookie cookies consent "
     "gdpr notice notices popup modal overlay newsletter subscribe subscription signup login share sharing social related recommended recommendations "
     "widget widgets rail adsbygoogle pagination pager skip tags tagcloud outbrain taboola disclaimer alert".split())
+#: Words of an article's names, and words after which a name tells of what is beside or in an element, as in "no-sidebar".
+GOOD = frozenset("article content main post entry story body text".split())
+ABOUT = frozenset("has no with without".split())
 SPLIT_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 #: A menu without a name is one of these that holds little but links.
 LISTS = frozenset("ul ol dl div section table".split())
@@ -66,10 +69,16 @@ def boilerplate(tag: str, attributes: str, depth_main: bool) -> tuple[bool, floa
     style = found.get("style", "").replace(" ", "").lower()
     if "display:none" in style or "visibility:hidden" in style:
         return True, 0.0
-    words = {w.lower() for w in SPLIT_NAME.findall(found.get("class", "") + " " + found.get("id", ""))}
-    if tag not in ("html", "body", "article", "main") and (words & NAMES or words == {"header"}):
+    names = []
+    for name in (found.get("class", "") + " " + found.get("id", "")).split():
+        parts = [w.lower() for w in SPLIT_NAME.findall(name)]
+        names.append(set(parts[:next((i for i, w in enumerate(parts) if w in ABOUT), len(parts))]))
+    words = set().union(*names)
+    # a name of article words only, such as "main-content", outweighs mixed names but not one of boilerplate words only
+    article = any(n and n <= GOOD for n in names) and not any(n and n <= NAMES for n in names)
+    if tag not in ("html", "body", "article", "main") and (words & NAMES and not article or words == {"header"}):
         return True, 0.0
-    good = bool(words & {"article", "content", "main", "post", "entry", "story", "body", "text"}) or role in ("main", "article")
+    good = bool(words & GOOD) or role in ("main", "article")
     return False, 25.0 if good or tag in ("article", "main") else 0.0
 
 

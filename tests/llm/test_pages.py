@@ -170,3 +170,13 @@ def test_articles_of_the_test_pages(spark):
 def test_odd_page_rows(spark):
     rows = [(1, "u", None), (None, None, "<p>x</p>"), (1, "u", None)]
     assert sorted((tuple(r) for r in extract_pages(pages_of(spark, rows)).collect()), key=str) == sorted([(1, "u", "", 0), (None, None, "x", 1), (1, "u", "", 0)], key=str)
+
+
+def test_article_names_outweigh_names_of_what_is_beside():
+    text = "This is the body of the article, with commas, and with enough words to count as a paragraph of it."
+    for names in ('class="content has-sidebar"', 'id="main-content" class="no-sidebar"', 'class="post with-comments"', 'class="layout has-sidebar"', 'class="post widget-area"'):
+        html = f'<body><div {names}><h1>Title</h1><p>{text}</p><p>{text}</p><div class="sidebar"><p>{text} Aside.</p></div></div></body>'
+        assert main_text(html) == f"Title\n{text}\n{text}", names
+    for names in ('class="post-comments"', 'class="content sidebar"', 'class="main-menu"', 'id="comments"', 'class="entry-footer"'):
+        html = f'<body><article><p>{text}</p><div {names}><p>{text} Not this.</p></div></article></body>'
+        assert main_text(html) == text, names
