@@ -33,8 +33,8 @@ PATTERNS = {
     "phone": r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{2,4}(?:[ .-]?[0-9]{2,4}){1,4}(?![0-9])"
              r"|(?<![0-9A-Za-z])(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])",
 }
-#: Lines without any of these characters hold no candidate, and no candidate goes over the end of a line.
-HINT = "[0-9@=:]"
+#: Lines without any of these hold no candidate, and no candidate goes over the end of a line.
+HINT = "[0-9@=:]|AKIA|ASIA"
 NUMBERS = f"^(?:{PATTERNS['card']}|{PATTERNS['iban']})$"
 #: Runs of groups in which a card or an account number can stand beside other groups, and one group with what is before it.
 CARD_RUN, CARD_GROUP = r"(?<![0-9])[0-9]++(?:[ -][0-9]++)*+", "[ -]?[0-9]+"
@@ -42,8 +42,8 @@ IBAN_RUN, IBAN_GROUP = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}[A-Z0-9]*+(?![A-Za-z0-9
 #: Usual groupings of cards; they go before others that may pass the check by chance.
 CARD_FORM = r"^[ -]?(?:[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}(?:[ -][0-9]{3})?|3[0-9]{3}[ -][0-9]{6}[ -][0-9]{4,5}|[0-9]{13,19})$"
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
-#: Days from 1900-01-01 that date pseudonyms are drawn from, as a product of two numbers for the two halves.
-FIRST_DAY, DAY_A, DAY_B = "1900-01-01", 250, 292
+#: Days from 1900-01-01 to 2099-12-31, all that the pattern takes, as a product of two numbers for the two halves.
+FIRST_DAY, DAY_A, DAY_B = "1900-01-01", 17, 4297
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:

@@ -340,3 +340,14 @@ def test_valid_numbers_beside_other_groups(spark):
     assert got[12].startswith(f"{one[1].text} EUR and {one[0].text} 123 on ") and "1992-02-29" not in got[12]
     kept = ["1234 5678 9012 3456", "4111111111111112 and 1", "DE89 3704 0044 0532 0130 01"]
     assert [r.text for r in pseudonymise(docs_of(spark, list(enumerate(kept))), "k").orderBy("doc_id").collect()] == kept
+
+
+def test_keys_of_letters_and_the_last_days_are_replaced(spark):
+    key = "AKIA" + "QWERTYUIOPASDFGH"
+    rows = [(1, f"key {key} end"), (2, "2099-12-31"), (3, "31.12.2099"), (4, "1900-01-01")]
+    got = [r.text for r in pseudonymise(docs_of(spark, rows), "k").orderBy("doc_id").collect()]
+    assert key not in got[0] and re.fullmatch("key AKIA[A-Z0-9]{16} end", got[0])
+    assert got[1] != "2099-12-31" and got[2] == ".".join(reversed(got[1].split("-"))) and got[3] != "1900-01-01"
+    assert all("1900-01-01" <= x <= "2099-12-31" for x in (got[1], got[3]))
+    days = spark.range(73049).select(number_feistel(F.col("id"), 17, 4297, "k", "date").alias("d"))
+    assert days.distinct().where("d between 0 and 73048").count() == 73049
