@@ -214,15 +214,30 @@ def main_text(html: str) -> str:
     best = around or best  # of a part of an article, the article
     if best.parent is None:
         return "\n".join(blocks(best))
+    around = [x for x in best.parent.items if (not x.skip if isinstance(x, Node) else x.strip())]
+    least = 0.2 * value[id(best)]
+    if best.hint:
+        least = max(10, least)
+    kept = []
+    for x in around:
+        dense = x.linked / x.chars if isinstance(x, Node) and x.chars else 1.0
+        kept.append(x is best or isinstance(x, Node) and (value.get(id(x), 0) >= least and dense < 0.3 or (
+            x.tag == "p" and best.tag not in ("article", "main") and dense < 0.25 and x.chars > 80)))
+    if not best.hint:  # headings, bare text and unlinked paragraphs beside what is kept belong to it
+        small = [isinstance(x, str) or x.tag not in BLOCK and not x.linked or x.tag in ("p", "h1", "h2", "h3", "h4", "h5", "h6") and not x.linked for x in around]
+        for places in (range(1, len(around)), range(len(around) - 2, -1, -1)):
+            step = -1 if places.step > 0 else 1
+            for i in places:
+                kept[i] = kept[i] or small[i] and kept[i + step]
     out = []
-    for x in best.parent.items:
-        if not isinstance(x, Node) or x.skip:
-            continue
-        dense = x.linked / x.chars if x.chars else 1.0
-        if x is best or value.get(id(x), 0) >= max(10, 0.2 * value[id(best)]) and dense < 0.3 or (
-                x.tag == "p" and best.tag not in ("article", "main") and dense < 0.25 and x.chars > 80):
-            out += blocks(x)
-    return "\n".join(out)
+    parts = Node("", None, False)  # bare text and inline elements are one block until the next block
+    for x, keep in zip(around, kept):
+        if keep:
+            parts.items.append(x)
+        else:
+            out += blocks(parts)
+            parts.items = []
+    return "\n".join(out + blocks(parts))
 
 
 def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -180,3 +180,10 @@ def test_article_names_outweigh_names_of_what_is_beside():
     for names in ('class="post-comments"', 'class="content sidebar"', 'class="main-menu"', 'id="comments"', 'class="entry-footer"'):
         html = f'<body><article><p>{text}</p><div {names}><p>{text} Not this.</p></div></article></body>'
         assert main_text(html) == text, names
+
+
+def test_small_parts_beside_the_best_container_stay():
+    text = "This is the text, with commas, and with enough words, to count as a paragraph, of the page, and more of it."
+    box = f"<div>{f'<p>{text}</p>' * 8}</div>"
+    html = f"<body><h1>Title</h1>{box}between <b>bold</b> words<div>{f'<p>{text}</p>' * 3}</div><p>The end.</p><div><a href='x'>One</a> <a href='y'>Two</a></div></body>"
+    assert main_text(html) == "\n".join(["Title", *[text] * 8, "between bold words", *[text] * 3, "The end."])
