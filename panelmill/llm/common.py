@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,3 +41,38 @@ def free_name(df: DataFrame, wish: str) -> str:
     while wish.lower() in taken:
         wish += "_"
     return wish
+
+
+def ranked(df: DataFrame, order: Sequence[str], label: str, weight: str | None = None) -> Stored:
+    """``df`` stored with ``rank``, the place of a row in ``order`` (from 0), and ``before``, the weight of all earlier rows.
+
+    Rows are dealt by ranges and counted where they are; only the totals of the ranges, a row for each partition, go
+    through the driver. Without ``weight`` a row weighs 1. Reads ``df`` twice, so pass a stored table; end ``order`` with
+    a column that tells equal rows apart if they may be many.
+    """
+    at = df.columns.index(weight) if weight else -1
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, n, w = TaskContext.get().partitionId(), 0, 0
+        for b in batches:
+            each = b.column(at).to_numpy(zero_copy_only=False).astype(np.int64) if weight else np.ones(b.num_rows, np.int64)
+            run = np.cumsum(each)
+            new = [pa.array(np.full(b.num_rows, part, np.int32)), pa.array(np.arange(n, n + b.num_rows)), pa.array(run - each + w)]
+            n, w = n + b.num_rows, w + int(each.sum())
+            yield pa.RecordBatch.from_arrays([*b.columns, *new], [*b.schema.names, "range_", "rank", "before"])
+
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    here = df.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(count, f"{kinds}, range_ int, rank bigint, before bigint")
+    local = store(here, label + "-local")
+    value = F.sum(weight) if weight else F.count(F.lit(1))
+    parts = local.df.groupBy("range_").agg(F.count(F.lit(1)).alias("n"), value.cast("long").alias("w")).orderBy("range_").collect()
+    starts, n, w = [], 0, 0
+    for p in parts:
+        starts.append((p.range_, n, w))
+        n, w = n + p.n, w + p.w
+    offsets = df.sparkSession.createDataFrame(starts, "range_ int, n_ bigint, w_ bigint")  # one row a partition
+    out = local.df.join(F.broadcast(offsets), "range_").select(
+        *df.columns, (F.col("rank") + F.col("n_")).alias("rank"), (F.col("before") + F.col("w_")).alias("before"))
+    done = store(out, label)
+    local.delete()
+    return done

@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from panelmill.llm.common import table
 from panelmill.llm.decontaminate import find_items
 from panelmill.llm.exact_dedup import exact_groups
+from panelmill.llm.hash_ring import assign_shards
 from panelmill.llm.html_tree import extract_pages
+from panelmill.llm.merkle_manifest import verify_documents
 from panelmill.llm.minhash_join import near_groups
 from panelmill.llm.pii_feistel import pseudonymise
 from panelmill.llm.prefix_bpe import encode_documents
@@ -128,3 +130,51 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_html")
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
+
+
+def _climb_sql(prefix: str, levels: int) -> str:
+    """Levels 1 to ``levels`` of the nodes (tree, i, h) and of the ways (id, tree, i, f, proof) up from each leaf, a CTE each."""
+    out = []
+    for k in range(levels):
+        nodes, ways = f"{prefix}{k}", f"{prefix}way{k}"
+        out.append(f"""c{nodes} as materialized (select *, count(*) over (partition by tree) as n from {nodes})""")
+        out.append(f"""{prefix}{k + 1} as materialized (
+  select tree, i // 2 as i, case when any_value(n) = 1 then any_value(h) else sha256(string_agg(h, '' order by i)) end as h from c{nodes} group by tree, i // 2)""")
+        out.append(f"""{prefix}way{k + 1} as materialized (
+  select w.id, w.tree, w.i // 2 as i, w.proof || coalesce(s.h, '') as proof,
+    case when o.n = 1 then w.f when w.i % 2 = 0 then sha256(w.f || coalesce(s.h, '')) else sha256(s.h || w.f) end as f
+  from {ways} w join c{nodes} o on o.tree = w.tree and o.i = w.i left join c{nodes} s on s.tree = w.tree and s.i = xor(w.i, 1))""")
+    return ",\n".join(out)
+
+
+def _merkle_sql(levels: int = 24, over: int = 8) -> str:
+    """Trees of at most 2 ** levels leaves, at most 2 ** over of them."""
+    f = "coalesce(cast(octet_length(encode(cast({0} as varchar))) as varchar) || ':' || cast({0} as varchar), '-')".format
+    leaf = "sha256({})".format
+    own = " || ".join(map(f, ("doc_id", "source", "lang", "n_chars", "text")))
+    more = " || ".join(map(f, ("doc_id", "source", "lang", "(n_chars::hugeint + 1)", "text")))
+    return f"""
+with d as materialized (
+  select row_number() over () as id, doc_id, coalesce('=' || lang, '') as tree, {leaf(own)} as leaf, {leaf(more)} as more, n_chars,
+    xor(list_reduce([4294967295::bigint] || list_transform(range(1, length(doc_id::varchar) + 1), lambda j: ord(substr(doc_id::varchar, j::bigint, 1))::bigint),
+      lambda v, b: list_reduce([xor(v, b)] || range(8), lambda a, j: xor(a >> 1, (a & 1) * 3988292384::bigint))), 4294967295::bigint) as crc
+  from documents),
+g as materialized (select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as i from d),
+x0 as materialized (select tree, i, leaf as h from g),
+xway0 as materialized (select id, tree, i, '' as proof, case when crc % 7 = 0 and n_chars is not null then more else leaf end as f from g),
+{_climb_sql('x', levels)},
+t0 as materialized (select 'all' as tree, row_number() over (order by tree) - 1 as i, h, tree as of from x{levels}),
+tway0 as materialized (select w.id, 'all' as tree, t0.i, w.proof, w.f from xway{levels} w join t0 on t0.of = w.tree),
+{_climb_sql('t', over)}
+select doc_id, leaf, x{levels}.h as subroot, t{over}.h as root, sha256(w.proof) as proof_sha256, w.f as folded_root, w.f = t{over}.h as verified
+from g join tway{over} w using (id) join x{levels} on x{levels}.tree = g.tree cross join t{over}"""
+
+
+@query("op12_merkle", _merkle_sql())
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verify_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op13_shards")
+def op13_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(table(spark, sf_dir, "documents"))

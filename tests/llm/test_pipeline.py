@@ -29,7 +29,7 @@ def test_query_equals_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11)) and {*QUERIES, "pipeline"} <= set(queries())
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14)) and {*QUERIES, "pipeline"} <= set(queries())
     assert set(ORACLES) <= set(oracle_sql()) and len(corpus_pipeline.STAGES) == 5
 
 
