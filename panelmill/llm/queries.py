@@ -14,6 +14,7 @@ from panelmill.llm.hash_ring import assign_shards
 from panelmill.llm.html_tree import extract_pages
 from panelmill.llm.merkle_manifest import verify_documents
 from panelmill.llm.minhash_join import near_groups
+from panelmill.llm.phrase_trees import collocations
 from panelmill.llm.pii_feistel import pseudonymise
 from panelmill.llm.prefix_bpe import encode_documents
 from panelmill.llm.quality_trees import score_quality
@@ -132,6 +133,33 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
 
 
+@query("op11_phrases", r"""
+with p as (
+  select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) as piece from documents),
+w as materialized (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as a from p),
+f as materialized (
+  select lang, k, phrase, count(*) as f from (
+    select lang, k, unnest(list_transform(range(1, len(a) - k + 2), lambda i: array_to_string(a[i:i + k - 1], ' '))) as phrase from w, range(1, 5) t(k))
+  group by all),
+totals as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+c as materialized (select lang, k, phrase, f as a, string_split(phrase, ' ') as s from f where k > 1 and f >= 30),
+cuts as (
+  select c.lang, c.phrase, c.k, c.a, cut, l.f as l, r.f as r, (2000000::hugeint * c.a // (l.f + r.f))::bigint as score
+  from (select *, unnest(range(1, k)) as cut from c) c
+  join f l on l.lang = c.lang and l.phrase = array_to_string(s[1:cut], ' ')
+  join f r on r.lang = c.lang and r.phrase = array_to_string(s[cut + 1:], ' ')),
+best as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1),
+inside as (
+  select lang, array_to_string(s[i:i + m - 1], ' ') as phrase, max(a) as most
+  from (select *, unnest(range(1, k - m + 2)) as i from (select *, unnest(range(2, k)) as m from c)) group by all)
+select best.lang, row_number() over (partition by best.lang order by score desc, a desc, best.phrase) as rank, best.phrase, a, l, r, n, score
+from best join totals on totals.lang = best.lang left join inside on inside.lang = best.lang and inside.phrase = best.phrase
+where not coalesce(100::hugeint * most >= 80 * a, false) qualify rank <= 2000""")
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def _climb_sql(prefix: str, levels: int) -> str:
     """Levels 1 to ``levels`` of the nodes (tree, i, h) and of the ways (id, tree, i, f, proof) up from each leaf, a CTE each."""
     out = []
