@@ -1,15 +1,18 @@
 """Collocations from depth-truncated suffix trees over words, partitioned by word prefixes.
 
 Every word begins a suffix, cut after DEPTH words or at the end of its piece. The suffixes below one prefix form a subtree
-of their own: a prefix with more rows than fit a task's memory is extended by one word, the others are dealt to tasks,
-which pack neighbouring prefixes into groups up to a budget of rows and build the subtree of each group without looking
-at any other. The count of a node is the total of its leaves; nodes above an extended prefix get theirs from the counts that
-decided to extend it. Suffixes are combined before each shuffle, so that frequent passages are few rows.
+of their own. Passes over the texts count the rows below prefixes of one word, then of two, three, four where there are more
+than LIMIT; the prefixes that are left are packed into groups up to a budget of rows, and a task builds the subtree of a
+group without looking at any other. The count of a node is the total of its leaves; nodes above an extended prefix have
+theirs from the counts that decided to extend it. Suffixes are combined where they are read and travel in compressed
+blocks of one group each.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -22,12 +25,14 @@ from panelmill.session import Stored
 
 DEPTH = 4
 #: Rows of one group of prefixes; a prefix with more than LIMIT of them is extended.
-BUDGET, LIMIT = 500_000, 250_000
-_FLUSH = 1 << 20  # words that are combined at a time
+BUDGET, LIMIT = 1_000_000, 250_000
+FINE = 16  # hash buckets for each group, packed into groups by what they hold
+_FLUSH = 1 << 21  # words that are combined at a time
 _WORDS = [f"w{k + 1}" for k in range(DEPTH)]
 _STOP = b"."
 _FOLD = bytes(
     _STOP[0] if c in b".,;:!?\n\x0b\x0c\r" else 0x20 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(data: bytes) -> list[bytes]:
@@ -47,30 +52,63 @@ def _combined(keys: list[np.ndarray], count: np.ndarray) -> tuple[np.ndarray, np
     return order[first], np.add.reduceat(count[order], first) if len(first) else np.zeros(0, np.int64)
 
 
-def _suffix_rows(lang: str, tokens: list[bytes]) -> Iterator[pa.RecordBatch]:
-    coded = pa.array(tokens, pa.binary()).dictionary_encode()
-    book = coded.dictionary
-    ids = np.concatenate((coded.indices.to_numpy().astype(np.int64) + 1, np.zeros(DEPTH, np.int64)))
-    ids[ids == book.index(_STOP).as_py() + 1] = 0
-    n = len(ids) - DEPTH
-    columns = [ids[:n]]
-    for k in range(1, DEPTH):
-        columns.append(np.where(columns[-1] > 0, ids[k: k + n], 0))
-    real = columns[0] > 0
-    columns = [c[real] for c in columns]
-    keys = [columns[k] << 32 | columns[k + 1] for k in range(0, DEPTH, 2)]
-    at, total = _combined(keys, np.ones(len(columns[0]), np.int64))
-    for a in range(0, len(at), 100_000):
-        here = at[a: a + 100_000]
-        taken = [book.take(pa.array(c[here] - 1, mask=c[here] == 0)).cast(pa.string()) for c in columns]
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(here), pa.string()), *taken, pa.array(total[a: a + 100_000])], ["lang", *_WORDS, "c"])
-
-
-def suffixes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """lang, w1 to w4 (null beyond the end of the piece) and their number c, combined as far as a task sees them."""
-    rows = docs.select(
+def _hash(data: bytes) -> int:
+    return int.from_bytes(blake2b(data, digest_size=8).digest(), "little")
+
+
+@dataclass
+class Suffixes:
+    """Different suffixes of some texts of one language: numbers of ``book`` plus 1 for each word, 0 beyond the end."""
+
+    lang: str
+    book: pa.Array
+    columns: list[np.ndarray]
+    count: np.ndarray
+
+    @classmethod
+    def of(cls, lang: str, tokens: list[bytes]) -> Suffixes:
+        coded = pa.array(tokens, pa.binary()).dictionary_encode()
+        ids = np.concatenate((coded.indices.to_numpy().astype(np.int64) + 1, np.zeros(DEPTH, np.int64)))
+        ids[ids == coded.dictionary.index(_STOP).as_py() + 1] = 0
+        n = len(ids) - DEPTH
+        columns = [ids[:n]]
+        for k in range(1, DEPTH):
+            columns.append(np.where(columns[-1] > 0, ids[k: k + n], 0))
+        real = columns[0] > 0
+        columns = [c[real] for c in columns]
+        at, count = _combined([columns[k] << 32 | columns[k + 1] for k in range(0, DEPTH, 2)], np.ones(len(columns[0]), np.int64))
+        return cls(lang, coded.dictionary, [c[at] for c in columns], count)
+
+    def hashes(self) -> list[np.ndarray]:
+        """Of the first 1, 2, ... words of every row, the same in all tasks."""
+        each = np.array([0, *(_hash(w) for w in self.book.to_pylist())], np.uint64)
+        out, h = [], np.full(len(self.count), _hash(self.lang.encode()), np.uint64)
+        for c in self.columns:
+            h = (h ^ each[c]) * _MIX
+            h ^= h >> np.uint64(29)
+            out.append(h.view(np.int64))
+        return out
+
+    def words(self, column: np.ndarray) -> pa.Array:
+        return self.book.take(pa.array(column - 1, mask=column == 0)).cast(pa.string())
+
+
+def _depths(hashes: Sequence[np.ndarray], hot: Sequence[np.ndarray]) -> np.ndarray:
+    """Words of each row's prefix: one more than of the longest chain of extended ones it begins with."""
+    deep = np.ones(len(hashes[0]), np.int64)
+    for k, known in enumerate(hot):
+        deep[(deep == k + 1) & np.isin(hashes[k], known)] += 1
+    return deep
+
+
+def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    return docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"))
 
+
+def _each(rows: DataFrame, use: Callable[[Suffixes], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``use`` of the suffixes of all texts, _FLUSH words at a time."""
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[str, list[bytes]] = {}
         n = 0
@@ -80,117 +118,178 @@ def suffixes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") ->
                 waiting.setdefault(lang, []).extend(found)
                 n += len(found)
                 if n >= _FLUSH:
-                    for key, tokens in waiting.items():
-                        yield from _suffix_rows(key, tokens)
-                    waiting, n = {}, 0
-        for key, tokens in waiting.items():
-            yield from _suffix_rows(key, tokens)
-
-    return rows.mapInArrow(cut, f"lang string, {', '.join(f'{w} string' for w in _WORDS)}, c bigint")
-
-
-def _subtree(group: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
-    """The nodes with ``least`` occurrences or more of a group's subtree: lang, phrase, k, f."""
-    keys, columns, count, deep, book, langs = _coded(group)
-    order = np.lexsort(keys[::-1])
-    count, deep = count[order], deep[order]
-    lang, columns = langs[order], [c[order] for c in columns]
-    new = np.zeros(len(order), bool)
-    new[:1] = True
-    new[1:] = lang[1:] != lang[:-1]
-    names = group.column("lang").combine_chunks().take(pa.array(order))
-    for k in range(DEPTH):  # leaves below one node are side by side on every level
-        new[1:] |= columns[k][1:] != columns[k][:-1]
-        first = np.flatnonzero(new)
-        total = np.add.reduceat(count, first)
-        kept = (columns[k][first] > 0) & (deep[first] <= k + 1) & (total >= least)
-        first, total = first[kept], total[kept]
-        if len(first):
-            parts = [book.take(pa.array(c[first] - 1)) for c in columns[: k + 1]]
-            phrase = pc.binary_join_element_wise(*parts, " ")
+                    for key in list(waiting):
+                        yield from use(Suffixes.of(key, waiting.pop(key)))
+                    n = 0
+        for key in list(waiting):
+            yield from use(Suffixes.of(key, waiting.pop(key)))
+
+    return rows.mapInArrow(cut, schema)
+
+
+def _prefixes(rows: DataFrame, k: int, hot: Sequence[np.ndarray]) -> DataFrame:
+    """lang, w1 to wk, hash, f, rows of the prefixes of k words below extended ones."""
+
+    def count(s: Suffixes) -> Iterator[pa.RecordBatch]:
+        hashes = s.hashes()
+        mine = np.flatnonzero((_depths(hashes, hot) == k) & (s.columns[k - 1] > 0))
+        columns = [c[mine] for c in s.columns[:k]]
+        at, f = _combined(columns, s.count[mine])
+        _, n = _combined(columns, np.ones(len(mine), np.int64))
+        for a in range(0, len(at), 100_000):
+            part = at[a: a + 100_000]
             yield pa.RecordBatch.from_arrays(
-                [names.take(pa.array(first)), phrase, pa.array(np.full(len(first), k + 1, np.int32)), pa.array(total)], ["lang", "phrase", "k", "f"])
-
-
-def _coded(group: pa.Table) -> tuple:
-    n = group.num_rows
-    coded = pa.concat_arrays([x for w in _WORDS for x in group.column(w).chunks]).dictionary_encode()
-    ids = coded.indices.fill_null(-1).to_numpy().astype(np.int64) + 1
-    columns = [ids[k * n: (k + 1) * n] for k in range(DEPTH)]
-    langs = group.column("lang").combine_chunks().dictionary_encode().indices.to_numpy().astype(np.int64)
-    keys = [langs << 32 | columns[0], columns[1] << 32 | columns[2], columns[3]]
-    return keys, columns, group.column("c").to_numpy(), group.column("deep").to_numpy(), coded.dictionary, langs
-
-
-def _squeezed(group: pa.Table) -> pa.Table:
-    """Equal rows combined."""
-    keys, _, count, *_ = _coded(group)
-    at, total = _combined(keys, count)
-    out = group.take(pa.array(at))
-    return out.set_column(out.schema.get_field_index("c"), "c", pa.array(total))
-
-
-def _trees(dealt: DataFrame, least: int) -> DataFrame:
+                [pa.array([s.lang] * len(part), pa.string()), *(s.words(c[part]) for c in columns), pa.array(hashes[k - 1][mine][part]),
+                 pa.array(f[a: a + 100_000]), pa.array(n[a: a + 100_000])], ["lang", *_WORDS[:k], "hash", "f", "rows"])
+
+    by = ["lang", *_WORDS[:k]]
+    counted = _each(rows, count, ", ".join(f"{c} string" for c in by) + ", hash bigint, f bigint, rows bigint")
+    return counted.groupBy(*by).agg(F.first("hash").alias("hash"), F.sum("f").alias("f"), F.sum("rows").alias("rows"))
+
+
+def _blocks(rows: DataFrame, hot: Sequence[np.ndarray], group_of: np.ndarray) -> DataFrame:
+    """grp, lang, block: the suffixes of one group, sorted, as compressed Arrow data."""
+    fine = len(group_of)
+
+    def pack(s: Suffixes) -> Iterator[pa.RecordBatch]:
+        hashes = s.hashes()
+        deep = _depths(hashes, hot)
+        length = sum((c > 0).astype(np.int64) for c in s.columns)
+        group = group_of[np.choose(deep - 1, hashes) % fine]
+        order = np.argsort(group, kind="stable")
+        order = order[(length >= deep)[order]]  # what ends before its prefix does is counted in the nodes above
+        edges = np.flatnonzero(np.diff(group[order], prepend=-1))
+        for a, z in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
+            at = order[a:z]
+            used, number = np.unique(np.concatenate([c[at] for c in s.columns]), return_inverse=True)
+            ids = number.reshape(DEPTH, -1).astype(np.int32)
+            book = s.book.take(pa.array(used - 1, mask=used == 0)).cast(pa.string())
+            columns = [pa.DictionaryArray.from_arrays(pa.array(i), book) for i in ids]
+            batch = pa.RecordBatch.from_arrays([*columns, pa.array(s.count[at]), pa.array(deep[at].astype(np.int8))], [*_WORDS, "c", "deep"])
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                out.write_batch(batch)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([int(group[order[a]])], pa.int32()), pa.array([s.lang], pa.string()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                ["grp", "lang", "block"])
+
+    return _each(rows, pack, "grp int, lang string, block binary")
+
+
+@dataclass
+class Group:
+    """Leaves of one group: (lang, words) as numbers of ``langs`` and ``book``, their counts and the words of their prefixes."""
+
+    langs: list[str]
+    book: pa.Array
+    lang: np.ndarray
+    columns: list[np.ndarray]
+    count: np.ndarray
+    deep: np.ndarray
+
+    @classmethod
+    def of(cls, blocks: list[tuple[str, bytes]]) -> Group:
+        langs = sorted({lang for lang, _ in blocks})
+        tables = [pa.ipc.open_stream(data).read_all() for _, data in blocks]
+        sizes = [t.num_rows for t in tables]
+        books = [t.column(0).chunk(0).dictionary for t in tables]
+        coded = pa.concat_arrays(books).dictionary_encode()
+        # numbers of the blocks' own books to those of the joint one; 0 stands for no word
+        number = coded.indices.fill_null(-1).to_numpy().astype(np.int64) + 1
+        begin = np.cumsum([0, *(len(b) for b in books)])
+        columns = [np.concatenate([number[a:][t.column(k).chunk(0).indices.to_numpy()] for a, t in zip(begin, tables)]) for k in range(DEPTH)]
+        lang = np.repeat([langs.index(x) for x, _ in blocks], sizes).astype(np.int64)
+        count, deep = (np.concatenate([t.column(c).to_numpy() for t in tables]) for c in ("c", "deep"))
+        return cls(langs, coded.dictionary, lang, columns, count, deep).combined()
+
+    def combined(self) -> Group:
+        """Equal rows of many blocks as one, in the order of the tree: leaves below one node are side by side."""
+        at, total = _combined([self.lang << 32 | self.columns[0], self.columns[1] << 32 | self.columns[2], self.columns[3]], self.count)
+        return Group(self.langs, self.book, self.lang[at], [c[at] for c in self.columns], total, self.deep[at])
+
+    def subtree(self, least: int) -> Iterator[pa.RecordBatch]:
+        """lang, phrase, k, f of the nodes with ``least`` occurrences or more, level by level."""
+        new = np.zeros(len(self.count), bool)
+        new[:1] = True
+        new[1:] = self.lang[1:] != self.lang[:-1]
+        for k in range(DEPTH):
+            new[1:] |= self.columns[k][1:] != self.columns[k][:-1]
+            first = np.flatnonzero(new)
+            total = np.add.reduceat(self.count, first)
+            kept = (self.columns[k][first] > 0) & (self.deep[first] <= k + 1) & (total >= least)
+            first, total = first[kept], total[kept]
+            if len(first):
+                parts = [self.book.take(pa.array(c[first] - 1)) for c in self.columns[: k + 1]]
+                names = pa.array(self.langs).take(pa.array(self.lang[first]))
+                yield pa.RecordBatch.from_arrays(
+                    [names, pc.binary_join_element_wise(*parts, " "), pa.array(np.full(len(first), k + 1, np.int32)), pa.array(total)], ["lang", "phrase", "k", "f"])
+
+
+def _trees(blocks: DataFrame, least: int) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group: list[pa.RecordBatch] = []
-        n, last = 0, None
+        waiting: list[tuple[str, bytes]] = []
+        last = None
         for b in batches:
-            if not b.num_rows:
-                continue
-            key = b.column(0).to_numpy()
-            # the group is closed at the first prefix that begins after it is half full; a prefix has LIMIT rows at most
-            starts = np.flatnonzero(np.concatenate(([last is None or key[0] != last], key[1:] != key[:-1])))
-            begin = 0
-            for at in starts.tolist():
-                if n + at - begin >= BUDGET - LIMIT:
-                    group.append(b.slice(begin, at - begin))
-                    yield from _subtree(pa.Table.from_batches(group), least)
-                    group, n, begin = [], 0, at
-            group.append(b.slice(begin))
-            n += b.num_rows - begin
-            last = key[-1]
-            if n > 2 * BUDGET:  # only a prefix of DEPTH words has so many rows: the same one from many tasks
-                small = _squeezed(pa.Table.from_batches(group))
-                group, n = small.to_batches(), small.num_rows
-        if group:
-            yield from _subtree(pa.Table.from_batches(group), least)
-
-    return dealt.mapInArrow(build, "lang string, phrase string, k int, f bigint")
+            for group, lang, data in zip(*(c.to_pylist() for c in b.columns)):
+                if group != last and waiting:
+                    yield from Group.of(waiting).subtree(least)
+                    waiting = []
+                last = group
+                waiting.append((lang, data))
+        if waiting:
+            yield from Group.of(waiting).subtree(least)
+
+    return blocks.repartition("grp").sortWithinPartitions("grp").mapInArrow(build, "lang string, phrase string, k int, f bigint")
 
 
 def count_phrases(docs: DataFrame, least: int = 30, text_col: str = "text", lang_col: str = "lang") -> tuple[Stored, DataFrame]:
     """(nodes, totals): stored (lang, phrase, k, f) of all phrases of 1 to DEPTH words with ``least`` occurrences or more,
-    and (lang, n) of all words."""
-    rows = store(suffixes(docs, text_col, lang_col), "phrase-suffixes")
-    first = store(rows.df.groupBy("lang", "w1").agg(F.sum("c").alias("f"), F.count(F.lit(1)).alias("rows")), "phrase-prefixes")
-    totals = store(first.df.groupBy("lang").agg(F.sum("f").alias("n")), "phrase-totals").df
-    left, inner, used = rows.df.withColumn("deep", F.lit(1)), [], [rows, first]
-    counts, by = first, ["lang", "w1"]
-    for k in range(1, DEPTH):
-        hot = store(counts.df.where(F.col("rows") > LIMIT).drop("rows"), "phrase-hot")
-        used.append(hot)
-        if hot.df.isEmpty():
-            break
-        inner.append(hot.df.where(F.col("f") >= least).select("lang", F.concat_ws(" ", *by[1:]).alias("phrase"), F.lit(k).alias("k"), "f"))
-        # a few rows each, as many as all rows over LIMIT at most; Spark picks the join by their stored size
-        longer = F.when(F.col("hot").isNotNull(), k + 1).otherwise(F.col("deep"))
-        left = left.join(hot.df.select(*by, F.lit(True).alias("hot")), by, "left").withColumn("deep", longer).drop("hot")
-        by = [*by, f"w{k + 1}"]
-        if k + 1 < DEPTH:
-            counts = store(
-                rows.df.join(hot.df.select(*by[:-1]), by[:-1], "left_semi").where(F.col(by[-1]).isNotNull()).groupBy(*by)
-                .agg(F.sum("c").alias("f"), F.count(F.lit(1)).alias("rows")), "phrase-prefixes")
-            used.append(counts)
-    # the prefix of a row is its first ``deep`` words; a suffix that ends before is counted in the nodes above
-    prefix = F.xxhash64("lang", *[F.when(F.col("deep") >= k + 1, F.col(w)) for k, w in enumerate(_WORDS)])
-    length = sum(F.when(F.col(w).isNotNull(), 1).otherwise(0) for w in _WORDS)
-    dealt = left.where(length >= F.col("deep")).select(prefix.alias("prefix"), "lang", *_WORDS, "c", "deep")
-    nodes = _trees(dealt.repartition("prefix").sortWithinPartitions("prefix"), least)
+    and (lang, n) of all words.
+
+    What goes through the driver is bounded by the rows of all suffixes: a hash for LIMIT of them, and FINE numbers for BUDGET.
+    """
+    rows = _texts(docs, text_col, lang_col)
+    hot: list[np.ndarray] = []
+    tables: list[Stored] = []
+    for k in range(1, DEPTH + 1):
+        tables.append(store(_prefixes(rows, k, hot), "phrase-prefixes"))
+        if k == 1:
+            totals = store(tables[0].df.groupBy("lang").agg(F.sum("f").alias("n")), "phrase-totals").df
+        if k < DEPTH:
+            found = tables[-1].df.where(F.col("rows") > LIMIT).select("hash").distinct().collect()
+            if not found:
+                break
+            hot.append(np.array(sorted(r.hash for r in found), np.int64))
+    inner, weights = [], []
+    for k, t in enumerate(tables):
+        if k < len(hot):
+            known = docs.sparkSession.createDataFrame([(int(h),) for h in hot[k]], "hash bigint")
+            extended = t.df.join(known, "hash", "left_semi").where(F.col("f") >= least)
+            inner.append(extended.select("lang", F.concat_ws(" ", *_WORDS[: k + 1]).alias("phrase"), F.lit(k + 1).alias("k"), "f"))
+            weights.append(t.df.join(known, "hash", "left_anti").select("hash", "rows"))
+        else:
+            weights.append(t.df.select("hash", "rows"))
+    every = weights[0]
+    for more in weights[1:]:
+        every = every.union(more)
+    n = every.agg(F.sum("rows")).head()[0] or 0
+    fine = FINE * (1 + n // BUDGET)
+    # hash buckets of prefixes, packed side by side until a group has its budget
+    load = np.zeros(fine, np.int64)
+    for r in every.groupBy(F.pmod("hash", F.lit(fine)).alias("b")).agg(F.sum("rows").alias("rows")).collect():
+        load[r.b] = r.rows
+    group_of, group, held = np.zeros(fine, np.int64), 0, 0
+    for b, weight in enumerate(load.tolist()):
+        if held and held + weight > BUDGET:
+            group, held = group + 1, 0
+        group_of[b] = group
+        held += weight
+    nodes = _trees(_blocks(rows, hot, group_of), least)
     for more in inner:
         nodes = nodes.unionByName(more)
     out = store(nodes, "phrase-nodes")
-    for x in used:
-        x.delete()
+    for t in tables:
+        t.delete()
     return out, totals
 
 
