@@ -9,20 +9,22 @@ import json
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field, replace
 
+from multiprocessing.pool import ThreadPool
+
 from pyspark.ml import PipelineModel
-from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import DataFrame, functions as F
 
 from panelmill.functions.columns import feature_columns
+from panelmill.models.boosting import ROUNDS, Binned, Forest, Spec, bin_rows, fit_forests, score_forests
 from panelmill.models.linear import add_direction, fit_logistic, fit_ridge
-from panelmill.models.quantile import QuantileGBT, QuantileGBTModel
-from panelmill.models.trees import PATIENCE, ROUNDS, candidate_grid, fit_candidates, prepare_vectors
+from panelmill.models.trees import candidate_grid
 from panelmill.operators import metrics as E
 from panelmill.operators import signals as G
 from panelmill.operators import splits as P
 from panelmill.operators import tuning as T
 from panelmill.operators.features import latest_rows
 from panelmill.operators.ingest import union_all
+from panelmill.operators.joins import by_day
 from panelmill.operators.reports import model_quality
 from panelmill.session import Stored, materialise
 from panelmill.sources.writers import load_json, save_json, save_models, save_tables
@@ -49,7 +51,7 @@ class TrainConfig:
     rounds: int = ROUNDS
     quantile_rounds: int | None = None
     grid: tuple[dict, ...] = field(default_factory=lambda: tuple(candidate_grid()))
-    parallelism: int = 2
+    parallelism: int = 3
 
     def check(self) -> None:
         if not 0 < self.alpha_low < self.alpha_high < 1:
@@ -121,33 +123,55 @@ def selection_table(stacked: DataFrame, keys: Sequence[str], cfg: TrainConfig, i
         "val_strategy_sharpe", "val_ic_spearman", "val_ic_pearson", "overfit_gap", "val_pred_to_y_std_ratio",
         "val_pred_std", "val_strategy_exposure")])
     table = materialise(table.withColumn("score", score).join(info, "candidate_id"), "selection")
-    marked = T.select_candidate(table, F.col("val_y_std")).drop("val_y_std")
-    return marked.orderBy(F.col("selected").desc(), F.col("score").desc()), scales
+    return T.select_candidate(table, F.col("val_y_std")).drop("val_y_std"), scales
+
+
+def bin_split(df: DataFrame, features: Sequence[str]) -> Binned:
+    """Binned rows of one split: bit 0 marks train to fit and val to end the fits."""
+    split = F.col("split")
+    return bin_rows(df.where("split in ('train', 'val')"), features, "y", (split == "train").cast("int"), (split == "val").cast("int"))
+
+
+def candidate_specs(cfg: TrainConfig, bit: int = 0) -> list[Spec]:
+    return [Spec.of(p, bit=bit, rounds=cfg.rounds, seed=cfg.seed) for p in cfg.grid]
+
+
+def quantile_specs(cfg: TrainConfig, chosen: int, bit: int = 0) -> list[Spec]:
+    """Lower and upper quantile with the settings of the chosen candidate."""
+    return [Spec.of(cfg.grid[chosen], bit=bit, rounds=cfg.quantile_rounds or cfg.rounds, seed=cfg.seed, alpha=a) for a in (cfg.alpha_low, cfg.alpha_high)]
 
 
-def select_model(fit_rows: DataFrame, keys: Sequence[str], cfg: TrainConfig) -> tuple[dict[int, GBTRegressionModel], DataFrame, DataFrame]:
-    """``(models, table, scales)``: every fitted candidate, the scored table with the best one first, and
-    the prediction scale of every (candidate, series)."""
+def select_model(fit_rows: DataFrame, keys: Sequence[str], cfg: TrainConfig, candidates: Sequence[Forest]) -> tuple[DataFrame, DataFrame]:
+    """``(table, scales)``: the scored candidates with the best one first, and the prediction scale of every
+    (candidate, series). ``fit_rows`` are the train and val rows."""
     spark = fit_rows.sparkSession
-    gbt = fit_candidates(fit_rows, cfg.grid, cfg.rounds, seed=cfg.seed, parallelism=cfg.parallelism)
-    stacked = Stored(union_all(*[
-        m.transform(fit_rows).select(F.lit(i).alias("candidate_id"), "split", *keys, "date", "y", "pred") for i, m in gbt.items()
-    ]), "stacked")
+    scored = score_forests(fit_rows, {f"_c{i}": f for i, f in enumerate(candidates)})
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("candidate_id"), F.col(f"_c{i}").alias("pred")) for i in range(len(candidates))]))
+    stacked = Stored(scored.select("split", *keys, "date", "y", each.alias("x")).select("x.candidate_id", "split", *keys, "date", "y", "x.pred"), "stacked")
     info = spark.createDataFrame(
-        [(i, m.getNumTrees, json.dumps(cfg.grid[i])) for i, m in gbt.items()],
-        "candidate_id int, n_iterations int, params string",
-    )
+        [(i, f.trees, json.dumps(cfg.grid[i])) for i, f in enumerate(candidates)], "candidate_id int, n_iterations int, params string")
     table, scales = selection_table(stacked.df, keys, cfg, info)
+    table = materialise(table, "selected")
     stacked.delete()
-    return gbt, table, scales
+    return table, scales
 
 
-def quantile_model(alpha: float, params: Mapping, cfg: TrainConfig) -> QuantileGBT:
-    """The quantile learner with the settings of a candidate."""
-    return QuantileGBT(
-        alpha, rounds=cfg.quantile_rounds or cfg.rounds, rate=params["learning_rate"], depth=params["max_depth"],
-        min_rows=params["min_child_rows"], patience=PATIENCE, seed=cfg.seed,
-    )
+def best_first(table: DataFrame) -> DataFrame:
+    return table.orderBy(F.col("selected").desc(), F.col("score").desc())
+
+
+@dataclass
+class Choice:
+    """The chosen candidate of a split, the scored table and the scales."""
+
+    chosen: int
+    table: DataFrame
+    scales: DataFrame
+
+
+def choose(df: DataFrame, keys: Sequence[str], cfg: TrainConfig, candidates: Sequence[Forest]) -> Choice:
+    table, scales = select_model(df.where("split in ('train', 'val')"), keys, cfg, candidates)
+    return Choice(best_first(table).head()["candidate_id"], best_first(table), scales)
 
 
 def run_split(df: DataFrame, keys: Sequence[str], cfg: TrainConfig, features: Sequence[str] | None = None) -> SplitRun:
@@ -155,26 +179,26 @@ def run_split(df: DataFrame, keys: Sequence[str], cfg: TrainConfig, features: Se
     keys = list(keys)
     features = list(features or feature_columns(df, keys))
     stored = Stored(df.select(*keys, "date", "split", "y", "y_dir", *features), "split")
-    df = stored.df
-    train = df.where("split = 'train'")
-    ridge = fit_ridge(train, features)
-    logistic = fit_logistic(train, features)
-
-    fit_rows = prepare_vectors(df.where("split in ('train', 'val')"), features).withColumn("is_val", F.col("split") == "val")
-    fit_rows = fit_rows.select(*keys, "date", "split", "y", "is_val", "features").persist()
-    gbt, selection, scales = select_model(fit_rows, keys, cfg)
-    chosen = selection.head()["candidate_id"]
-    params = cfg.grid[chosen]
+    data = bin_split(stored.df, features)
+    candidates = fit_forests(data, candidate_specs(cfg))
+    choice = choose(stored.df, keys, cfg, candidates)
+    lower, upper = fit_forests(data, quantile_specs(cfg, choice.chosen))
+    data.chunks.delete()
+    run = finish_split(stored.df, keys, cfg, features, choice, {"main": candidates[choice.chosen], "quantile_lower": lower, "quantile_upper": upper})
+    stored.delete()
+    return run
 
-    lower, upper = (quantile_model(alpha, params, cfg).fit(fit_rows) for alpha in (cfg.alpha_low, cfg.alpha_high))
-    fit_rows.unpersist()
-    models = {"ridge": ridge, "logreg": logistic, "main": gbt[chosen], "quantile_lower": lower, "quantile_upper": upper}
 
-    scale = scales.where(F.col("candidate_id") == chosen).select(*keys, F.col("scale").alias("prediction_scale"))
+def finish_split(
+    df: DataFrame, keys: Sequence[str], cfg: TrainConfig, features: Sequence[str], choice: Choice, forests: Mapping[str, Forest],
+) -> SplitRun:
+    """The linear models, thresholds, signals and result tables of a split whose forests are fitted. Reads ``df`` before it returns."""
+    train = df.where("split = 'train'")
+    models = {"ridge": fit_ridge(train, features), "logreg": fit_logistic(train, features), **forests}
+    scale = choice.scales.where(F.col("candidate_id") == choice.chosen).select(*keys, F.col("scale").alias("prediction_scale"))
     scored = score_rows(df.where("split in ('val', 'test')"), models, features, keys).join(scale, keys)
     scored = scored.withColumn("pred_main", F.col("pred_main_raw") * F.col("prediction_scale"))
     scored = materialise(scored, "scored")
-    stored.delete()
     val, test = (scored.where(F.col("split") == s) for s in ("val", "test"))
 
     tuned, tables = {}, {}
@@ -208,7 +232,7 @@ def run_split(df: DataFrame, keys: Sequence[str], cfg: TrainConfig, features: Se
         "pred_quantile_upper", "pred_quantile_lower", "selector_signal",
     )
     return SplitRun(
-        features, models, selection, series, predictions, curves, tables, quality_table(val, test, curves, keys),
+        list(features), models, choice.table, series, predictions, curves, tables, quality_table(val, test, curves, keys),
         E.sanity_checks(both, keys),
     )
 
@@ -217,10 +241,8 @@ def score_rows(df: DataFrame, models: Mapping[str, object], features: Sequence[s
     """Predictions of every model in one pass."""
     out = add_direction(models["logreg"].transform(df)).drop("raw_features", "scaled_features")
     out = models["ridge"].transform(out).drop("raw_features", "scaled_features")
-    out = models["main"].transform(prepare_vectors(out, features)).withColumnRenamed("pred", "pred_main_raw")
-    out = models["quantile_lower"].transform(out, "pred_quantile_lower")
-    out = models["quantile_upper"].transform(out, "pred_quantile_upper")
-    return out.drop("features", *features)
+    out = score_forests(out, {"pred_main_raw": models["main"], "pred_quantile_lower": models["quantile_lower"], "pred_quantile_upper": models["quantile_upper"]})
+    return out.drop(*features)
 
 
 def quality_table(val: DataFrame, test: DataFrame, curves: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame:
@@ -274,19 +296,43 @@ def fold_row(run: SplitRun, split: DataFrame, fold: int) -> DataFrame:
 
 
 def walk_forward_run(df: DataFrame, keys: Sequence[str], cfg: TrainConfig, features: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """``(folds, summary)``. Each fold reads only its own date ranges; no row is copied per fold."""
-    features = list(features or feature_columns(df, keys))
+    """``(folds, summary)``. All folds share one binned table: a fold is a bit of two masks, and the candidates of all
+    folds are fitted side by side, then the quantiles. Each fold's tables read only its own dates."""
+    features, keys = list(features or feature_columns(df, keys)), list(keys)
     n = df.select("date").distinct().count()
     layout = P.layout_for(n, cfg.folds, *cfg.ratios, cfg.step_size)
     dates = materialise(P.fold_dates(P.date_index(df), layout, cfg.expanding), "folds")
-    rows = []
-    for fold in range(1, layout.folds + 1):
+    folds = list(range(1, layout.folds + 1))
+
+    def mask(split: str):
+        return F.sum(F.when(F.col("split") == split, F.expr("shiftleft(1L, cast(fold as int))")).otherwise(0))
+
+    bits = dates.groupBy("date").agg(mask("train").alias("_fit"), mask("val").alias("_held"))  # one row a day
+    data = bin_rows(df.join(by_day(bits), "date"), features, "y", F.col("_fit"), F.col("_held"))
+    every = fit_forests(data, [s for f in folds for s in candidate_specs(cfg, f)])
+    candidates = {f: every[k * len(cfg.grid): (k + 1) * len(cfg.grid)] for k, f in enumerate(folds)}
+
+    def rows_of(fold: int) -> Stored:
         mine = dates.where(F.col("fold") == fold).select("date", "split")
-        split = Stored(df.join(F.broadcast(mine), "date"), f"fold-{fold}")
-        rows.append(materialise(fold_row(run_split(split.df, keys, cfg, features), split.df, fold), "fold-row"))
-        split.delete()
-    folds = union_all(*rows)
-    return folds, E.fold_summary(folds)
+        return Stored(df.join(by_day(mine), "date").select(*keys, "date", "split", "y", "y_dir", *features), f"fold-{fold}")
+
+    with ThreadPool(max(1, min(cfg.parallelism, len(folds)))) as pool:
+        stored = dict(zip(folds, pool.map(rows_of, folds)))
+        choices = dict(zip(folds, pool.map(lambda f: choose(stored[f].df, keys, cfg, candidates[f]), folds)))
+        edges = fit_forests(data, [s for f in folds for s in quantile_specs(cfg, choices[f].chosen, f)])
+        data.chunks.delete()
+
+        def finish(fold: int) -> DataFrame:
+            lower, upper = edges[2 * folds.index(fold): 2 * folds.index(fold) + 2]
+            forests = {"main": candidates[fold][choices[fold].chosen], "quantile_lower": lower, "quantile_upper": upper}
+            run = finish_split(stored[fold].df, keys, cfg, features, choices[fold], forests)
+            row = materialise(fold_row(run, stored[fold].df, fold), "fold-row")
+            stored[fold].delete()
+            return row
+
+        rows = pool.map(finish, folds)
+    table = union_all(*rows)
+    return table, E.fold_summary(table)
 
 
 @dataclass
@@ -316,9 +362,9 @@ def train_and_evaluate(df: DataFrame, keys: Sequence[str], cfg: TrainConfig = Tr
 def save_run(result: RunResult, cfg: TrainConfig, keys: Sequence[str], folder: str) -> None:
     run = result.split
     spark = run.series.sparkSession
-    save_models({n: m for n, m in run.models.items() if not isinstance(m, QuantileGBTModel)}, f"{folder}/models")
+    save_models({n: m for n, m in run.models.items() if not isinstance(m, Forest)}, f"{folder}/models")
     for name, model in run.models.items():
-        if isinstance(model, QuantileGBTModel):
+        if isinstance(model, Forest):
             model.save(spark, f"{folder}/models/{name}")
     save_json(spark, {"features": run.features, "keys": list(keys), "config": asdict(replace(cfg, grid=()))}, f"{folder}/config")
     save_tables({"strategy": run.series, "predictions_test": run.predictions, **{f"equity_curve_{n}": c for n, c in run.curves.items()}}, f"{folder}/data", "parquet")
@@ -343,12 +389,8 @@ def latest_signal(df: DataFrame, folder: str, model: str = "main") -> DataFrame:
     keys, features = head["keys"], head["features"]
     series = spark.read.parquet(f"{folder}/data/strategy")
     rows = latest_rows(df, keys)
-    if model.startswith("quantile_"):
-        fitted = QuantileGBTModel.load(spark, f"{folder}/models/{model}")
-        scored = fitted.transform(prepare_vectors(rows, features), "prediction_raw")
-    elif model == "main":
-        fitted = GBTRegressionModel.load(f"{folder}/models/main")
-        scored = fitted.transform(prepare_vectors(rows, features)).withColumnRenamed("pred", "prediction_raw")
+    if model == "main" or model.startswith("quantile_"):
+        scored = Forest.load(spark, f"{folder}/models/{model}").transform(rows, "prediction_raw")
     else:
         scored = PipelineModel.load(f"{folder}/models/{model}").transform(rows)
         if model == "logreg":

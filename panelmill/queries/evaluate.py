@@ -55,16 +55,18 @@ def split_ranges(spark, folder):
     return P.split_ranges(split_preds(spark, folder))
 
 
-FOLDS = """n as (select count(distinct date) as n from preds),
-sz as (select n, greatest(20, floor(n * 0.15::double)) as v, greatest(5, greatest(20, floor(n * 0.15::double)) // 4) as step,
+def folds_sql(count: int, roll: int) -> str:
+    """Walk-forward folds over the dates of ``preds``; ``roll`` 1 moves the start of the training dates too."""
+    return f"""n as (select count(distinct date) as n from preds),
+sz as (select n, greatest(20, floor(n * 0.15::double)) as v, greatest(5, greatest(20, floor(n * 0.15::double)) // {count}) as step,
   greatest(120, floor(n * greatest(0.2::double, 0.7::double * 0.4::double))) as mt from n),
-lay as (select n, v, step, coalesce((select max(f) from range(1, 5) t(f) where n - 2 * v - (f - 1) * step >= mt), 1) as folds from sz),
+lay as (select n, v, step, coalesce((select max(f) from range(1, {count + 1}) t(f) where n - 2 * v - (f - 1) * step >= mt), 1) as folds from sz),
 lay2 as (select *, n - 2 * v - (folds - 1) * step as train from lay),
 days as (select date, row_number() over (order by date) - 1 as idx from (select distinct date from preds)),
 fd as (select cast(f + 1 as int) as fold, date, case when idx >= f * {roll} * step and idx < train + f * step then 'train'
     when idx >= train + f * step and idx < train + f * step + v then 'val'
     when idx >= train + f * step + v and idx < train + f * step + 2 * v then 'test' end as split
-  from days, lay2, range(0, 4) r(f) where f < folds)"""
+  from days, lay2, range(0, {count}) r(f) where f < folds)"""
 
 
 def _folds(spark, folder, expanding):
@@ -73,13 +75,13 @@ def _folds(spark, folder, expanding):
     return P.walk_forward(df, P.layout_for(n, 4, 0.70, 0.15, 0.15), expanding)
 
 
-@query("walk_forward_folds", with_(PREDS, FOLDS.format(roll=0)) + """select fold, split, p.series, p.date from preds p
+@query("walk_forward_folds", with_(PREDS, folds_sql(4, 0)) + """select fold, split, p.series, p.date from preds p
   join fd on p.date = fd.date where split is not null""")
 def walk_forward_folds(spark, folder):
     return _folds(spark, folder, True).select("fold", "split", "series", "date")
 
 
-@query("fold_ranges", with_(PREDS, FOLDS.format(roll=1)) + """select fold, split, count(*) as rows, min(p.date) as date_start,
+@query("fold_ranges", with_(PREDS, folds_sql(4, 1)) + """select fold, split, count(*) as rows, min(p.date) as date_start,
   max(p.date) as date_end from preds p join fd on p.date = fd.date where split is not null group by fold, split""")
 def fold_ranges(spark, folder):
     return P.split_ranges(_folds(spark, folder, False), ["fold", "split"])

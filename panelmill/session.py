@@ -60,7 +60,8 @@ class Stored:
     def delete(self) -> None:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
         folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
-        Stored.written.remove(self)
+        if self in Stored.written:
+            Stored.written.remove(self)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

@@ -1,17 +1,13 @@
 import numpy as np
 import pandas as pd
 import pytest
-from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import functions as F
 
 from panelmill.functions import feature_columns
-from panelmill.models import (
-    QuantileGBT, QuantileGBTModel, add_direction, candidate_grid, feature_importance, fit_candidates, fit_logistic, fit_ridge,
-    prepare_vectors,
-)
-from panelmill.models import trees
-from panelmill.models.trees import stopping_round
+from panelmill.models import Forest, Spec, add_direction, bin_rows, candidate_grid, feature_importance, fit_candidates, fit_forests, fit_logistic, fit_ridge, score_forests
+from panelmill.models import boosting
 from panelmill.queries import QUERIES, modelling
+from panelmill.plans import training
 from panelmill.plans.training import TrainConfig, latest_signal, signal_rows, train_and_evaluate
 
 N = 400
@@ -63,24 +59,120 @@ def test_grid():
     assert {g["learning_rate"] for g in grid} == {0.03, 0.02} and {g["min_child_rows"] for g in grid} == {15, 30, 60}
 
 
+def binned(df, features, held=None, bins=64):
+    held = F.lit(0) if held is None else held.cast("int")
+    return bin_rows(df, features, "y", 1 - held, held, bins)
+
+
 def test_trees_and_importance(spark, data):
-    rows = prepare_vectors(data, ["a", "b", "c"]).withColumn("is_val", F.col("i") % 5 == 0)
-    grid = [{"learning_rate": 0.3, "max_depth": d, "min_child_rows": 15} for d in (2, 3)]
-    models = fit_candidates(rows, grid, rounds=5)
+    rows = data.withColumn("is_val", F.col("i") % 5 == 0)
+    grid = [{"learning_rate": 0.3, "max_depth": d, "min_child_rows": 15, "num_leaves": 6} for d in (2, 3)]
+    models = fit_candidates(rows, ["a", "b", "c"], grid, rounds=5)
     assert sorted(models) == [0, 1]
     top = feature_importance(models[1], ["a", "b", "c"], spark, 2).collect()
-    assert len(top) == 2 and {r.feature for r in top} == {"a", "b"}
-    assert feature_importance(models[1], ["a"], spark) is None
+    assert len(top) == 2 and {r.feature for r in top} == {"a", "b"} and models[1].importance().sum() == pytest.approx(1)
+    assert feature_importance(models[1], ["a"], spark) is None and feature_importance(object(), ["a"], spark) is None
+
+
+def plain_tree(codes, grad, spec):
+    """(prediction of each row, leaves) of one tree: every split of every node tried, the best one taken, until no leaf is left to split."""
+    leaves = [(np.arange(len(grad)), 0)]
+
+    def best(rows, depth):
+        found = (0, None)
+        if depth < spec.depth:
+            g, n = grad[rows].sum(), len(rows)
+            for f in range(codes.shape[1]):
+                for b in range(codes.max()):
+                    left = codes[rows, f] <= b
+                    m = left.sum()
+                    if m >= spec.least and n - m >= spec.least:
+                        gl = grad[rows][left].sum()
+                        gain = gl**2 / (m + spec.penalty) + (g - gl) ** 2 / (n - m + spec.penalty) - g**2 / (n + spec.penalty)
+                        if gain > found[0] + 1e-12:
+                            found = (gain, (f, b))
+        return found
+
+    while len(leaves) < spec.leaves:
+        tries = [(best(rows, depth), k) for k, (rows, depth) in enumerate(leaves)]
+        (gain, cut), k = max(tries, key=lambda t: t[0][0])
+        if cut is None:
+            break
+        rows, depth = leaves.pop(k)
+        left = codes[rows, cut[0]] <= cut[1]
+        leaves += [(rows[left], depth + 1), (rows[~left], depth + 1)]
+    out = np.zeros(len(grad))
+    for rows, _ in leaves:
+        out[rows] = -spec.rate * grad[rows].sum() / (len(rows) + spec.penalty)
+    return out, len(leaves)
+
+
+@pytest.mark.parametrize(("leaves", "depth"), [(3, 9), (31, 2), (7, 4)])
+def test_trees_equal_a_plain_search(data, leaves, depth):
+    spec = Spec(0.5, depth, 12, leaves, rounds=3, column_share=1.0, penalty=2.0)
+    rows = binned(data, ["a", "b", "c"], bins=12)
+    forest = fit_forests(rows, [spec])[0]
+    x = X.copy()
+    codes = np.stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(rows.cuts)], 1)
+    score = np.full(N, Y.mean())
+    for t in range(3):
+        step, count = plain_tree(codes, score - Y, spec)
+        end = forest.roots[t + 1] if t + 1 < forest.trees else len(forest.feature)
+        assert (forest.feature[forest.roots[t]: end] < 0).sum() == count <= leaves
+        score += step
+    np.testing.assert_allclose(forest.predict(x), score, atol=1e-9)
+
+
+def test_lockstep_equals_one_task_per_model(data, monkeypatch):
+    monkeypatch.setattr(boosting, "CHUNK", 37)
+    monkeypatch.setattr(boosting, "ADVANCE", 2)
+    held = F.col("i") % 4 == 0
+    rows = binned(data, ["a", "b", "c"], held)
+    specs = [Spec(0.3, 3, 15, 6, rounds=7, patience=2), Spec(0.2, 2, 30, rounds=5, row_share=0.7, column_share=0.6), Spec(0.3, 2, 20, alpha=0.9, rounds=4)]
+    for one, two in zip(fit_forests(rows, specs), fit_forests(rows, specs, block=1)):
+        assert one.trees == two.trees > 0
+        np.testing.assert_allclose(one.loss, two.loss, rtol=1e-9)
+        np.testing.assert_allclose(one.predict(X), two.predict(X), atol=1e-9)
+
+
+def test_masks_fit_only_their_rows(data):
+    """Two sets of rows over one binned table give what each gives on a table of its own."""
+    early, late = F.col("i") < 200, F.col("i") >= 150
+    both = bin_rows(data, ["a", "b"], "y", early.cast("int") + 2 * late.cast("int"), F.lit(0))
+    got = fit_forests(both, [Spec(0.3, 2, 15, bit=b, rounds=3, column_share=1.0) for b in (0, 1)])
+    assert got[0].base == pytest.approx(Y[:200].mean()) and got[1].base == pytest.approx(Y[150:].mean())
+    codes = np.stack([np.searchsorted(c, X[:, j], side="left") for j, c in enumerate(both.cuts)], 1)
+    for forest, rows in zip(got, (np.arange(200), np.arange(150, N))):
+        score = np.full(len(rows), Y[rows].mean())
+        for _ in range(3):
+            score += plain_tree(codes[rows], score - Y[rows], Spec(0.3, 2, 15))[0]
+        np.testing.assert_allclose(forest.predict(X[rows]), score, atol=1e-9)
 
 
 def test_quantile_coverage_and_reload(spark, data, folder):
-    rows = prepare_vectors(data, ["a", "b", "c"])
-    model = QuantileGBT(0.9, rounds=12, rate=0.3, depth=3, min_rows=20).fit(rows, validation=None)
-    got = model.transform(rows, "q").agg(F.avg((F.col("y") <= F.col("q")).cast("double"))).first()[0]
-    assert 0.85 <= got <= 0.95
-    model.save(spark, f"{folder}/q")
-    again = QuantileGBTModel.load(spark, f"{folder}/q").transform(rows, "q2")
-    assert model.transform(again, "q").where("abs(q - q2) > 1e-12").count() == 0
+    low, high = fit_forests(binned(data, ["a", "b", "c"]), [Spec(0.3, 3, 20, alpha=a, rounds=12) for a in (0.1, 0.9)])
+    scored = score_forests(data, {"low": low, "high": high})
+    got = scored.agg(*[F.avg((F.col("y") <= F.col(c)).cast("double")) for c in ("low", "high")]).first()
+    assert 0.05 <= got[0] <= 0.15 and 0.85 <= got[1] <= 0.95
+    high.save(spark, f"{folder}/q")
+    again = Forest.load(spark, f"{folder}/q")
+    assert again.features == ["a", "b", "c"] and (again.predict(X) == high.predict(X)).all()
+    assert again.transform(scored, "q2").where("high <> q2").count() == 0
+
+
+def test_a_missing_value_fails_the_fit_and_the_score(data):
+    torn = data.withColumn("a", F.when(F.col("i") > 3, F.col("a")))
+    with pytest.raises(Exception, match="a feature is missing"):
+        binned(torn, ["a", "b"])
+    forest = fit_forests(binned(data, ["a", "b"]), [Spec(0.3, 2, 20, rounds=1)])[0]
+    with pytest.raises(Exception, match="a feature is missing"):
+        forest.transform(torn).collect()
+
+
+def test_plan_of_a_score_does_not_grow_with_the_trees(spark, data):
+    few, many = fit_forests(binned(data, ["a", "b"]), [Spec(0.05, 2, 10, rounds=r) for r in (2, 60)])
+    plans = [f.transform(data)._jdf.queryExecution().executedPlan().toString() for f in (few, many)]
+    assert many.trees == 60 and len(plans[0].split("\n")) == len(plans[1].split("\n"))
 
 
 def test_feature_columns(data):
@@ -95,56 +187,25 @@ def test_trees_do_not_depend_on_the_unit_of_the_target(spark):
     y = 0.01 * (x[:, 0] + np.sin(3 * x[:, 1]))
     base = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "y": y, "is_val": np.arange(400) % 4 == 0}))
     grid = [{"learning_rate": 0.3, "max_depth": 3, "min_child_rows": 5}]
-    trees = []
-    for unit in (1.0, 100.0):
-        rows = prepare_vectors(base.withColumn("y", F.col("y") * unit), ["a", "b"])
-        trees.append(fit_candidates(rows, grid, rounds=12)[0].getNumTrees)
-    assert trees[0] == trees[1] > 3
-
-
-def test_stopping_round_waits_for_patience():
-    errors = [5.0, 4.0, 4.5, 4.2, 3.0, 3.5, 3.5, 3.5, 2.0]
-    assert stopping_round(errors, 2) == (2, True)  # two rounds without a gain
-    assert stopping_round(errors, 3) == (5, True)
-    assert stopping_round(errors, 9) == (9, False)
+    small, large = (fit_candidates(base.withColumn("y", F.col("y") * u), ["a", "b"], grid, rounds=12)[0] for u in (1.0, 1e4))
+    assert small.trees == large.trees > 3
+    np.testing.assert_allclose(small.predict(x) * 1e4, large.predict(x), rtol=1e-6)
 
 
-def test_a_noisy_rise_does_not_end_a_fit(spark, folder):
+def test_a_noisy_rise_does_not_end_a_fit_but_patience_does(spark):
     rng = np.random.default_rng(11)
     x = rng.normal(size=(500, 3))
     y = 0.01 * (0.3 * x[:, 0] + rng.normal(size=500))
-    rows = prepare_vectors(spark.createDataFrame(pd.DataFrame(
-        {"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "y": y, "is_val": np.arange(500) % 3 == 0})), ["a", "b", "c"]).cache()
+    rows = spark.createDataFrame(pd.DataFrame({"a": x[:, 0], "b": x[:, 1], "c": x[:, 2], "y": y, "is_val": np.arange(500) % 3 == 0}))
     grid = [{"learning_rate": 0.05, "max_depth": 2, "min_child_rows": 15}]
-    whole = fit_candidates(rows.withColumn("is_val", F.lit(False)).join(rows.select("a", F.col("is_val").alias("held")), "a").where("not held"), grid, rounds=24)[0]
-    held = rows.where("is_val")
-    errors = list(whole.evaluateEachIteration(held, "squared"))
-    rise = next(i for i in range(1, 24) if errors[i] > min(errors[:i]))
-    best = int(np.argmin(errors)) + 1
-    assert rise < best < 24  # the first rise comes before the best round
-    model = fit_candidates(rows, grid, rounds=24)[0]
-    assert model.getNumTrees == best and len(model.featureImportances) == 3
-    assert model.evaluateEachIteration(held, "squared")[-1] == pytest.approx(min(errors), rel=1e-9)
-    model.write().overwrite().save(f"{folder}/cut")
-    again = GBTRegressionModel.load(f"{folder}/cut").transform(held.select("a", "features"))
-    both = again.join(model.transform(held).select("a", F.col("pred").alias("p")), "a")
-    assert again.count() == both.where("pred = p").count()
-
-
-def test_fits_go_on_beyond_the_first_chunk(data, monkeypatch):
-    rows = prepare_vectors(data, ["a", "b", "c"]).withColumn("is_val", F.col("i") % 5 == 0).cache()
-    grid = [{"learning_rate": 0.1, "max_depth": 2, "min_child_rows": 15}]
-    one = fit_candidates(rows, grid, rounds=16)[0]
-    monkeypatch.setattr(trees, "FIRST_ROUNDS", 3)
-    parts = fit_candidates(rows, grid, rounds=16)[0]
-    assert parts.getNumTrees == one.getNumTrees > 6 and parts.toDebugString.split("\n")[1:] == one.toDebugString.split("\n")[1:]
-
-
-def test_quantile_trees_validate_the_last_round(spark):
-    rng = np.random.default_rng(6)
-    x = rng.normal(size=300)
-    rows = prepare_vectors(spark.createDataFrame(pd.DataFrame({"a": x, "y": x, "is_val": np.arange(300) % 3 == 0})), ["a"])
-    assert len(QuantileGBT(0.5, rounds=3, rate=0.3, depth=2).fit(rows).trees) == 3
+    long = fit_candidates(rows, list("abc"), grid, rounds=300, patience=300)[0]
+    rise = next(i for i in range(1, 300) if long.loss[i] > min(long.loss[:i]))
+    best = int(np.argmin(long.loss)) + 1
+    assert rise < best == long.trees < 300 == len(long.loss)
+    held = x[np.arange(500) % 3 == 0]
+    assert ((y[np.arange(500) % 3 == 0] - long.predict(held)) ** 2).mean() == pytest.approx(min(long.loss))
+    short = fit_candidates(rows, list("abc"), grid, rounds=300, patience=10)[0]
+    assert len(short.loss) == short.trees + 10 and short.loss == pytest.approx(long.loss[: len(short.loss)])
 
 
 def test_registered_queries_run_the_full_search(spark, monkeypatch):
@@ -152,20 +213,22 @@ def test_registered_queries_run_the_full_search(spark, monkeypatch):
     class Seen(Exception):
         pass
 
-    def stop(*args, **kwargs):
-        raise Seen(next(a for a in args if isinstance(a, TrainConfig)))
+    def stop(data, specs, block=None):
+        raise Seen(specs)
 
-    days = pd.bdate_range("2020-01-01", periods=200)
+    days = pd.bdate_range("2020-01-01", periods=400)
     panel = spark.createDataFrame(pd.DataFrame({"series": "A", "date": days.date, "y": 0.1, "y_dir": 1, "f1": 1.0}))
     monkeypatch.setattr(modelling, "dataset", lambda *_: panel)
-    for name in ("select_model", "run_split", "train_and_evaluate", "walk_forward_run"):
-        monkeypatch.setattr(modelling, name, stop)
+    monkeypatch.setattr(training, "fit_forests", stop)
+    monkeypatch.setattr(modelling, "fit_forests", stop)
     for name in ("gbt_select", "quantile_gbt", "feature_importance", "train_evaluate", "walk_forward_run", "model_latest_signal"):
         with pytest.raises(Seen) as seen:
             QUERIES[name](spark, "/root/testdata/sf0.001")
-        cfg = seen.value.args[0]
-        assert list(cfg.grid) == candidate_grid() and cfg.rounds == (cfg.quantile_rounds or cfg.rounds) == 2500, name
-        assert len(cfg.scales) == 6 and cfg.folds == 6, name
+        specs = seen.value.args[0]
+        assert {(s.rounds, s.patience, s.penalty, s.column_share) for s in specs} == {(2500, 120, 0.5, 0.85)}, name
+        assert len(specs) == 12 * (6 if name == "walk_forward_run" else 1) and len({s.bit for s in specs}) == len(specs) // 12, name
+        assert {(s.rate, s.leaves, s.depth, s.least) for s in specs} == {tuple(g.values()) for g in candidate_grid()}
+    assert len(modelling.CONFIG.scales) == 6 and modelling.CONFIG.folds == 6
 
 
 def test_config_checks():
