@@ -1,18 +1,17 @@
 """Collocations from depth-truncated suffix trees over words, partitioned by word prefixes.
 
 Every word begins a suffix, cut after DEPTH words or at the end of its piece. The suffixes below one prefix form a subtree
-of their own. Passes over the texts count the rows below prefixes of one word, then of two, three, four where there are more
-than LIMIT; the prefixes that are left are packed into groups up to a budget of rows, and a task builds the subtree of a
-group without looking at any other. The count of a node is the total of its leaves; nodes above an extended prefix have
-theirs from the counts that decided to extend it. Suffixes are combined where they are read and travel in compressed
-blocks of one group each.
+of their own. Prefixes of one word are counted in hash buckets; those of a bucket beyond LIMIT are extended by one word and
+counted again, up to DEPTH words. Buckets are packed into groups up to a budget of rows, and a task builds the subtrees of
+a group without looking at any other: the count of a node is the total of its leaves. An extended prefix itself is a leaf
+of its own group. Suffixes are combined where they are read and travel in compressed blocks of one group each.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
-from hashlib import blake2b
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +23,9 @@ from panelmill.llm.common import store
 from panelmill.session import Stored
 
 DEPTH = 4
-#: Rows of one group of prefixes; a prefix with more than LIMIT of them is extended.
-BUDGET, LIMIT = 1_000_000, 250_000
-FINE = 16  # hash buckets for each group, packed into groups by what they hold
+#: Rows of one group of prefixes, and suffixes of one bucket from which on its prefixes are extended.
+BUDGET, LIMIT = 2_000_000, 1_500_000
+FINE = 16  # hash buckets for each group
 _FLUSH = 1 << 21  # words that are combined at a time
 _WORDS = [f"w{k + 1}" for k in range(DEPTH)]
 _STOP = b"."
@@ -52,10 +51,6 @@ def _combined(keys: list[np.ndarray], count: np.ndarray) -> tuple[np.ndarray, np
     return order[first], np.add.reduceat(count[order], first) if len(first) else np.zeros(0, np.int64)
 
 
-def _hash(data: bytes) -> int:
-    return int.from_bytes(blake2b(data, digest_size=8).digest(), "little")
-
-
 @dataclass
 class Suffixes:
     """Different suffixes of some texts of one language: numbers of ``book`` plus 1 for each word, 0 beyond the end."""
@@ -67,40 +62,35 @@ class Suffixes:
 
     @classmethod
     def of(cls, lang: str, tokens: list[bytes]) -> Suffixes:
+        """One row for each word."""
         coded = pa.array(tokens, pa.binary()).dictionary_encode()
-        ids = np.concatenate((coded.indices.to_numpy().astype(np.int64) + 1, np.zeros(DEPTH, np.int64)))
+        ids = np.concatenate((coded.indices.to_numpy().astype(np.int32) + np.int32(1), np.zeros(DEPTH, np.int32)))
         ids[ids == coded.dictionary.index(_STOP).as_py() + 1] = 0
         n = len(ids) - DEPTH
         columns = [ids[:n]]
         for k in range(1, DEPTH):
-            columns.append(np.where(columns[-1] > 0, ids[k: k + n], 0))
+            columns.append(np.where(columns[-1] > 0, ids[k: k + n], np.int32(0)))
         real = columns[0] > 0
-        columns = [c[real] for c in columns]
-        at, count = _combined([columns[k] << 32 | columns[k + 1] for k in range(0, DEPTH, 2)], np.ones(len(columns[0]), np.int64))
-        return cls(lang, coded.dictionary, [c[at] for c in columns], count)
+        return cls(lang, coded.dictionary, [c[real] for c in columns], np.ones(int(real.sum()), np.int64))
+
+    def combined(self) -> Suffixes:
+        c = [x.astype(np.int64) for x in self.columns]
+        at, count = _combined([c[k] << 32 | c[k + 1] for k in range(0, DEPTH, 2)], self.count)
+        return Suffixes(self.lang, self.book, [x[at] for x in self.columns], count)
 
-    def hashes(self) -> list[np.ndarray]:
+    def buckets(self, number: int) -> Iterator[np.ndarray]:
         """Of the first 1, 2, ... words of every row, the same in all tasks."""
-        each = np.array([0, *(_hash(w) for w in self.book.to_pylist())], np.uint64)
-        out, h = [], np.full(len(self.count), _hash(self.lang.encode()), np.uint64)
+        each = np.array([0, *map(crc32, self.book.to_pylist())], np.uint64)
+        h = np.full(len(self.count), crc32(self.lang.encode()), np.uint64)
         for c in self.columns:
             h = (h ^ each[c]) * _MIX
             h ^= h >> np.uint64(29)
-            out.append(h.view(np.int64))
-        return out
+            yield (h % np.uint64(number)).astype(np.int64)
 
     def words(self, column: np.ndarray) -> pa.Array:
         return self.book.take(pa.array(column - 1, mask=column == 0)).cast(pa.string())
 
 
-def _depths(hashes: Sequence[np.ndarray], hot: Sequence[np.ndarray]) -> np.ndarray:
-    """Words of each row's prefix: one more than of the longest chain of extended ones it begins with."""
-    deep = np.ones(len(hashes[0]), np.int64)
-    for k, known in enumerate(hot):
-        deep[(deep == k + 1) & np.isin(hashes[k], known)] += 1
-    return deep
-
-
 def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return docs.select(
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"))
@@ -127,50 +117,71 @@ def _each(rows: DataFrame, use: Callable[[Suffixes], Iterator[pa.RecordBatch]],
     return rows.mapInArrow(cut, schema)
 
 
-def _prefixes(rows: DataFrame, k: int, hot: Sequence[np.ndarray]) -> DataFrame:
-    """lang, w1 to wk, hash, f, rows of the prefixes of k words below extended ones."""
+def _loads(rows: DataFrame, number: int, hot: Sequence[np.ndarray]) -> DataFrame:
+    """bucket, n: suffixes by their first len(hot) + 1 words, of those that begin with a chain of extended prefixes; without
+    any also lang, n of all words, with a null bucket."""
 
     def count(s: Suffixes) -> Iterator[pa.RecordBatch]:
-        hashes = s.hashes()
-        mine = np.flatnonzero((_depths(hashes, hot) == k) & (s.columns[k - 1] > 0))
-        columns = [c[mine] for c in s.columns[:k]]
-        at, f = _combined(columns, s.count[mine])
-        _, n = _combined(columns, np.ones(len(mine), np.int64))
-        for a in range(0, len(at), 100_000):
-            part = at[a: a + 100_000]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([s.lang] * len(part), pa.string()), *(s.words(c[part]) for c in columns), pa.array(hashes[k - 1][mine][part]),
-                 pa.array(f[a: a + 100_000]), pa.array(n[a: a + 100_000])], ["lang", *_WORDS[:k], "hash", "f", "rows"])
+        level = len(hot)
+        mine = s.columns[level] > 0
+        for k, b in enumerate(s.buckets(number)):
+            if k == level:
+                break
+            mine &= hot[k][b]
+        found, n = np.unique(b[mine], return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.string()), pa.array(found), pa.array(n)], ["lang", "bucket", "n"])
+        if not level:
+            yield pa.RecordBatch.from_arrays([pa.array([s.lang], pa.string()), pa.nulls(1, pa.int64()), pa.array([len(s.count)], pa.int64())], ["lang", "bucket", "n"])
 
-    by = ["lang", *_WORDS[:k]]
-    counted = _each(rows, count, ", ".join(f"{c} string" for c in by) + ", hash bigint, f bigint, rows bigint")
-    return counted.groupBy(*by).agg(F.first("hash").alias("hash"), F.sum("f").alias("f"), F.sum("rows").alias("rows"))
+    return _each(rows, count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
 
 
 def _blocks(rows: DataFrame, hot: Sequence[np.ndarray], group_of: np.ndarray) -> DataFrame:
-    """grp, lang, block: the suffixes of one group, sorted, as compressed Arrow data."""
-    fine = len(group_of)
-
-    def pack(s: Suffixes) -> Iterator[pa.RecordBatch]:
-        hashes = s.hashes()
-        deep = _depths(hashes, hot)
-        length = sum((c > 0).astype(np.int64) for c in s.columns)
-        group = group_of[np.choose(deep - 1, hashes) % fine]
-        order = np.argsort(group, kind="stable")
-        order = order[(length >= deep)[order]]  # what ends before its prefix does is counted in the nodes above
-        edges = np.flatnonzero(np.diff(group[order], prepend=-1))
+    """grp, lang, block: the suffixes of one group as compressed Arrow data."""
+    number = len(group_of)
+
+    def pack(every: Suffixes) -> Iterator[pa.RecordBatch]:
+        s = every.combined()
+        where, parts = np.ones(len(s.count), bool), []  # where: all shorter prefixes of the row are extended
+        for k, bucket in enumerate(s.buckets(number)):
+            where &= s.columns[k] > 0
+            ends = where & ~hot[k][bucket] if k < len(hot) else where.copy()
+            parts.append((np.flatnonzero(ends), k + 1, bucket[ends], DEPTH))
+            where &= ~ends
+            if k < len(hot):  # the extended prefix itself, cut after its words
+                longer = np.flatnonzero(where)
+                first, total = _combined([c[longer].astype(np.int64) for c in s.columns[: k + 1]], s.count[longer])
+                parts.append((longer[first], k + 1, bucket[longer[first]], total))
+            if not where.any():
+                break
+        rows_, deep, group, count, cut = [], [], [], [], []
+        for at, k, bucket, total in parts:
+            whole = isinstance(total, int)
+            rows_.append(at), deep.append(np.full(len(at), k, np.int8)), group.append(group_of[bucket])
+            count.append(s.count[at] if whole else total), cut.append(np.full(len(at), DEPTH if whole else k, np.int8))
+        at, deep_, group_, count_, cut_ = (np.concatenate(x) for x in (rows_, deep, group, count, cut))
+        order = np.argsort(group_, kind="stable")
+        edges = np.flatnonzero(np.diff(group_[order], prepend=-1))
+        seen = np.zeros(len(s.book) + 1, bool)
         for a, z in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
-            at = order[a:z]
-            used, number = np.unique(np.concatenate([c[at] for c in s.columns]), return_inverse=True)
-            ids = number.reshape(DEPTH, -1).astype(np.int32)
-            book = s.book.take(pa.array(used - 1, mask=used == 0)).cast(pa.string())
-            columns = [pa.DictionaryArray.from_arrays(pa.array(i), book) for i in ids]
-            batch = pa.RecordBatch.from_arrays([*columns, pa.array(s.count[at]), pa.array(deep[at].astype(np.int8))], [*_WORDS, "c", "deep"])
+            here = order[a:z]
+            columns = [np.where(cut_[here] > k, c[at[here]], 0) for k, c in enumerate(s.columns)]
+            seen[:] = False
+            for c in columns:
+                seen[c] = True
+            seen[0] = True
+            used = np.flatnonzero(seen)
+            place = np.cumsum(seen) - 1
+            book = s.words(used)
+            kind = np.uint16 if len(used) < 1 << 16 else np.int32
+            batch = pa.RecordBatch.from_arrays(
+                [*(pa.DictionaryArray.from_arrays(pa.array(place[c].astype(kind)), book) for c in columns),
+                 pa.array(count_[here]), pa.array(deep_[here])], [*_WORDS, "c", "deep"])
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                 out.write_batch(batch)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([int(group[order[a]])], pa.int32()), pa.array([s.lang], pa.string()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                [pa.array([int(group_[here[0]])], pa.int32()), pa.array([s.lang], pa.string()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
                 ["grp", "lang", "block"])
 
     return _each(rows, pack, "grp int, lang string, block binary")
@@ -197,14 +208,15 @@ class Group:
         # numbers of the blocks' own books to those of the joint one; 0 stands for no word
         number = coded.indices.fill_null(-1).to_numpy().astype(np.int64) + 1
         begin = np.cumsum([0, *(len(b) for b in books)])
-        columns = [np.concatenate([number[a:][t.column(k).chunk(0).indices.to_numpy()] for a, t in zip(begin, tables)]) for k in range(DEPTH)]
+        columns = [np.concatenate([number[a:][t.column(k).chunk(0).indices.to_numpy()] for a, t in zip(begin.tolist(), tables)]) for k in range(DEPTH)]
         lang = np.repeat([langs.index(x) for x, _ in blocks], sizes).astype(np.int64)
         count, deep = (np.concatenate([t.column(c).to_numpy() for t in tables]) for c in ("c", "deep"))
         return cls(langs, coded.dictionary, lang, columns, count, deep).combined()
 
     def combined(self) -> Group:
         """Equal rows of many blocks as one, in the order of the tree: leaves below one node are side by side."""
-        at, total = _combined([self.lang << 32 | self.columns[0], self.columns[1] << 32 | self.columns[2], self.columns[3]], self.count)
+        # a prefix that was extended and the rows below it may meet in one group: they differ in ``deep``
+        at, total = _combined([self.lang << 32 | self.columns[0], self.columns[1] << 32 | self.columns[2], self.columns[3] << 3 | self.deep], self.count)
         return Group(self.langs, self.book, self.lang[at], [c[at] for c in self.columns], total, self.deep[at])
 
     def subtree(self, least: int) -> Iterator[pa.RecordBatch]:
@@ -215,8 +227,8 @@ class Group:
         for k in range(DEPTH):
             new[1:] |= self.columns[k][1:] != self.columns[k][:-1]
             first = np.flatnonzero(new)
-            total = np.add.reduceat(self.count, first)
-            kept = (self.columns[k][first] > 0) & (self.deep[first] <= k + 1) & (total >= least)
+            total = np.add.reduceat(np.where(self.deep <= k + 1, self.count, 0), first) if len(first) else first
+            kept = (self.columns[k][first] > 0) & (total >= least)
             first, total = first[kept], total[kept]
             if len(first):
                 parts = [self.book.take(pa.array(c[first] - 1)) for c in self.columns[: k + 1]]
@@ -246,51 +258,32 @@ def count_phrases(docs: DataFrame, least: int = 30, text_col: str = "text", lang
     """(nodes, totals): stored (lang, phrase, k, f) of all phrases of 1 to DEPTH words with ``least`` occurrences or more,
     and (lang, n) of all words.
 
-    What goes through the driver is bounded by the rows of all suffixes: a hash for LIMIT of them, and FINE numbers for BUDGET.
+    What goes through the driver is bounded by the texts: FINE numbers for BUDGET words.
     """
     rows = _texts(docs, text_col, lang_col)
+    size = rows.agg(F.sum(F.octet_length("data"))).head()[0] or 0
+    number = FINE * (1 + size // 4 // BUDGET)  # four bytes a word or more, else buckets are larger and more are extended
     hot: list[np.ndarray] = []
-    tables: list[Stored] = []
-    for k in range(1, DEPTH + 1):
-        tables.append(store(_prefixes(rows, k, hot), "phrase-prefixes"))
-        if k == 1:
-            totals = store(tables[0].df.groupBy("lang").agg(F.sum("f").alias("n")), "phrase-totals").df
-        if k < DEPTH:
-            found = tables[-1].df.where(F.col("rows") > LIMIT).select("hash").distinct().collect()
-            if not found:
-                break
-            hot.append(np.array(sorted(r.hash for r in found), np.int64))
-    inner, weights = [], []
-    for k, t in enumerate(tables):
-        if k < len(hot):
-            known = docs.sparkSession.createDataFrame([(int(h),) for h in hot[k]], "hash bigint")
-            extended = t.df.join(known, "hash", "left_semi").where(F.col("f") >= least)
-            inner.append(extended.select("lang", F.concat_ws(" ", *_WORDS[: k + 1]).alias("phrase"), F.lit(k + 1).alias("k"), "f"))
-            weights.append(t.df.join(known, "hash", "left_anti").select("hash", "rows"))
-        else:
-            weights.append(t.df.select("hash", "rows"))
-    every = weights[0]
-    for more in weights[1:]:
-        every = every.union(more)
-    n = every.agg(F.sum("rows")).head()[0] or 0
-    fine = FINE * (1 + n // BUDGET)
-    # hash buckets of prefixes, packed side by side until a group has its budget
-    load = np.zeros(fine, np.int64)
-    for r in every.groupBy(F.pmod("hash", F.lit(fine)).alias("b")).agg(F.sum("rows").alias("rows")).collect():
-        load[r.b] = r.rows
-    group_of, group, held = np.zeros(fine, np.int64), 0, 0
-    for b, weight in enumerate(load.tolist()):
+    load, totals = np.zeros(number, np.int64), None
+    for k in range(DEPTH):
+        found = store(_loads(rows, number, hot), "phrase-loads").df
+        if totals is None:
+            totals = found.where("bucket is null").select("lang", "n")
+        here = np.zeros(number, np.int64)
+        for r in found.where("bucket is not null").select("bucket", "n").collect():  # one row a bucket
+            here[r.bucket] = r.n
+        beyond = here > LIMIT if k + 1 < DEPTH else np.zeros(number, bool)
+        load += np.where(beyond, 0, here)
+        if not beyond.any():
+            break
+        hot.append(beyond)
+    group_of, group, held = np.zeros(number, np.int32), 0, 0
+    for b, weight in enumerate(load.tolist()):  # buckets side by side until a group has its budget
         if held and held + weight > BUDGET:
             group, held = group + 1, 0
         group_of[b] = group
         held += weight
-    nodes = _trees(_blocks(rows, hot, group_of), least)
-    for more in inner:
-        nodes = nodes.unionByName(more)
-    out = store(nodes, "phrase-nodes")
-    for t in tables:
-        t.delete()
-    return out, totals
+    return store(_trees(_blocks(rows, hot, group_of), least), "phrase-nodes"), totals
 
 
 def _exact(c: Column) -> Column:
