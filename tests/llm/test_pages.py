@@ -187,3 +187,57 @@ def test_small_parts_beside_the_best_container_stay():
     box = f"<div>{f'<p>{text}</p>' * 8}</div>"
     html = f"<body><h1>Title</h1>{box}between <b>bold</b> words<div>{f'<p>{text}</p>' * 3}</div><p>The end.</p><div><a href='x'>One</a> <a href='y'>Two</a></div></body>"
     assert main_text(html) == "\n".join(["Title", *[text] * 8, "between bold words", *[text] * 3, "The end."])
+
+
+TEXT = "This sentence is long enough, with commas, to be taken for a part of an article by its length alone, and says nothing else."
+
+
+@pytest.mark.parametrize(("inner", "found"), [
+    ('<h2 id="related-work">Related work</h2>', "Related work"),
+    ('<h2 id="market-share">Market share</h2>', "Market share"),
+    (f'<section id="share-prices"><p>{TEXT}</p></section>', TEXT),
+    ("<ul><li><a href=1>First reference</a></li><li><a href=2>Second reference</a></li><li><a href=3>Third</a></li></ul>", "First reference\nSecond reference\nThird"),
+    ("<p>Value <math><mi>x</mi><annotation>tex</annotation></math> is set</p>", "Value x is set"),
+    ("<p>Press <label>the field</label> here</p>", "Press the field here"),
+    ("<fieldset><p>Kept words</p></fieldset>", "Kept words"),
+    ('<div class="header"><h1>The title</h1></div>', "The title"),
+    ('<p class="notice-period">Three months</p>', "Three months"),
+    ('<div class="share">Share this</div>', ""), ('<div class="comments">' + f"<p>{TEXT}</p>" * 5 + "</div>", ""), ('<div class="ad">Buy now</div>', ""),
+    ('<div class="related"><a href=1>' + "Another page " * 30 + "</a></div>", ""), ("<form><p>Name</p></form>", ""),
+])
+@pytest.mark.parametrize("outer", ["<article>{}</article>", '<div class="post">{}</div>'])
+def test_an_article_keeps_what_is_its_own(outer, inner, found):
+    html = "<nav><a href=0>Home</a></nav>" + outer.format(f"<p>{TEXT}</p>{inner}<p>{TEXT}</p>") + "<footer>Imprint</footer>"
+    assert main_text(html) == "\n".join(x for x in (TEXT, found, TEXT) if x)
+
+
+def test_pages_of_known_blocks_with_boilerplate_around_and_between():
+    rnd = random.Random(12)
+    words = "ash birch cedar elm fir hazel larch maple oak pine rowan yew".split()
+
+    def sentence():
+        return " ".join(rnd.choice(words) for _ in range(rnd.randint(8, 40))) + ", " + rnd.choice(words) + "."
+
+    def wrap(tag, text):
+        return f'<{tag} id="{rnd.choice(("share", "related", "comment", "ad", "x"))}-{rnd.choice(words)}">{text}</{tag}>'
+
+    noise = [
+        lambda: '<nav><ul><li><a href="/">Home</a></li><li><a href="/b">Blog</a></li></ul></nav>', lambda: "<script>var a = '<p>no</p>';</script>",
+        lambda: '<div class="ad"><p>Buy now</p></div>', lambda: "<style>p { color: red }</style>", lambda: "<aside><p>Beside</p></aside>",
+        lambda: '<form><label>Mail</label><input name=m><button>Send</button></form>', lambda: '<div class="cookie-consent">We use cookies</div>',
+        lambda: '<div class="share"><a href=1>one</a> <a href=2>two</a></div>', lambda: "<!-- <p>gone</p> -->",
+    ]
+    for k in range(200):
+        kept, body = [], []
+        for _ in range(rnd.randint(3, 25)):
+            if rnd.random() < 0.4:
+                body.append(rnd.choice(noise)())
+            kind = rnd.choice(["p", "h2", "li", "blockquote", "links"])
+            texts = [sentence()] if kind != "links" else [rnd.choice(words) for _ in range(4)]
+            kept += texts
+            body.append(wrap(kind, texts[0]) if kind in ("p", "h2", "blockquote") else "<ul>" + "".join(
+                wrap("li", f"<a href=1>{t}</a>" if kind == "links" else t) for t in texts) + "</ul>")
+        edge = "".join(rnd.choice(noise)() for _ in range(4))
+        outer = ("<article>{}</article>", "<main>{}</main>", '<div id="content">{}</div>')[k % 3]
+        html = f"<html><head><title>T</title></head><body>{edge}{outer.format(''.join(body))}{edge}<footer><p>Imprint</p></footer></body></html>"
+        assert main_text(html) == "\n".join(kept), k
