@@ -24,8 +24,11 @@ from panelmill.session import Stored
 
 DEPTH = 4
 #: Rows of one group of prefixes, and suffixes of one bucket from which on its prefixes are extended.
-BUDGET, LIMIT = 2_000_000, 1_500_000
+BUDGET, LIMIT = 1_000_000, 750_000
 FINE = 16  # hash buckets for each group
+#: Hash buckets of words. A word whose bucket has too few occurrences is too rare for any phrase and ends a suffix as a stop
+#: does. Words that share a bucket with a frequent one are kept: the more words there are, the less is saved, nothing is lost.
+WORDS = 1 << 25
 _FLUSH = 1 << 21  # words that are combined at a time
 _WORDS = [f"w{k + 1}" for k in range(DEPTH)]
 _STOP = b"."
@@ -51,6 +54,11 @@ def _combined(keys: list[np.ndarray], count: np.ndarray) -> tuple[np.ndarray, np
     return order[first], np.add.reduceat(count[order], first) if len(first) else np.zeros(0, np.int64)
 
 
+def _word_buckets(lang: str, book: pa.Array, number: int) -> np.ndarray:
+    seed = crc32(lang.encode())
+    return np.array([crc32(w, seed) for w in book.to_pylist()], np.int64) % number
+
+
 @dataclass
 class Suffixes:
     """Different suffixes of some texts of one language: numbers of ``book`` plus 1 for each word, 0 beyond the end."""
@@ -61,11 +69,15 @@ class Suffixes:
     count: np.ndarray
 
     @classmethod
-    def of(cls, lang: str, tokens: list[bytes]) -> Suffixes:
-        """One row for each word."""
+    def of(cls, lang: str, tokens: list[bytes], frequent: np.ndarray | None = None) -> Suffixes:
+        """One row for each word; ``frequent`` has a bit for each bucket of words."""
         coded = pa.array(tokens, pa.binary()).dictionary_encode()
         ids = np.concatenate((coded.indices.to_numpy().astype(np.int32) + np.int32(1), np.zeros(DEPTH, np.int32)))
         ids[ids == coded.dictionary.index(_STOP).as_py() + 1] = 0
+        if frequent is not None:
+            at = _word_buckets(lang, coded.dictionary, 8 * len(frequent))
+            rare = np.concatenate(([False], (frequent[at >> 3] >> (at & 7)) & 1 == 0))
+            ids[rare[ids]] = 0
         n = len(ids) - DEPTH
         columns = [ids[:n]]
         for k in range(1, DEPTH):
@@ -96,7 +108,7 @@ def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"))
 
 
-def _each(rows: DataFrame, use: Callable[[Suffixes], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+def _each(rows: DataFrame, use: Callable[[Suffixes], Iterator[pa.RecordBatch]], schema: str, frequent: np.ndarray | None) -> DataFrame:
     """``use`` of the suffixes of all texts, _FLUSH words at a time."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,34 +121,43 @@ def _each(rows: DataFrame, use: Callable[[Suffixes], Iterator[pa.RecordBatch]],
                 n += len(found)
                 if n >= _FLUSH:
                     for key in list(waiting):
-                        yield from use(Suffixes.of(key, waiting.pop(key)))
+                        yield from use(Suffixes.of(key, waiting.pop(key), frequent))
                     n = 0
         for key in list(waiting):
-            yield from use(Suffixes.of(key, waiting.pop(key)))
+            yield from use(Suffixes.of(key, waiting.pop(key), frequent))
 
     return rows.mapInArrow(cut, schema)
 
 
-def _loads(rows: DataFrame, number: int, hot: Sequence[np.ndarray]) -> DataFrame:
-    """bucket, n: suffixes by their first len(hot) + 1 words, of those that begin with a chain of extended prefixes; without
-    any also lang, n of all words, with a null bucket."""
+def _loads(rows: DataFrame, number: int, hot: Sequence[np.ndarray], frequent: np.ndarray | None) -> DataFrame:
+    """kind, lang, bucket, n. ``load``: suffixes by their first len(hot) + 1 words, of those that begin with a chain of
+    extended prefixes; without any also ``word``, by the buckets of words, and ``total``, all words of a language."""
 
     def count(s: Suffixes) -> Iterator[pa.RecordBatch]:
+        def rows_of(kind: str, bucket: np.ndarray | None, n: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([kind] * len(n), pa.string()), pa.array([s.lang if kind == "total" else None] * len(n), pa.string()),
+                 pa.nulls(len(n), pa.int64()) if bucket is None else pa.array(bucket), pa.array(n)], ["kind", "lang", "bucket", "n"])
+
         level = len(hot)
         mine = s.columns[level] > 0
         for k, b in enumerate(s.buckets(number)):
             if k == level:
                 break
             mine &= hot[k][b]
-        found, n = np.unique(b[mine], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.nulls(len(found), pa.string()), pa.array(found), pa.array(n)], ["lang", "bucket", "n"])
+        yield rows_of("load", *np.unique(b[mine], return_counts=True))
         if not level:
-            yield pa.RecordBatch.from_arrays([pa.array([s.lang], pa.string()), pa.nulls(1, pa.int64()), pa.array([len(s.count)], pa.int64())], ["lang", "bucket", "n"])
+            f = np.bincount(s.columns[0], minlength=len(s.book) + 1)[1:]
+            at = _word_buckets(s.lang, s.book, WORDS)
+            order = np.argsort(at)
+            bucket, first = np.unique(at[order], return_index=True)
+            yield rows_of("word", bucket, np.add.reduceat(f[order], first))
+            yield rows_of("total", None, np.array([len(s.count)]))
 
-    return _each(rows, count, "lang string, bucket bigint, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    return _each(rows, count, "kind string, lang string, bucket bigint, n bigint", frequent).groupBy("kind", "lang", "bucket").agg(F.sum("n").alias("n"))
 
 
-def _blocks(rows: DataFrame, hot: Sequence[np.ndarray], group_of: np.ndarray) -> DataFrame:
+def _blocks(rows: DataFrame, hot: Sequence[np.ndarray], group_of: np.ndarray, frequent: np.ndarray) -> DataFrame:
     """grp, lang, block: the suffixes of one group as compressed Arrow data."""
     number = len(group_of)
 
@@ -184,7 +205,7 @@ def _blocks(rows: DataFrame, hot: Sequence[np.ndarray], group_of: np.ndarray) ->
                 [pa.array([int(group_[here[0]])], pa.int32()), pa.array([s.lang], pa.string()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
                 ["grp", "lang", "block"])
 
-    return _each(rows, pack, "grp int, lang string, block binary")
+    return _each(rows, pack, "grp int, lang string, block binary", frequent)
 
 
 @dataclass
@@ -258,19 +279,22 @@ def count_phrases(docs: DataFrame, least: int = 30, text_col: str = "text", lang
     """(nodes, totals): stored (lang, phrase, k, f) of all phrases of 1 to DEPTH words with ``least`` occurrences or more,
     and (lang, n) of all words.
 
-    What goes through the driver is bounded by the texts: FINE numbers for BUDGET words.
+    What goes through the driver is bounded: FINE numbers for BUDGET words of the texts, and a number for each bucket of words.
     """
     rows = _texts(docs, text_col, lang_col)
     size = rows.agg(F.sum(F.octet_length("data"))).head()[0] or 0
     number = FINE * (1 + size // 4 // BUDGET)  # four bytes a word or more, else buckets are larger and more are extended
     hot: list[np.ndarray] = []
-    load, totals = np.zeros(number, np.int64), None
+    load, totals, frequent = np.zeros(number, np.int64), None, None
     for k in range(DEPTH):
-        found = store(_loads(rows, number, hot), "phrase-loads").df
-        if totals is None:
-            totals = found.where("bucket is null").select("lang", "n")
+        found = store(_loads(rows, number, hot, frequent), "phrase-loads").df
+        if not k:
+            totals = found.where("kind = 'total'").select("lang", "n")
+            known = found.where((F.col("kind") == "word") & (F.col("n") >= least)).select("bucket").toArrow().column(0).to_numpy()
+            frequent = np.zeros(WORDS >> 3, np.uint8)
+            np.bitwise_or.at(frequent, known >> 3, np.left_shift(1, known & 7).astype(np.uint8))
         here = np.zeros(number, np.int64)
-        for r in found.where("bucket is not null").select("bucket", "n").collect():  # one row a bucket
+        for r in found.where("kind = 'load'").select("bucket", "n").collect():  # one row a bucket
             here[r.bucket] = r.n
         beyond = here > LIMIT if k + 1 < DEPTH else np.zeros(number, bool)
         load += np.where(beyond, 0, here)
@@ -283,7 +307,7 @@ def count_phrases(docs: DataFrame, least: int = 30, text_col: str = "text", lang
             group, held = group + 1, 0
         group_of[b] = group
         held += weight
-    return store(_trees(_blocks(rows, hot, group_of), least), "phrase-nodes"), totals
+    return store(_trees(_blocks(rows, hot, group_of, frequent), least), "phrase-nodes"), totals
 
 
 def _exact(c: Column) -> Column:
