@@ -2,15 +2,17 @@
 
 One task cannot sort the suffixes of a corpus, so the corpus is first cut where equal strings must meet. Each run of
 SPAN bytes has an anchor: of its GRAM-byte strings the one with the smallest hash, which is the same in every copy of
-the run. The runs with one anchor are a stretch of text. A stretch that occurs twice is repeated as a whole; different
-stretches around equal anchors are compared by suffix arrays, made in two stages: only suffixes smaller than their
-successors are sorted, the others are induced from them by a scan over the buckets.
+the run. The runs with one anchor are a stretch of text. Equal stretches are repeated as a whole: they are told by a
+128-bit digest of their bytes and need no sorting. Different stretches around equal anchors are compared by suffix arrays
+over their bytes, made in two stages: only suffixes smaller than their successors are sorted, the others are induced from
+them by a scan over the buckets.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +24,9 @@ from panelmill.session import Stored
 
 SPAN, GRAM = 400, 160
 _WINDOW = SPAN - GRAM + 1
-#: Suffixes in one array, about. A larger group is split by the place of the anchor in the run, down to one place each.
+#: Suffixes in one array, about. A larger group is split by the place of the anchor in the run, down to one place each, and
+#: then by a hash of the run: equal runs have both in common.
 BLOCK = 500_000
-#: Stretches around one anchor from which on its runs are counted by hash instead, in a plain grouping.
-HOT = 400_000
 _PART = 1 << 18  # bytes of a text that are looked at together; parts overlap by a run
 _HIGH = np.uint64(0xFFFFFFFF00000000)
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -50,8 +51,9 @@ def _mixed(h: np.ndarray) -> np.ndarray:
 
 
 def stretches(data: np.ndarray) -> np.ndarray:
-    """Rows of (hash of the anchor, hash of the stretch, anchor, first run, last run), places being bytes of the text.
+    """Rows of (hash of the anchor, two halves of a digest, anchor, first run, last run), places being bytes of the text.
 
+    The digest is of the bytes of the stretch and the anchor's place in it.
     Of equal smallest hashes in a run the first is the anchor. Long texts are looked at in parts; a stretch that is cut
     there has another hash than its copies and is then compared with them by the suffix array.
     """
@@ -75,9 +77,12 @@ def stretches(data: np.ndarray) -> np.ndarray:
         first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
         last = np.concatenate((first[1:], [runs])) - 1
         at = (least[first] & ~_HIGH).astype(np.int64)
-        whole = _mixed((total[last + SPAN] - total[first]) * _INVERSE[first] + (at - first).astype(np.uint64) * _BYTE[7] + (last - first).astype(np.uint64) * _BYTE[9])
-        out.append(np.stack([h[at].view(np.int64), whole.view(np.int64), at + a, first + a, last + a]))
-    return np.concatenate(out, 1) if out else np.zeros((5, 0), np.int64)
+        raw = part.tobytes()
+        whole = np.frombuffer(b"".join(
+            hashlib.blake2b(raw[f: z], digest_size=16, salt=p.to_bytes(4, "little")).digest()
+            for f, z, p in zip(first.tolist(), (last + SPAN).tolist(), (at - first).tolist())), np.int64).reshape(-1, 2)
+        out.append(np.stack([h[at].view(np.int64), whole[:, 0], whole[:, 1], at + a, first + a, last + a]))
+    return np.concatenate(out, 1) if out else np.zeros((6, 0), np.int64)
 
 
 def suffix_order(raw: bytes, wanted: np.ndarray) -> np.ndarray:
@@ -178,12 +183,12 @@ def _anchor_table(rows: DataFrame) -> DataFrame:
         for b in batches:
             found = [stretches(np.frombuffer(x, np.uint8)) for x in b.column(2).to_pylist()]
             owner = pa.array(np.repeat(np.arange(len(found)), [f.shape[1] for f in found]), pa.int64())
-            h = np.concatenate([np.zeros((5, 0), np.int64), *found], 1)
+            h = np.concatenate([np.zeros((6, 0), np.int64), *found], 1)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(owner), b.column(1).take(owner), pa.array(h[0]), pa.array(h[1]), *(pa.array(h[k], pa.int64()).cast(pa.int32()) for k in (2, 3, 4))],
-                ["doc_id", "tag", "anchor", "stretch", "at", "low", "high"])
+                [b.column(0).take(owner), b.column(1).take(owner), *map(pa.array, h[:3]), *(pa.array(h[k], pa.int64()).cast(pa.int32()) for k in (3, 4, 5))],
+                ["doc_id", "tag", "anchor", "stretch", "proof", "at", "low", "high"])
 
-    return rows.mapInArrow(find, f"doc_id {kind}, tag int, anchor bigint, stretch bigint, at int, low int, high int")
+    return rows.mapInArrow(find, f"doc_id {kind}, tag int, anchor bigint, stretch bigint, proof bigint, at int, low int, high int")
 
 
 def _pieces(rows: DataFrame, members: DataFrame) -> DataFrame:
@@ -200,20 +205,21 @@ def _pieces(rows: DataFrame, members: DataFrame) -> DataFrame:
             for j in range(b.num_rows):
                 data = lists[0][j]
                 for anchor, at, low, high, kinds in zip(*(x[j] for x in lists[1:])):
-                    wide = max(1, BLOCK // kinds)
+                    wide, tiles = max(1, BLOCK // kinds), -(-kinds // BLOCK)
                     for part in range((at - high) // wide, (at - low) // wide + 1):
                         first, last = max(low, at - (part + 1) * wide + 1), min(high, at - part * wide)
-                        out.append((j, anchor, part, first, data[first: last + SPAN]))
+                        run = data[first: last + SPAN]
+                        out.append((j, anchor, part * tiles + (crc32(run) % tiles if tiles > 1 else 0), first, run))
                         size += last + SPAN - first
                 if size > 16 << 20 or j == b.num_rows - 1:
                     own = pa.array([x[0] for x in out], pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [b.column(0).take(own), b.column(1).take(own), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.int32()),
+                        [b.column(0).take(own), b.column(1).take(own), pa.array([x[1] for x in out], pa.int64()), pa.array([x[2] for x in out], pa.int64()),
                          pa.array([x[3] for x in out], pa.int32()), pa.array([x[4] for x in out], pa.binary())],
                         ["doc_id", "tag", "anchor", "part", "low", "data"])
                     out, size = [], 0
 
-    return joined.mapInArrow(cut, f"doc_id {kind}, tag int, anchor bigint, part int, low int, data binary")
+    return joined.mapInArrow(cut, f"doc_id {kind}, tag int, anchor bigint, part bigint, low int, data binary")
 
 
 SPANS = "doc_id {}, tag int, start int, stop int"
@@ -224,7 +230,7 @@ def _compared(pieces: DataFrame) -> DataFrame:
     kind = pieces.schema["doc_id"].dataType.simpleString()
     dealt = pieces.repartition("anchor", "part").sortWithinPartitions("anchor", "part")
 
-    def solve(block: list[tuple]) -> Iterator[pa.RecordBatch]:
+    def solve(block: list[tuple], id_type: pa.DataType) -> Iterator[pa.RecordBatch]:
         raw = b"".join(x[5] for x in block)
         wanted = np.zeros(len(raw), bool)
         begins = np.cumsum([0] + [len(x[5]) for x in block])
@@ -235,47 +241,28 @@ def _compared(pieces: DataFrame) -> DataFrame:
         low = np.array([x[4] for x in block], np.int64)
         start = first - begins[of] + low[of]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([block[k][0] for k in of.tolist()], kinds[0]), pa.array([block[k][1] for k in of.tolist()], pa.int32()),
+            [pa.array([block[k][0] for k in of.tolist()], id_type), pa.array([block[k][1] for k in of.tolist()], pa.int32()),
              pa.array(start, pa.int64()).cast(pa.int32()), pa.array(start + last - first + SPAN, pa.int64()).cast(pa.int32())],
             ["doc_id", "tag", "start", "stop"])
 
-    kinds = [pa.int64() if kind == "bigint" else pa.int32() if kind == "int" else pa.string()]
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: list[tuple] = []
-        size, group = 0, None
+        size, group, id_type = 0, None, None
         for b in batches:
+            id_type = b.schema.field(0).type
             for x in zip(*(c.to_pylist() for c in b.columns)):
                 if x[2:4] != group and size >= BLOCK:
-                    yield from solve(block)
+                    yield from solve(block, id_type)
                     block, size = [], 0
                 group = x[2:4]
                 block.append(x)
                 size += len(x[5]) - SPAN + 1
         if block:
-            yield from solve(block)
+            yield from solve(block, id_type)
 
     return dealt.mapInArrow(compare, SPANS.format(kind))
 
 
-def _counted(pieces: DataFrame, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """The same for anchors with more than HOT stretches: every run is a row of two hashes, counted before the shuffle."""
-    kind = pieces.schema["doc_id"].dataType.simpleString()
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for j, (low, data) in enumerate(zip(b.column(4).to_pylist(), b.column(5).to_pylist())):
-                runs = [hashlib.blake2b(data[i: i + SPAN], digest_size=16).digest() for i in range(len(data) - SPAN + 1)]
-                own = pa.array([j] * len(runs), pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(own), b.column(1).take(own), pa.array(range(low, low + len(runs)), pa.int32()), pa.array(runs, pa.binary())],
-                    ["doc_id", "tag", "start", "run"])
-
-    runs = keep(pieces.mapInArrow(spread, f"doc_id {kind}, tag int, start int, run binary"), "suffix-runs")
-    twice = keep(runs.groupBy("run").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "suffix-twice")
-    return runs.join(twice, "run").select("doc_id", "tag", "start", (F.col("start") + SPAN).alias("stop"))
-
-
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, list[Stored]]:
     """(doc_id, tag, start, stop) of bytes that are repeated, and the stored tables it reads.
 
@@ -290,18 +277,19 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = _keyed(docs, id_col, text_col)
     every = store(_anchor_table(rows), "suffix-anchors")
     again = store(
-        every.df.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("stretch").alias("s"), F.max("stretch").alias("z"))
-        .where("n > 1").select("anchor", (F.col("s") != F.col("z")).alias("mixed")), "suffix-again")
+        every.df.groupBy("anchor").agg(
+            F.count(F.lit(1)).alias("n"), F.min("stretch").alias("s"), F.max("stretch").alias("z"), F.min("proof").alias("p"), F.max("proof").alias("q"))
+        .where("n > 1").select("anchor", ((F.col("s") != F.col("z")) | (F.col("p") != F.col("q"))).alias("mixed")), "suffix-again")
     hits = store(every.df.join(again.df, "anchor"), "suffix-hits")
     every.delete(), again.delete()
     used.append(hits)
     hits = hits.df
 
     kinds = keep(
-        hits.groupBy("anchor", "stretch", "mixed").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "tag", "at", "low", "high")).alias("one")),
+        hits.groupBy("anchor", "stretch", "proof", "mixed").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "tag", "at", "low", "high")).alias("one")),
         "suffix-kinds")
-    whole = keep(kinds.where("n > 1").select("anchor", "stretch"), "suffix-whole")
-    covered = hits.join(whole, ["anchor", "stretch"]).select("doc_id", "tag", F.col("low").alias("start"), (F.col("high") + SPAN).alias("stop"))
+    whole = keep(kinds.where("n > 1").select("anchor", "stretch", "proof"), "suffix-whole")
+    covered = hits.join(whole, ["anchor", "stretch", "proof"]).select("doc_id", "tag", F.col("low").alias("start"), (F.col("high") + SPAN).alias("stop"))
 
     # Only groups with a stretch that occurs once are left; of the others in them one stretch each stands for all.
     mixed = kinds.where("mixed")
@@ -309,11 +297,8 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         mixed.groupBy("anchor").agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("kinds")).where("least = 1").select("anchor", "kinds"),
         "suffix-open")
     members = keep(mixed.join(open_groups, "anchor").select("anchor", "one.*", "kinds"), "suffix-members")
-    pieces = keep(_pieces(rows, members.where(F.col("kinds") <= HOT)), "suffix-pieces")
+    pieces = keep(_pieces(rows, members), "suffix-pieces")
     spans = covered.unionByName(_compared(pieces))
-    hot = members.where(F.col("kinds") > HOT)
-    if not hot.isEmpty():
-        spans = spans.unionByName(_counted(_pieces(rows, hot), keep))
     return spans, used
 
 
@@ -323,7 +308,7 @@ def strip_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     A byte of the UTF-8 text goes if a SPAN-byte string that covers it starts anywhere else too, in the same or another
     document, overlaps included; this is judged on the input, not on what is left. ``n_spans`` counts maximal removed
     runs. Null and short texts lose nothing. Repeated rows are copies of each other and lose all they have in common;
-    a null id is an id like others. Runs jobs when called; tables that are read twice are stored.
+    a null id is an id like others, and ids may be of any type that can be grouped. Runs jobs when called; tables that are read twice are stored.
     """
     rows = _keyed(docs, id_col, text_col)
     kind = rows.schema["doc_id"].dataType.simpleString()
