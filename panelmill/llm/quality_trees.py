@@ -154,9 +154,9 @@ def fit_quality(
 ) -> Forest:
     """Fit on the statistics of about ``sample`` labelled documents that are not held out.
 
-    A null label or id is no label; of repeated labels of one id the smallest counts, of repeated documents one. The
-    ids of the sample are broadcast and its statistics come to the driver: both are bounded by ``sample``, whatever the
-    size of the tables.
+    A null label or id is no label; of repeated labels of one id the smallest counts, of repeated documents the one with
+    the smallest statistics. The ids of the sample are broadcast and a row of statistics for each comes to the driver: both
+    are bounded by ``sample``, whatever the size of the tables.
     """
     known = store(
         labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).dropna()
@@ -164,7 +164,8 @@ def fit_quality(
     share = min(1.0, sample / max(1, known.count()))
     known = known.where(F.xxhash64("id") <= F.lit(min(2**63 - 1, int(-(2**63) + share * 2**64))))
     rows = texts(docs, id_col, text_col).join(F.broadcast(known.select(F.col("id").alias("doc_id"))), "doc_id", "left_semi")
-    seen = add_statistics(rows).toPandas().sort_values(["doc_id", *FEATURES]).drop_duplicates("doc_id")
+    one = add_statistics(rows).groupBy("doc_id").agg(F.min(F.struct(*FEATURES)).alias("x")).select("doc_id", "x.*")
+    seen = one.toPandas()
     both = seen.merge(known.toPandas(), left_on="doc_id", right_on="id").sort_values("doc_id")
     return fit_forest(both[FEATURES].to_numpy(np.float32), (both["y"].to_numpy() > 0).astype(float))
 
