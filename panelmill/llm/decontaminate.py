@@ -7,21 +7,26 @@ e + 1 that overlap by one, so some band holds the whole span; bands that reach t
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from panelmill.llm.common import texts
+from panelmill.llm.common import ranked, store, texts
+from panelmill.llm.warc_index import open_folder
+from panelmill.session import scratch_path
 
 Q = 8
 #: Edits allowed per character of an item.
 EDITS = 0.08
-#: Items with fewer characters occur by chance and are no evidence.
-LEAST = 20
-#: Characters of benchmark text in one block; every block is one pass over the documents.
+#: Items with fewer characters have no edits: with one, the lemma would leave them no q-gram that has to be shared.
+EXACT = 2 * Q
+#: Characters of benchmark text that one index holds; a task goes over its documents once for each block of them.
 BLOCK = 1_000_000
 _BITS = 20
 _STEP, _SPREAD = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
@@ -85,7 +90,8 @@ class ItemIndex:
         self.ids = [i for i, _ in items]
         self.codes = [codes(plain(t).strip()) for _, t in items]
         self.sizes = np.array([len(c) for c in self.codes], np.int64)
-        self.edits = np.floor(self.sizes * rate).astype(np.int64)
+        self.edits = np.where(self.sizes < EXACT, 0, np.floor(self.sizes * rate)).astype(np.int64)
+        self.tiny = [(i, plain(t).strip()) for i, (_, t) in enumerate(items) if 0 < self.sizes[i] < Q]
         self.need = np.maximum(1, self.sizes - Q + 1 - Q * self.edits)
         all_grams = [grams(c) for c in self.codes]
         flat = np.concatenate([np.zeros(0, np.uint32), *all_grams])
@@ -96,11 +102,25 @@ class ItemIndex:
         self.hash, self.first, self.count = np.unique(flat[order], return_index=True, return_counts=True)
         self.seen = np.zeros(1 << _BITS, bool)
         self.seen[self.hash >> np.uint32(32 - _BITS)] = True
-        self.least = int(self.need.min()) if len(items) else 0
+        wide = self.sizes >= Q
+        self.least = int(self.need[wide].min()) if wide.any() else 0
         self.shift = int(self.sizes.max(initial=0)) + 1
 
     def matches(self, text: str) -> list[tuple[int, int, int, int]]:
         """(item number, start, end, distance) of all occurrences, overlapping ones of an item counted once."""
+        return [*self.exact(text), *self.near(text)]
+
+    def exact(self, text: str) -> list[tuple[int, int, int, int]]:
+        """The items without a q-gram."""
+        out, low = [], plain(text) if self.tiny else ""
+        for i, item in self.tiny:
+            at = low.find(item)
+            while at >= 0:
+                out.append((i, at, at + len(item), 0))
+                at = low.find(item, at + len(item))
+        return out
+
+    def near(self, text: str) -> list[tuple[int, int, int, int]]:
         c = codes(plain(text))
         g = grams(c)
         p = np.flatnonzero(self.seen[g >> np.uint32(32 - _BITS)])
@@ -145,69 +165,116 @@ class ItemIndex:
 
 
 @lru_cache(maxsize=2)
-def _index(items: tuple[tuple[int | None, str], ...], rate: float) -> ItemIndex:
+def _index(folder: str, name: str, rate: float) -> ItemIndex:
     """One index for each block in each worker process."""
-    return ItemIndex(items, rate)
-
-
-def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> Iterator[tuple[tuple[int | None, str], ...]]:
-    """Items in blocks of BLOCK characters, or one longer item. One block at a time is on the driver."""
-    block, size = [], 0
-    for item_id, text in benchmark.select(id_col, text_col).dropna(subset=[text_col]).distinct().toLocalIterator():
-        if len(plain(text).strip()) < LEAST:
-            continue
-        if block and size + len(text) > BLOCK:
-            yield tuple(block)
-            block, size = [], 0
-        block.append((item_id, text))
-        size += len(text)
-    if block:
-        yield tuple(block)
+    where, root = open_folder(folder)
+    with where.open_input_file(f"{root}/{name}") as source:
+        items = pa.ipc.open_file(source).read_all()
+    return ItemIndex(tuple(zip(items.column(0).to_pylist(), items.column(1).to_pylist())), rate)
+
+
+def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", least: int = 1) -> tuple[str, list[str]]:
+    """(folder, files): the items in the shared folder, in blocks of BLOCK characters, or one longer item."""
+    items = store(
+        benchmark.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).dropna(subset=["text"]).distinct()
+        .select("id", "text", F.char_length("text").alias("size"), F.monotonically_increasing_id().alias("salt")), "benchmark-items")
+    line = ranked(items.df, ["salt"], "benchmark-line", "size")
+    items.delete()
+    folder = scratch_path(benchmark.sparkSession, "benchmark-blocks")
+    dealt = line.df.select("id", "text", F.floor(F.col("before") / BLOCK).alias("block")).repartition("block").sortWithinPartitions("block")
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        where, root = open_folder(folder)
+        where.create_dir(root)
+        now, block = None, []
+
+        def close() -> pa.RecordBatch:
+            name = f"{now}-{uuid.uuid4().hex}.arrow"  # a task that is run again writes a file of its own
+            part = pa.Table.from_batches(block)
+            with where.open_output_stream(f"{root}/{name}") as out, pa.ipc.new_file(out, part.schema) as rows:
+                rows.write_table(part)
+            return pa.RecordBatch.from_arrays([pa.array([name], pa.string())], ["name"])
+
+        for b in batches:
+            long = np.array([len(plain(t).strip()) >= max(1, least) for t in b.column(1).to_pylist()], bool)
+            b = b.filter(pa.array(long))
+            number = b.column(2).to_numpy()
+            for k in np.unique(number).tolist():
+                if k != now and block:
+                    yield close()
+                    block = []
+                now = k
+                block.append(b.filter(pa.array(number == k)).select(["id", "text"]))
+        if block:
+            yield close()
+
+    names = sorted(r.name for r in dealt.mapInArrow(write, "name string").collect())  # one for BLOCK characters
+    line.delete()
+    return folder, names
+
+
+def _buffered(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined up to BLOCK bytes of text, so that few of them meet many blocks of items."""
+    waiting, size = [], 0
+    for b in batches:
+        waiting.append(b)
+        size += b.column(at).nbytes
+        if size >= 16 * BLOCK:
+            yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0] if len(waiting) > 1 else b
+            waiting, size = [], 0
+    if waiting:
+        for b in pa.Table.from_batches(waiting).combine_chunks().to_batches():
+            yield b
 
 
 def find_items(
     docs: DataFrame, benchmark: DataFrame, rate: float = EDITS, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-    item_text: str = "text",
+    item_text: str = "text", least: int = 1,
 ) -> DataFrame:
     """One row per occurrence of a benchmark item in a document: doc_id, item_id, start, end, distance.
 
     Case is ignored and any white space is a blank; ``start`` and ``end`` are code points of the original text and
     ``distance`` is the number of edits, at most ``rate`` for each character of the item. Null and empty texts have no
-    occurrences, null items and those under LEAST characters are no evidence, repeated rows are reported each, repeated
-    items once. The benchmark is the query set: its blocks, of bounded size, go over the documents one after another.
+    occurrences, null items and those under ``least`` characters are no evidence, items under EXACT characters are found
+    only as they are, repeated rows are reported each, repeated items once. Ids of documents and items may be of any type.
+    The benchmark is the query set: stored as blocks of bounded size, which each task reads one after another.
     """
     rows = texts(docs, id_col, text_col)
     kinds = rows.schema["doc_id"].dataType.simpleString(), benchmark.schema[item_col].dataType.simpleString()
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, start bigint, end bigint, distance bigint"
-    out = None
-    for items in item_blocks(benchmark, item_col, item_text):
-
-        def search(batches: Iterator[pa.RecordBatch], items: tuple = items) -> Iterator[pa.RecordBatch]:
-            index = _index(items, rate)
-            for b in batches:
-                found = [(j, *m) for j, t in enumerate(b.column(1).to_pylist()) for m in index.matches(t)]
-                at = [x[0] for x in found]
+    folder, names = item_blocks(benchmark, item_col, item_text, least)
+    item_type = to_arrow_type(benchmark.schema[item_col].dataType)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _buffered(batches, 1) if len(names) > 1 else batches:
+            found = b.column(1).to_pylist()
+            for name in names:
+                index = _index(folder, name, rate)
+                hits = [(j, *m) for j, t in enumerate(found) for m in index.matches(t)]
+                at = [x[0] for x in hits]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(pa.array(at, pa.int64())), pa.array([index.ids[x[1]] for x in found], pa.int64()),
-                     *(pa.array([x[k] for x in found], pa.int64()) for k in (2, 3, 4))],
+                    [b.column(0).take(pa.array(at, pa.int64())), pa.array([index.ids[x[1]] for x in hits], item_type),
+                     *(pa.array([x[k] for x in hits], pa.int64()) for k in (2, 3, 4))],
                     ["doc_id", "item_id", "start", "end", "distance"])
 
-        part = rows.mapInArrow(search, schema)
-        out = part if out is None else out.unionByName(part)
-    return out if out is not None else docs.sparkSession.createDataFrame([], schema)
+    return rows.mapInArrow(search, schema)
 
 
 def drop_contaminated(
-    docs: DataFrame, benchmark: DataFrame, rate: float = EDITS, text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
+    docs: DataFrame, benchmark: DataFrame, rate: float = EDITS, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", least: int = 1,
 ) -> DataFrame:
     """``docs`` without the rows in which an item occurs, all columns as they were; rows are filtered where they are."""
     at = docs.columns.index(text_col)
-    for items in item_blocks(benchmark, item_col, item_text):
-
-        def keep(batches: Iterator[pa.RecordBatch], items: tuple = items) -> Iterator[pa.RecordBatch]:
-            index = _index(items, rate)
-            for b in batches:
-                yield b.filter(pa.array([not index.matches(t or "") for t in b.column(at).to_pylist()], pa.bool_()))
-
-        docs = docs.mapInArrow(keep, docs.schema)
-    return docs
+    folder, names = item_blocks(benchmark, item_col, item_text, least)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _buffered(batches, at) if len(names) > 1 else batches:
+            found = [t or "" for t in b.column(at).to_pylist()]
+            clean = np.ones(len(found), bool)
+            for name in names:
+                index = _index(folder, name, rate)
+                for j in np.flatnonzero(clean).tolist():
+                    clean[j] = not index.matches(found[j])
+            yield b.filter(pa.array(clean))
+
+    return docs.mapInArrow(keep, docs.schema)

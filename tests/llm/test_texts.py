@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import zlib
 
 import duckdb
 import numpy as np
@@ -15,7 +16,7 @@ from panelmill.llm.decontaminate import EDITS, ItemIndex, align, codes, drop_con
 from panelmill.llm.pii_feistel import DIGITS, feistel, number_feistel, pseudonymise
 from panelmill.llm.prefix_bpe import EditableEncoding, PrefixBPE, encode_documents
 from panelmill.llm.quality_trees import FEATURES, drop_low_quality, fit_forest, score_quality, statistics
-from panelmill.llm import suffix_dedup
+from panelmill.llm import decontaminate, quality_trees, suffix_dedup
 from panelmill.llm.suffix_dedup import SPAN, repeated_starts, strip_repeats, suffix_order
 
 FOLDER = "/root/testdata/sf0.01"
@@ -274,8 +275,8 @@ def test_repeated_bytes_go(spark, monkeypatch, block):
     assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
 
 
-def test_hot_anchors_are_counted(spark, monkeypatch):
-    monkeypatch.setattr(suffix_dedup, "HOT", 1)
+def test_hot_anchors_are_split_by_their_runs(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "BLOCK", 2)
     rows = passages()
     got = strip_repeats(docs_of(spark, rows), keep_bytes=True).collect()
     want = {w for w in stripped([(t or "").encode() for _, t in rows])}
@@ -287,11 +288,11 @@ def test_hot_anchors_are_counted(spark, monkeypatch):
 def test_texts_of_several_parts(spark, monkeypatch):
     monkeypatch.setattr(suffix_dedup, "_PART", 1000)
     rows = passages()
-    got = [x for _, t in rows for x in suffix_dedup.stretches(np.frombuffer((t or "").encode(), np.uint8))[3:].T.tolist()]
+    got = [x for _, t in rows for x in suffix_dedup.stretches(np.frombuffer((t or "").encode(), np.uint8))[4:].T.tolist()]
     assert got  # every run belongs to one stretch
     for _, t in rows:
         data = np.frombuffer((t or "").encode(), np.uint8)
-        runs = [s for low, high in suffix_dedup.stretches(data)[3:].T.tolist() for s in range(low, high + 1)]
+        runs = [s for low, high in suffix_dedup.stretches(data)[4:].T.tolist() for s in range(low, high + 1)]
         assert runs == list(range(max(0, len(data) - SPAN + 1)))
 
 
@@ -351,3 +352,72 @@ def test_keys_of_letters_and_the_last_days_are_replaced(spark):
     assert all("1900-01-01" <= x <= "2099-12-31" for x in (got[1], got[3]))
     days = spark.range(73049).select(number_feistel(F.col("id"), 17, 4297, "k", "date").alias("d"))
     assert days.distinct().where("d between 0 and 73048").count() == 73049
+
+
+@pytest.mark.parametrize("kind", ["smallint", "decimal(12,0)", "string"])
+def test_repeated_bytes_with_any_id(spark, kind):
+    rows = [(i, t) for i, t in passages() if i is not None]
+    docs = docs_of(spark, rows)
+    got = strip_repeats(docs.withColumn("doc_id", F.col("doc_id").cast(kind)))
+    assert got.schema["doc_id"].dataType.simpleString() == kind
+    want = sorted((str(i), *w) for (i, _), w in zip(rows, stripped([(t or "").encode() for _, t in rows])))
+    assert sorted((str(r.doc_id), *r[1:]) for r in got.collect()) == want
+
+
+def test_repeated_bytes_of_the_test_documents(spark):
+    """All documents against a table of all strings of SPAN bytes."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    want = sorted((i, *w) for (i, _), w in zip(rows, stripped([(t or "").encode() for _, t in rows])))
+    assert sorted(map(tuple, strip_repeats(docs).collect())) == want and any(w[2] for w in want)
+
+
+def test_one_labelled_id_on_many_rows_is_one_row_of_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(quality_trees, "fit_forest", lambda x, y, **_: seen.append(len(y)) or fit_forest(x, y))
+    docs = spark.range(20_000).select(F.lit(1).cast("bigint").alias("doc_id"), F.concat(F.lit("some words "), F.col("id").cast("string")).alias("text"))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id bigint, quality int")
+    quality_trees.fit_quality(docs.union(spark.createDataFrame([(5, "x"), (8, "y z")], docs.schema)), labels)
+    held = {i for i in (1, 5, 8) if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert seen == [3 - len(held)]
+
+
+def test_many_blocks_of_items_and_any_ids(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK", 60)
+    rnd = random.Random(4)
+    items = [(f"i{k}", " ".join(rnd.choice("amber brown coral denim ebony fawn green ivory".split()) for _ in range(rnd.randint(1, 9))) + f" {k}") for k in range(40)]
+    items += [("none", None), ("blank", "  "), ("tiny", "q7#z")]
+    docs = [(f"d{k}", " ".join(["start of a text"] + [rnd.choice(items[:40])[1].upper() for _ in range(3)])) for k in range(30)] + [("t", "has q7#Z inside"), ("e", ""), ("n", None)]
+    d, b = spark.createDataFrame(docs, "doc_id string, text string"), spark.createDataFrame(items, "item_id string, text string")
+    folder, names = decontaminate.item_blocks(b)
+    assert len(names) > 10
+    found = find_items(d, b, rate=0.0)
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    want = {(i, k) for i, t in docs for k, x in items if x and x.strip() and plain(x).strip() in plain(t or "")}
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == want and ("t", "tiny") in want
+    assert sorted(r.doc_id for r in drop_contaminated(d, b, rate=0.0).collect()) == sorted({i for i, _ in docs} - {i for i, _ in want})
+    assert find_items(d, b, rate=0.0, least=12).where("item_id = 'tiny'").count() == 0
+
+
+def edits_to_occur(item, text):
+    """The fewest edits with which ``item`` occurs anywhere in ``text``."""
+    item, text = np.array([ord(c) for c in item]), np.array([ord(c) for c in text])
+    cost = np.zeros(len(text) + 1, np.int64)
+    ramp = np.arange(len(text) + 1)
+    for i, c in enumerate(item):
+        now = np.minimum(cost + 1, np.concatenate(([i + 1], cost[:-1] + (text != c))))
+        cost = np.minimum.accumulate(now - ramp) + ramp
+    return int(cost.min())
+
+
+def test_all_items_against_all_short_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").where("length(text) < 4000")
+    bench = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    got = {(r.doc_id, r.item_id) for r in find_items(docs, bench).collect()}
+    texts, items = [(r.doc_id, plain(r.text)) for r in docs.collect()], [(r.item_id, plain(r.text).strip()) for r in bench.collect()]
+    want = set()
+    for i, t in texts:
+        for k, x in items:
+            if edits_to_occur(x, t) <= int(len(x) * EDITS):
+                want.add((i, k))
+    assert got == want
