@@ -24,8 +24,9 @@ from panelmill.session import Stored
 
 DEPTH = 4
 #: Rows of one group of prefixes, and suffixes of one bucket from which on its prefixes are extended.
-BUDGET, LIMIT = 1_000_000, 750_000
+BUDGET, LIMIT = 1_500_000, 1_000_000
 FINE = 16  # hash buckets for each group
+PARTS = 10_000  # tasks at most for the groups
 #: Hash buckets of words. A word whose bucket has too few occurrences is too rare for any phrase and ends a suffix as a stop
 #: does. Words that share a bucket with a frequent one are kept: the more words there are, the less is saved, nothing is lost.
 WORDS = 1 << 25
@@ -220,24 +221,26 @@ class Group:
     deep: np.ndarray
 
     @classmethod
-    def of(cls, blocks: list[tuple[str, bytes]]) -> Group:
+    def of(cls, blocks: list[tuple[str, pa.Buffer]]) -> Group:
         langs = sorted({lang for lang, _ in blocks})
         tables = [pa.ipc.open_stream(data).read_all() for _, data in blocks]
         sizes = [t.num_rows for t in tables]
         books = [t.column(0).chunk(0).dictionary for t in tables]
         coded = pa.concat_arrays(books).dictionary_encode()
         # numbers of the blocks' own books to those of the joint one; 0 stands for no word
-        number = coded.indices.fill_null(-1).to_numpy().astype(np.int64) + 1
+        number = coded.indices.fill_null(-1).to_numpy() + np.int32(1)
         begin = np.cumsum([0, *(len(b) for b in books)])
         columns = [np.concatenate([number[a:][t.column(k).chunk(0).indices.to_numpy()] for a, t in zip(begin.tolist(), tables)]) for k in range(DEPTH)]
-        lang = np.repeat([langs.index(x) for x, _ in blocks], sizes).astype(np.int64)
+        lang = np.repeat(np.array([langs.index(x) for x, _ in blocks], np.int32), sizes)
         count, deep = (np.concatenate([t.column(c).to_numpy() for t in tables]) for c in ("c", "deep"))
         return cls(langs, coded.dictionary, lang, columns, count, deep).combined()
 
     def combined(self) -> Group:
         """Equal rows of many blocks as one, in the order of the tree: leaves below one node are side by side."""
         # a prefix that was extended and the rows below it may meet in one group: they differ in ``deep``
-        at, total = _combined([self.lang << 32 | self.columns[0], self.columns[1] << 32 | self.columns[2], self.columns[3] << 3 | self.deep], self.count)
+        c = self.columns
+        pairs = [(self.lang, c[0]), (c[1], c[2]), (c[3], self.deep)]
+        at, total = _combined([a.astype(np.int64) << 32 | b for a, b in pairs], self.count)
         return Group(self.langs, self.book, self.lang[at], [c[at] for c in self.columns], total, self.deep[at])
 
     def subtree(self, least: int) -> Iterator[pa.RecordBatch]:
@@ -258,21 +261,22 @@ class Group:
                     [names, pc.binary_join_element_wise(*parts, " "), pa.array(np.full(len(first), k + 1, np.int32)), pa.array(total)], ["lang", "phrase", "k", "f"])
 
 
-def _trees(blocks: DataFrame, least: int) -> DataFrame:
+def _trees(blocks: DataFrame, groups: int, least: int) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple[str, bytes]] = []
+        waiting: list[tuple[str, pa.Buffer]] = []
         last = None
         for b in batches:
-            for group, lang, data in zip(*(c.to_pylist() for c in b.columns)):
+            for j, (group, lang) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                 if group != last and waiting:
                     yield from Group.of(waiting).subtree(least)
                     waiting = []
                 last = group
-                waiting.append((lang, data))
+                waiting.append((lang, b.column(2)[j].as_buffer()))
         if waiting:
             yield from Group.of(waiting).subtree(least)
 
-    return blocks.repartition("grp").sortWithinPartitions("grp").mapInArrow(build, "lang string, phrase string, k int, f bigint")
+    # about a group a task: a task's blocks reach Python in one piece
+    return blocks.repartition(min(groups, PARTS), "grp").sortWithinPartitions("grp").mapInArrow(build, "lang string, phrase string, k int, f bigint")
 
 
 def count_phrases(docs: DataFrame, least: int = 30, text_col: str = "text", lang_col: str = "lang") -> tuple[Stored, DataFrame]:
@@ -307,7 +311,7 @@ def count_phrases(docs: DataFrame, least: int = 30, text_col: str = "text", lang
             group, held = group + 1, 0
         group_of[b] = group
         held += weight
-    return store(_trees(_blocks(rows, hot, group_of, frequent), least), "phrase-nodes"), totals
+    return store(_trees(_blocks(rows, hot, group_of, frequent), group + 1, least), "phrase-nodes"), totals
 
 
 def _exact(c: Column) -> Column:

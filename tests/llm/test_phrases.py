@@ -53,7 +53,7 @@ def corpus():
     return rows + [("a stated passage that many texts share as it is", "en")] * 40
 
 
-@pytest.mark.parametrize(("budget", "limit", "flush"), [(1_000_000, 750_000, 1 << 21), (40, 20, 300), (8, 2, 100)])
+@pytest.mark.parametrize(("budget", "limit", "flush"), [(1_500_000, 1_000_000, 1 << 21), (40, 20, 300), (8, 2, 100)])
 def test_collocations(spark, monkeypatch, budget, limit, flush):
     for name, value in (("BUDGET", budget), ("LIMIT", limit), ("_FLUSH", flush)):
         monkeypatch.setattr(phrase_trees, name, value)
