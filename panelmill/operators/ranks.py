@@ -18,26 +18,39 @@ def series_rank(keys: Sequence[str], name: str) -> Column:
     return F.rank().over(Window.partitionBy(*keys).orderBy(name)) + (peers - 1) / 2
 
 
-def value_ranks(df: DataFrame, keys: Sequence[str], name: str, out: str) -> DataFrame:
-    """``keys, name, out``: average rank of each distinct value in its group, however large the group.
+def row_ranks(df: DataFrame, keys: Sequence[str], name: str, out: str, row: str) -> DataFrame:
+    """``df`` with ``out``, the average rank of ``name`` in its group, however large a group or how frequent a value.
 
-    Values are counted first, so ties cost one row. The counts are range-partitioned by (keys, value);
-    a row's rank is the count in earlier partitions of its key, plus the count of smaller values in its
-    own partition, plus half its own ties.
+    Rows are range-partitioned by (keys, value, ``row``), a column that no two rows of a group share, so that ties are
+    split like everything else. A rank is the count of smaller values in the partition, plus the rows of the group in
+    earlier partitions, plus half the ties. Ties that go over an edge are settled by a table of the first and last value
+    of each (partition, group); nothing is joined on a value.
     """
-    counted = df.groupBy(*keys, name).agg(F.count(F.lit(1)).alias("_n"))
-    laid = materialise(
-        counted.repartitionByRange(*keys, name).withColumn("_part", F.spark_partition_id()), "ranks"
-    )
-    per_part = laid.groupBy(*keys, "_part").agg(F.sum("_n").alias("_m"))
+    kept = [c for c in df.columns]
+    laid = materialise(df.repartitionByRange(*keys, name, row).withColumn("_part", F.spark_partition_id()), "ranks")
+    here = ["_part", *keys]
+    edges = laid.groupBy(*here, name).agg(F.count(F.lit(1)).alias("_c")).withColumns({
+        "_first": F.min(name).over(Window.partitionBy(*here)), "_last": F.max(name).over(Window.partitionBy(*here)),
+        "_n": F.sum("_c").over(Window.partitionBy(*here)),
+    }).where(F.col(name).isin(F.col("_first"), F.col("_last")))  # two rows at most for each (partition, group)
+    value = Window.partitionBy(*keys, name)
+    earlier = value.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.withColumns({"_ties": F.sum("_c").over(value), "_equal": F.coalesce(F.sum("_c").over(earlier), F.lit(0))})
+    at = {n: F.col(name) == F.col(n) for n in ("_first", "_last")}
+    table = edges.groupBy(*here).agg(
+        F.first("_first").alias("_first"), F.first("_last").alias("_last"), F.first("_n").alias("_n"),
+        *[F.max(F.when(at[e], F.col(c))).alias(f"{e}{c}") for e in at for c in ("_ties", "_equal")])
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_part.select(*keys, "_part", F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(*keys, "_part").orderBy(name).rowsBetween(Window.unboundedPreceding, -1)
-    smaller = F.coalesce(F.sum("_n").over(inside), F.lit(0))
-    return (
-        laid.withColumn("_smaller", smaller).join(offsets, [*keys, "_part"])
-        .select(*keys, name, (F.col("_offset") + F.col("_smaller") + (F.col("_n") + 1) / 2).alias(out))
-    )
+    table = materialise(table.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n"), "rank-edges")
+    inside = Window.partitionBy(*here)
+    ranked = laid.withColumns({
+        "_smaller": F.rank().over(inside.orderBy(name)) - 1, "_own": F.count(F.lit(1)).over(Window.partitionBy(*here, name))})
+    # a table of one row for each (partition, group); Spark broadcasts it if it is small
+    joined = ranked.join(table, here)
+    ties = F.when(at["_first"], F.col("_first_ties")).when(at["_last"], F.col("_last_ties")).otherwise(F.col("_own"))
+    equal = F.when(at["_first"], F.col("_first_equal")).otherwise(F.lit(0))
+    rank = F.col("_before") - equal + F.col("_smaller") + (ties + 1) / 2
+    return joined.select(*kept, rank.alias(out))
 
 
 def guarded_corr(x: str, y: str) -> Column:
@@ -52,23 +65,19 @@ def guarded_corr(x: str, y: str) -> Column:
 
 
 def rank_correlation(
-    df: DataFrame, keys: Sequence[str], x: str, y: str, out: str = "spearman", stored: bool = False,
+    df: DataFrame, keys: Sequence[str], x: str, y: str, out: str = "spearman",
 ) -> DataFrame:
     """Spearman correlation per group over complete pairs; a group may hold any share of the rows.
 
-    The pairs are read several times, so they are written out first unless ``df`` is ``stored`` already.
+    The pairs are written out with a number for each: the two ranks of a pair meet by it.
     """
     pairs = df.select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y"))
-    pairs = pairs.where(F.col("_x").isNotNull() & F.col("_y").isNotNull())
-    if not stored:
-        pairs = materialise(pairs, "pairs")
-    sides = F.array(*[F.struct(F.lit(c).alias("_side"), F.col(c).alias("_v")) for c in ("_x", "_y")])
-    ranks = value_ranks(pairs.select(*keys, F.explode(sides).alias("s")).select(*keys, "s.*"), [*keys, "_side"], "_v", "_r")
-    ranks = materialise(ranks, "value-ranks")  # then both sides of the joins are plain exchanges, and Spark splits frequent values
-    for c in ("_x", "_y"):
-        side = ranks.where(F.col("_side") == c).select(*keys, F.col("_v").alias(c), F.col("_r").alias(f"{c}_rank"))
-        pairs = pairs.join(side, [*keys, c])
-    return pairs.groupBy(*keys).agg(guarded_corr("_x_rank", "_y_rank").alias(out))
+    pairs = pairs.where(F.col("_x").isNotNull() & F.col("_y").isNotNull()).withColumn("_row", F.monotonically_increasing_id())
+    pairs = materialise(pairs, "pairs")
+    sides = F.explode(F.array(*[F.struct(F.lit(c).alias("_side"), F.col(c).alias("_v")) for c in ("_x", "_y")])).alias("s")
+    ranks = row_ranks(pairs.select(*keys, "_row", sides).select(*keys, "_row", "s.*"), [*keys, "_side"], "_v", "_r", "_row")
+    both = ranks.groupBy(*keys, "_row").agg(*[F.max(F.when(F.col("_side") == c, F.col("_r"))).alias(f"{c}_rank") for c in ("_x", "_y")])
+    return both.groupBy(*keys).agg(guarded_corr("_x_rank", "_y_rank").alias(out))
 
 
 def top_correlations(df: DataFrame, target: str, features: Sequence[str], top_n: int = 20) -> DataFrame:
@@ -89,10 +98,10 @@ def top_correlations(df: DataFrame, target: str, features: Sequence[str], top_n:
     stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("x")) for c in varied])).alias("f")
     complete = all(stats[f"n{i}"] == stats["n"] for i, c in enumerate(cols) if c == target or c in varied)
     if complete:
-        ranked = base.join(materialise(value_ranks(base, [], "y", "ry"), "value-ranks"), "y")
-        long = ranked.select("ry", stacked).select("f.*", "ry")
-        ranks = materialise(value_ranks(base.select(stacked).select("f.*"), ["feature"], "x", "rx"), "value-ranks")
-        scored = long.join(ranks, ["feature", "x"]).groupBy("feature").agg(guarded_corr("rx", "ry").alias("spearman"))
+        base = materialise(base.withColumn("_row", F.monotonically_increasing_id()), "ranked-features")
+        target_ranks = row_ranks(base.select("y", "_row"), [], "y", "ry", "_row").select("_row", "ry")
+        ranks = row_ranks(base.select("_row", stacked).select("_row", "f.*"), ["feature"], "x", "rx", "_row").select("feature", "_row", "rx")
+        scored = ranks.join(target_ranks, "_row").groupBy("feature").agg(guarded_corr("rx", "ry").alias("spearman"))
     else:
         long = base.select("y", stacked).select("f.*", "y").where("x is not null and y is not null")
         scored = rank_correlation(long, ["feature"], "x", "y")

@@ -5,7 +5,7 @@ The registered queries read these tables; a user with real candles starts from `
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from panelmill.functions.columns import quantise
 
@@ -18,14 +18,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def packed(*parts: tuple[Column, int]) -> Column:
+    """Whole numbers of so many digits each, in this order, as one decimal that sorts as they do. A struct would make every
+    aggregate around it sort its rows. The digits may add up to 38; a number that needs more raises."""
+    out = None
+    for value, digits in parts:
+        value = value.cast(f"decimal({digits},0)")
+        out = value if out is None else out * F.lit(str(10**digits)).cast(f"decimal({digits + 1},0)") + value
+    return out.cast("decimal(38,0)")
+
+
+def trade_order() -> Column:
+    cents = F.round(F.col("l_extendedprice") * 100)
+    return packed((F.col("l_orderkey"), 12), (F.col("l_linenumber"), 2), (F.col("l_partkey"), 10), (cents, 10), (F.col("l_quantity"), 4))
+
+
 def bars(spark: SparkSession, folder: str) -> DataFrame:
     """Daily OHLCV per supplier. First and last trade are ordered aggregates, so a day with any number
-    of trades is combined on the map side."""
+    of trades is combined on the map side, by hash: the order is one number of fixed width."""
     trades = table(spark, folder, "lineitem").select(
         F.col("l_suppkey").alias("series"), F.to_date("l_shipdate").alias("date"),
         (F.col("l_extendedprice") / F.col("l_quantity")).alias("px"), *TRADE_ORDER,
     )
-    order = F.struct(*TRADE_ORDER)
+    order = trade_order()
     return trades.groupBy("series", "date").agg(
         quantise(F.min_by("px", order), 4).alias("open"), quantise(F.max("px"), 4).alias("high"),
         quantise(F.min("px"), 4).alias("low"), quantise(F.max_by("px", order), 4).alias("close"),
@@ -69,7 +84,7 @@ def bars_5m(spark: SparkSession, folder: str) -> DataFrame:
     """Five-minute bars per event type."""
     ev = table(spark, folder, "events")
     slot = F.timestamp_seconds(F.floor(F.unix_timestamp(F.col("ts").cast("timestamp")) / 300) * 300)
-    order = F.struct("ts", "event_id")
+    order = packed((F.unix_micros(F.col("ts").cast("timestamp")), 18), (F.col("event_id"), 19))
     return ev.groupBy(F.col("event_type").alias("series"), slot.cast("timestamp_ntz").alias("slot")).agg(
         F.min_by("value", order).alias("open"), F.max("value").alias("high"), F.min("value").alias("low"),
         F.max_by("value", order).alias("close"), F.count(F.lit(1)).cast("double").alias("volume"),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from panelmill.operators import ingest as I
 from panelmill.operators import tuning as T
 from panelmill.operators.joins import merge_context, trading_days_only
+from panelmill.operators.ranks import row_ranks
 from panelmill.operators.splits import time_split
 from panelmill.session import Stored, clear_scratch, materialise
 from panelmill.sources import views as M
@@ -67,3 +68,34 @@ def test_stored_tables_are_deleted(spark):
     clear_scratch()
     assert two not in Stored.written
     Stored.written[:] = keep
+
+
+def test_bars_combine_by_hash_without_a_sort(spark):
+    for bars in (M.bars(spark, FOLDER), M.bars_5m(spark, FOLDER)):
+        text = plan(bars)
+        assert text.count("HashAggregate") == 2 and "SortAggregate" not in text and "Sort " not in text
+
+
+def test_packed_numbers_sort_as_their_parts(spark):
+    rows = spark.createDataFrame([(2, 0), (1, 99), (1, 100), (10, 5), (0, 999)], "a bigint, b bigint")
+    key = M.packed((F.col("a"), 12), (F.col("b"), 3))
+    assert [tuple(r) for r in rows.orderBy(key).select("a", "b").collect()] == sorted(tuple(r) for r in rows.collect())
+
+
+def test_ranks_are_not_joined_on_a_value_and_split_ties(spark):
+    n = 4000
+    rows = materialise(spark.range(0, n, 1, 8).select(
+        (F.col("id") % 2).alias("k"), F.when(F.col("id") % 10 < 9, 7.0).otherwise(F.col("id") / 3).alias("v"), "id"), "tied")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # so few rows would be one partition
+    try:
+        got = row_ranks(rows, ["k"], "v", "r", "id")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    joins = [x for x in plan(got).split("\n") if "Join" in x]
+    assert joins and all("[v" not in x and ", v" not in x for x in joins)
+    pdf = got.toPandas()
+    want = pdf.groupby("k").v.rank()
+    assert (pdf.r == want).all()
+    stored = [s for s in Stored.written if "/ranks-" in s.path][-1].df
+    sizes = [r["count"] for r in stored.groupBy("_part").count().collect()]
+    assert len(sizes) > 2 and max(sizes) < 0.6 * n  # nine of ten rows have one value
