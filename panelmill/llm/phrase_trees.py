@@ -70,9 +70,9 @@ class Suffixes:
     count: np.ndarray
 
     @classmethod
-    def of(cls, lang: str, tokens: list[bytes], frequent: np.ndarray | None = None) -> Suffixes:
+    def of(cls, lang: str, tokens: list[pa.Array], frequent: np.ndarray | None = None) -> Suffixes:
         """One row for each word; ``frequent`` has a bit for each bucket of words."""
-        coded = pa.array(tokens, pa.binary()).dictionary_encode()
+        coded = pa.concat_arrays(tokens).dictionary_encode()
         ids = np.concatenate((coded.indices.to_numpy().astype(np.int32) + np.int32(1), np.zeros(DEPTH, np.int32)))
         ids[ids == coded.dictionary.index(_STOP).as_py() + 1] = 0
         if frequent is not None:
@@ -87,8 +87,8 @@ class Suffixes:
         return cls(lang, coded.dictionary, [c[real] for c in columns], np.ones(int(real.sum()), np.int64))
 
     def combined(self) -> Suffixes:
-        c = [x.astype(np.int64) for x in self.columns]
-        at, count = _combined([c[k] << 32 | c[k + 1] for k in range(0, DEPTH, 2)], self.count)
+        c = self.columns
+        at, count = _combined([c[k].astype(np.int64) << 32 | c[k + 1] for k in range(0, DEPTH, 2)], self.count)
         return Suffixes(self.lang, self.book, [x[at] for x in self.columns], count)
 
     def buckets(self, number: int) -> Iterator[np.ndarray]:
@@ -113,19 +113,32 @@ def _each(rows: DataFrame, use: Callable[[Suffixes], Iterator[pa.RecordBatch]],
     """``use`` of the suffixes of all texts, _FLUSH words at a time."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: dict[str, list[bytes]] = {}
+        open_: dict[str, list[bytes]] = {}
+        packed: dict[str, list[pa.Array]] = {}
         n = 0
+
+        def pack(lang: str) -> list[pa.Array]:
+            packed.setdefault(lang, []).append(pa.array(open_.pop(lang), pa.binary()))
+            return packed[lang]
+
         for b in batches:
-            for lang, data in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = words(data)
-                waiting.setdefault(lang, []).extend(found)
+            for j, lang in enumerate(b.column(0).to_pylist()):
+                found = words(b.column(1)[j].as_py())
+                here = open_.setdefault(lang, [])
+                here += found
                 n += len(found)
+                if len(here) >= _FLUSH >> 4:  # a word takes far less memory in Arrow than as an object
+                    pack(lang)
                 if n >= _FLUSH:
-                    for key in list(waiting):
-                        yield from use(Suffixes.of(key, waiting.pop(key), frequent))
+                    for key in [*{**open_, **packed}]:
+                        arrays = pack(key) if key in open_ else packed[key]
+                        del packed[key]
+                        yield from use(Suffixes.of(key, arrays, frequent))
+                        del arrays
                     n = 0
-        for key in list(waiting):
-            yield from use(Suffixes.of(key, waiting.pop(key), frequent))
+        for key in [*{**open_, **packed}]:
+            yield from use(Suffixes.of(key, pack(key) if key in open_ else packed[key], frequent))
+            del packed[key]
 
     return rows.mapInArrow(cut, schema)
 
