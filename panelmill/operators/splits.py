@@ -99,7 +99,7 @@ def fold_layout(
     train = room - (count - 1) * step
     if train < 60:
         raise ValueError(
-            f"Dataset is too small for walk-forward: dates={n} val={val} test={test} step={step} folds={count}"
+            f"{n} dates leave {train} to train on beside {val} + {test} held out and {count} folds {step} apart; 60 are needed"
         )
     return FoldLayout(train, val, test, step, count)
 

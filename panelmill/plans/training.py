@@ -26,6 +26,7 @@ from panelmill.operators.features import latest_rows
 from panelmill.operators.ingest import union_all
 from panelmill.operators.joins import by_day
 from panelmill.operators.reports import model_quality
+from panelmill.plans.report import run_report, save_report
 from panelmill.session import Stored, materialise
 from panelmill.sources.writers import load_json, save_json, save_models, save_tables
 
@@ -76,7 +77,7 @@ class SplitRun:
 
     features: list[str]
     models: dict[str, object]
-    selection: DataFrame
+    selection: DataFrame | None
     series: DataFrame  # keys, prediction scale, thresholds
     predictions: DataFrame
     curves: dict[str, DataFrame]
@@ -199,6 +200,14 @@ def finish_split(
     scored = score_rows(df.where("split in ('val', 'test')"), models, features, keys).join(scale, keys)
     scored = scored.withColumn("pred_main", F.col("pred_main_raw") * F.col("prediction_scale"))
     scored = materialise(scored, "scored")
+    return evaluate_split(scored, keys, cfg, features, models, choice.table)
+
+
+def evaluate_split(
+    scored: DataFrame, keys: Sequence[str], cfg: TrainConfig, features: Sequence[str], models: Mapping[str, object], selection: DataFrame | None = None,
+) -> SplitRun:
+    """Thresholds, signals, curves and tables of stored predictions on val and test."""
+    scale = scored.select(*keys, "prediction_scale").distinct()
     val, test = (scored.where(F.col("split") == s) for s in ("val", "test"))
 
     tuned, tables = {}, {}
@@ -232,7 +241,7 @@ def finish_split(
         "pred_quantile_upper", "pred_quantile_lower", "selector_signal",
     )
     return SplitRun(
-        list(features), models, choice.table, series, predictions, curves, tables, quality_table(val, test, curves, keys),
+        list(features), models, selection, series, predictions, curves, tables, quality_table(val, test, curves, keys),
         E.sanity_checks(both, keys),
     )
 
@@ -376,6 +385,10 @@ def save_run(result: RunResult, cfg: TrainConfig, keys: Sequence[str], folder: s
     if result.folds is not None:
         reports |= {"walk_forward_folds": result.folds, "walk_forward_summary": result.summary}
     save_tables(reports, f"{folder}/reports")
+    chosen = run.selection.where("selected").select("params").head()
+    save_report(spark, run_report(
+        result.ranges, run.quality, run.series, run.sanity, run.predictions, keys, asdict(replace(cfg, grid=())), run.features, list(run.models),
+        result.folds, result.summary, json.loads(chosen["params"]) if chosen else None), folder)
 
 
 def latest_signal(df: DataFrame, folder: str, model: str = "main") -> DataFrame:

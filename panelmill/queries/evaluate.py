@@ -14,8 +14,11 @@ from panelmill.operators import splits as P
 from panelmill.operators import tuning as T
 from panelmill.queries.base import BARS, CTX_A, CTX_B, PREDS, RETURNS, over, q6, query, roll, six, with_
 from panelmill.queries.ingest import dirty_sql
-from panelmill.session import materialise
+from panelmill.plans.report import compact_report as compact, deep_diagnostics as deep, run_report, save_report
+from panelmill.plans.training import TrainConfig, evaluate_split
+from panelmill.session import materialise, scratch_path
 from panelmill.sources import views as M
+from panelmill.sources.writers import load_json, save_tables
 
 K = M.KEYS
 preds = M.predictions
@@ -560,10 +563,57 @@ def table_summary(spark, folder):
     return E.table_summary(M.bars(spark, folder), "bars").union(E.table_summary(M.table(spark, folder, "supplier"), "supplier"))
 
 
-@query("compact_report", with_(PREDS, CUTS) + """select 'rows' as section, split as item, cast(count(*) as varchar) as value from sp group by split
-  union all select 'range', 'first', cast(min(date) as varchar) from sp union all select 'range', 'last', cast(max(date) as varchar) from sp""")
+def saved_run(spark, folder):
+    """A run saved without fitting anything: the model-free predictions stand for the main, linear and quantile models."""
+    rows = split_preds(spark, folder).select(
+        "series", "date", "split", "y", "y_dir", F.col("pred").alias("pred_main_raw"), F.col("pred").alias("pred_ridge"), F.col("pred").alias("pred_logreg_score"),
+        (F.col("pred") > 0).cast("int").alias("pred_logreg_dir"), F.col("q_low").alias("pred_quantile_lower"), F.col("q_high").alias("pred_quantile_upper"),
+        F.lit(1.0).alias("prediction_scale"), F.col("pred").alias("pred_main"))
+    cfg = TrainConfig(cost_bps=10.0)
+    both = materialise(rows.where("split <> 'train'"), "scored")
+    held = both.groupBy("series").agg(F.count_if(F.col("split") == "val").alias("v"), F.count_if(F.col("split") == "test").alias("t")).where("v > 0 and t > 0")
+    run = evaluate_split(both.join(held.select("series"), "series", "left_semi"), K, cfg, [], {})
+    ranges = P.split_ranges(split_preds(spark, folder))
+    path = scratch_path(spark, "run")
+    save_tables({"predictions_test": run.predictions, "equity_curve_main": run.curves["main"]}, f"{path}/data", "parquet")
+    save_tables({"model_quality": run.quality}, f"{path}/reports")
+    report = run_report(ranges, run.quality, run.series, run.sanity, run.predictions, K, {"cost_bps": 10.0, "alpha_low": 0.1, "alpha_high": 0.9}, ["a"], ["ridge", "main"])
+    save_report(spark, report, path)
+    return path
+
+
+_TUNED = """ok as (select series from sp group by series having count(*) filter (split = 'val') > 0 and count(*) filter (split = 'test') > 0),
+held as (select sp.* from sp join ok using (series) where split <> 'train'),
+quality as (
+  select split, avg(mae) as mae, avg(rmse) as rmse from (
+    select split, series, avg(abs(y - pred)) as mae, sqrt(avg((y - pred) * (y - pred))) as rmse from held group by all) group by split),
+spread as (select avg(s) as s, avg(t) as t from (
+  select series, stddev_pop(pred) as s, stddev_pop(y) as t from held where split = 'test' group by series))"""
+
+
+@query("compact_report", with_(PREDS, CUTS, _TUNED) + f"""
+  select 'data' as section, 'rows' as item, cast(count(*) as varchar) as value from sp
+  union all select 'data', split, cast(count(*) as varchar) from sp group by split
+  union all select 'range', 'first', cast(min(date) as varchar) from sp union all select 'range', 'last', cast(max(date) as varchar) from sp
+  union all select 'models', unnest(['main', 'ridge']), 'saved'
+  union all select 'sanity', 'pred_std_test', cast({q6('s')} as varchar) from spread union all select 'sanity', 'y_std_test', cast({q6('t')} as varchar) from spread
+  union all select 'selector', 'alpha_low', '0.1' union all select 'selector', 'alpha_high', '0.9' union all select 'selector', 'thr_min', '0.001'
+  union all select 'quality', m || '.' || split || '.regression.mae', cast({q6('mae')} as varchar) from quality, (values ('main'), ('ridge')) m(m)
+  union all select 'quality', m || '.' || split || '.regression.rmse', cast({q6('rmse')} as varchar) from quality, (values ('main'), ('ridge')) m(m)""")
 def compact_report(spark, folder):
-    df = split_preds(spark, folder)
-    counts = df.groupBy().agg(*[F.count_if(F.col("split") == s).alias(s) for s in ("train", "val", "test")])
-    span = df.agg(F.min("date").alias("first"), F.max("date").alias("last"))
-    return H.compact_report({"rows": counts, "range": span})
+    """The short report read back from a saved run; of its figures those that SQL states directly."""
+    out = compact(spark, saved_run(spark, folder))
+    short = F.when(F.col("section").isin("sanity", "quality"), F.floor(F.col("value").cast("double") * 1000000 + 0.5) / 1000000).cast("string")
+    known = ~F.col("section").isin("sanity", "quality", "selector") | F.col("item").isin("pred_std_test", "y_std_test", "alpha_low", "alpha_high", "thr_min") | (
+        F.col("item").rlike("regression.(mae|rmse)$"))
+    return out.where(known).select("section", "item", F.coalesce(short, F.col("value")).alias("value"))
+
+
+@query("deep_diagnostics")
+def deep_diagnostics(spark, folder):
+    """Profiles, common window, emptiest columns and the artifacts of a saved run, written out and read back."""
+    path = saved_run(spark, folder)
+    out = deep(spark, _profiles(spark, folder), path, f"{path}/reports/diagnostics_deep")
+    stored = load_json(spark, f"{path}/reports/diagnostics_deep")
+    back = F.lit(sum(len(v) for v in stored.values()))
+    return out.withColumn("stored_items", back)

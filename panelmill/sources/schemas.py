@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql.types import (
     BooleanType, DoubleType, IntegerType, LongType, StringType, StructField, StructType, TimestampType,
 )
@@ -36,13 +38,9 @@ SCHEDULES = _schema(
     "closing_auction_start_time timestamp, closing_auction_end_time timestamp, "
     "evening_start_time timestamp, evening_end_time timestamp"
 )
-# The column names of the feed's records.
-STATUSES = _schema(
-    "symbol string, instrument_id string, figi string, trading_status string, "
-    "limit_order_available_flag boolean, market_order_available_flag boolean, "
-    "api_trade_available_flag boolean, bestprice_order_available_flag boolean, only_best_price boolean, "
-    "loaded_at timestamp"
-)
+#: Beside these a status has the flags of its feed: every column whose name ends in ``FLAG_END``.
+STATUSES = _schema("symbol string, instrument_id string, figi string, trading_status string, only_best_price boolean, loaded_at timestamp")
+FLAG_END = "_available_flag"
 
 # Record key of each stored table; a later row with the same key replaces the earlier one.
 TABLE_KEYS = {
@@ -52,3 +50,9 @@ TABLE_KEYS = {
     "schedules": ["exchange", "date"],
     "statuses": ["symbol", "instrument_id", "loaded_at"],
 }
+
+
+def status_schema(columns: Sequence[str]) -> StructType:
+    """The schema of statuses whose feed has these columns."""
+    flags = [c for c in columns if c.endswith(FLAG_END)]
+    return StructType([*STATUSES.fields[:4], *(StructField(c, BooleanType()) for c in flags), *STATUSES.fields[4:]])

@@ -37,20 +37,22 @@ def numpy_metrics(y, signal, cost_bps):
 
 
 def test_strategy_metrics(spark):
-    y, p = [0.01, -0.02, 0.015, -0.005, 0.007], [0.02, -0.01, 0.005, -0.02, 0.01]
-    c = curve(spark, y, p, 0.008, 10)
+    rng = np.random.default_rng(17)
+    y, p = rng.normal(0, 0.013, 40).tolist(), rng.normal(0, 0.02, 40).tolist()
+    c = curve(spark, y, p, 0.011, 7)
     got = G.strategy_metrics(c, ["k"]).first().asDict()
-    want = numpy_metrics(y, [1, -1, 0, -1, 1], 10)
-    assert c.count() == 5
+    want = numpy_metrics(y, [int(np.sign(v)) if abs(v) > 0.011 else 0 for v in p], 7)
+    assert c.count() == 40
     for name, value in want.items():
         assert got[name] == pytest.approx(value, rel=1e-12), name
 
 
 def test_turnover_and_cost(spark):
-    c = curve(spark, [0] * 4, [1, 1, -1, 0], 0.5, 10).orderBy("date").collect()
-    assert [r.turnover for r in c] == [1, 0, 2, 1]
-    assert [r.transaction_cost for r in c] == pytest.approx([0.001, 0, 0.002, 0.001])
-    flat = G.strategy_metrics(curve(spark, [0.1] * 3, [0] * 3, 0.5), ["k"]).first()
+    held = [0, -3, -3, 0, 0, 4, -2, 5]  # signals 0, -1, -1, 0, 0, 1, -1, 1
+    c = curve(spark, [0] * 8, held, 1.5, 25).orderBy("date").collect()
+    assert [r.turnover for r in c] == [0, 1, 0, 1, 0, 1, 2, 2]
+    assert [r.transaction_cost for r in c] == pytest.approx([0.0025 * r.turnover for r in c])
+    flat = G.strategy_metrics(curve(spark, [0.03, -0.4, 0.2, 0.7], [0.2] * 4, 0.9), ["k"]).first()
     assert (flat.total_return, flat.sharpe, flat.hit_rate, flat.exposure) == (0, 0, 0, 0)
 
 
@@ -67,11 +69,27 @@ def selector(spark, low, high, main, **kw):
     return [r.s for r in df.select("i", col.alias("s")).orderBy("i").collect()]
 
 
+def numpy_selector(low, high, main, thr=0.0, band=None, widest=None):
+    out = []
+    for a, b, m in zip(low, high, main):
+        ok = all(v is not None and math.isfinite(v) for v in (a, b, m)) and (widest is None or b - a <= widest)
+        side = 0 if not ok else 1 if m > thr else -1 if m < -thr else 0
+        floor, top = (0, 0) if band is None else (-band, band)
+        out.append(side if (side == 1 and a > floor) or (side == -1 and b < top) else 0)
+    return out
+
+
 def test_selector(spark):
-    assert selector(spark, [.002, .0005, -.001], [.003, -.002, -.004], [.003, -.003, -.002], thr_min=.001) == [1, -1, -1]
-    assert selector(spark, [.0002, -.0005], [.003, .0003], [.003, -.003], thr_min=.001, max_width=.002) == [0, -1]
-    assert selector(spark, [.1, float("nan"), None], [.2, .3, .3], [.1, .1, .1], use_cost_rule=False) == [1, 0, 0]
-    for bad in (dict(risk_multiple=0), dict(max_width=0)):
+    rng = np.random.default_rng(23)
+    main = rng.normal(0, 0.01, 60)
+    low, high = main - rng.uniform(0, 0.02, 60), main + rng.uniform(0, 0.02, 60)
+    low[7], main[11], high[13] = math.nan, math.inf, math.nan
+    low, high, main = low.tolist(), high.tolist(), main.tolist()
+    low[19] = None
+    for band, widest in ((0.004, None), (0.012, None), (0.006, 0.015), (None, None)):
+        got = selector(spark, low, high, main, threshold=0.003, thr_min=(band or 0) / 2, risk_multiple=2.0, use_cost_rule=band is not None, max_width=widest)
+        assert got == numpy_selector(low, high, main, 0.003, band, widest) and len(set(got)) == 3
+    for bad in (dict(risk_multiple=-2.0), dict(max_width=-0.1)):
         with pytest.raises(ValueError):
             selector(spark, [0.0], [0.0], [0.0], **bad)
 
@@ -106,21 +124,21 @@ def test_thresholds_match_brute_force(spark):
 
 
 def test_threshold_floor(spark):
-    df = frame(spark, [.01, -.01, .02, -.015, .005, -.003], [.008, -.012, .018, -.011, .004, -.002])
-    chosen, table = T.tune_threshold(df, ["k"], min_threshold=0.005)
-    assert chosen.first().threshold >= 0.005 and table.agg(F.min("threshold")).first()[0] >= 0.005
+    rng = np.random.default_rng(29)
+    df = frame(spark, rng.normal(0, 0.01, 25), rng.normal(0, 0.007, 25))
+    chosen, table = T.tune_threshold(df, ["k"], min_threshold=0.0065)
+    assert chosen.first().threshold >= 0.0065 and table.agg(F.min("threshold")).first()[0] >= 0.0065
     only = T.threshold_table(df, ["k"], quantiles=(), min_threshold=0.0).collect()
     assert [r.threshold for r in only] == [0.0]
 
 
 def test_scale_choice(spark):
-    y = [.004, -.0035, .0038, -.0042, .0039, -.0036]
-    df = frame(spark, y, [.0002 * (-1) ** i for i in range(6)])
-    opts = dict(quantiles=(0.6, 0.8, 0.9), cost_bps=10.0, min_threshold=0.001)
-    got = T.choose_scale(df, ["k"], (1.0, 2.0, 4.0, 8.0, 12.0), **opts).first()
-    assert got.scale >= 8 and got.val_strategy_exposure > 0
-    # equal scores do not replace an earlier scale: 6 is the first whose predictions pass the floor
-    assert T.choose_scale(df, ["k"], **opts).first().scale == 6.0
+    rng = np.random.default_rng(31)
+    y = (0.02 * np.sign(rng.normal(size=30)) + rng.normal(0, 0.002, 30)).tolist()
+    weak = [math.copysign(0.0007, v) for v in y]  # right, but below every threshold unless scaled
+    opts = dict(quantiles=(0.5,), cost_bps=3.0, min_threshold=0.004)
+    got = T.choose_scale(frame(spark, y, weak), ["k"], (1.0, 3.0, 5.0, 7.0, 11.0), **opts).first()
+    assert got.scale == 7.0 and got.val_strategy_exposure == 1  # 5 x 0.0007 is below 0.004; equal scores do not replace 7
 
 
 def test_candidate_score_and_choice(spark):
@@ -137,17 +155,18 @@ def test_candidate_score_and_choice(spark):
 
 
 def test_regression_metrics(spark):
-    v = [.01, -.01, .02, -.02]
+    v = np.random.default_rng(37).normal(0, 0.02, 9).tolist()
     got = E.regression_metrics(frame(spark, v, v), ["k"]).first()
     assert got.ic_pearson > .99 and got.ic_spearman > .99 and got.mae == 0
-    flat = E.regression_metrics(frame(spark, v, [0.0] * 4), ["k"]).first()
+    flat = E.regression_metrics(frame(spark, v, [0.3] * 9), ["k"]).first()
     assert flat.ic_pearson == 0 and flat.ic_spearman == 0
-    flat = E.regression_metrics(frame(spark, v, [0.0] * 4), [], daily=False).first()
+    flat = E.regression_metrics(frame(spark, v, [0.3] * 9), [], daily=False).first()
     assert flat.ic_pearson == 0 and flat.ic_spearman == 0
 
 
 def test_sanity_collapse(spark):
-    df = frame(spark, [.01, -.01, .015, -.02, .012], [0.0] * 5)
+    rng = np.random.default_rng(41)
+    df = frame(spark, rng.normal(0, 0.02, 12), rng.normal(0, 1e-4, 12))
     both = df.withColumn("split", F.lit("val")).union(df.withColumn("split", F.lit("test")))
     assert E.sanity_checks(both, ["k"]).first().pred_collapse_warning is True
     assert E.sanity_checks(both, [], daily=False).first().pred_collapse_warning is True

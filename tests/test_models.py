@@ -7,7 +7,9 @@ from panelmill.functions import feature_columns
 from panelmill.models import Forest, Spec, add_direction, bin_rows, candidate_grid, feature_importance, fit_candidates, fit_forests, fit_logistic, fit_ridge, score_forests
 from panelmill.models import boosting
 from panelmill.queries import QUERIES, modelling
+from panelmill.sources.writers import load_json
 from panelmill.plans import training
+from panelmill.plans.report import artifact_summary, compact_report, deep_diagnostics
 from panelmill.plans.training import TrainConfig, latest_signal, signal_rows, train_and_evaluate
 
 N = 400
@@ -270,3 +272,23 @@ def test_full_run_saves_and_reloads(spark, folder):
         assert len(rows) == 2 and all(r.threshold == saved[r.k][threshold] for r in rows)
         assert all(r.prediction_scale == (saved[r.k]["prediction_scale"] if scaled else 1.0) for r in rows)
     assert spark.read.option("header", True).csv(f"{folder}/reports/model_quality").count() == 20
+    report = load_json(spark, f"{folder}/run_report")
+    assert set(report) == {"data", "metrics", "strategy", "selector_config", "sanity_checks", "walk_forward", "feature_columns", "config", "saved_models"}
+    assert report["data"]["rows_total"] == 440 and report["config"]["selected_params"] == grid[0] and report["feature_columns"] == ["f1", "f2"]
+    assert report["walk_forward"]["actual_folds"] == 2 and "strategy_main_test_sharpe" in report["walk_forward"]["summary"]
+    assert load_json(spark, f"{folder}/strategy_config") == report["strategy"] and load_json(spark, f"{folder}/metrics") == report["metrics"]
+    assert report["strategy"]["threshold_min"] == pytest.approx(cfg.min_threshold) and report["metrics"]["regression"]["ridge"]["test"]["ic_pearson"] == pytest.approx(ic)
+    short = compact_report(spark, folder)
+    assert {r.section for r in short.collect()} == {"data", "range", "models", "sanity", "walk_forward", "selector", "quality"}
+    assert {r.item for r in short.where("section = 'walk_forward'").collect()} == {"sharpe_median", "sharpe_std", "ic_median", "ic_std", "folds"}
+    deep = {(r.section, r.item): r.value for r in deep_diagnostics(spark, {"data": df, "none": None}, folder, f"{folder}/deep").collect()}
+    assert deep["artifacts", "predictions_rows"] == "66" and deep["artifacts", "model_quality_rows"] == "20" and deep["table", "none.status"] == "missing_or_unsupported"
+    assert sum(int(v) for (s, _), v in deep.items() if s == "signals") == 66 and ("prediction_corr", "spearman") in deep
+    assert load_json(spark, f"{folder}/deep")["artifacts"]["equity_curve_rows"] == "66"
+    gone = {r.item: r.value for r in artifact_summary(spark, f"{folder}/nothing").collect()}
+    assert gone == {"model_quality_rows": "0", "predictions_rows": "0", "equity_curve_rows": "0"}
+
+
+def test_a_report_of_no_run_raises(spark, folder):
+    with pytest.raises(Exception):
+        compact_report(spark, folder)
