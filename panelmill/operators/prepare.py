@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from panelmill.functions.columns import (
     AMOUNT_NAMES, DATE_NAMES, DIVIDEND_DATE_NAMES, OHLCV, find_column, require_column, to_day, to_instant, to_number,
 )
 from panelmill.operators.ingest import dedup_last, keep_first
+from panelmill.sources.readers import input_order
 
 
 def check_dates(df: DataFrame, name: str = "date") -> DataFrame:
@@ -22,8 +23,16 @@ def check_dates(df: DataFrame, name: str = "date") -> DataFrame:
     return df
 
 
+def _order_columns(df: DataFrame, recency: Sequence[str]) -> list[Column]:
+    """What "last" means: the named columns, else the place of a row in the files that are read, else nothing."""
+    found = [F.col(c) for c in recency]
+    if not found and (place := input_order(df)) is not None:
+        found = [place]
+    return [c.alias(f"_seq{i}") for i, c in enumerate(found)]
+
+
 def _keep_last(df: DataFrame, keys: Sequence[str], recency: Sequence[str]) -> DataFrame:
-    """Keep-last by ``recency``; without it the row is picked by value so that reruns agree."""
+    """Keep-last by ``recency``; rows without any order of their own are picked by value so that reruns agree."""
     if recency:
         return dedup_last(df, keys, recency).drop(*[c for c in recency if c not in keys])
     rest = [c for c in df.columns if c not in keys]
@@ -35,6 +44,8 @@ def prepare_bars(
 ) -> DataFrame:
     """``keys, date`` and numeric OHLCV, one row per key and day, the last row winning.
 
+    The last one by ``recency``; without it, of a frame that was read from files, the last in file order.
+
     Every OHLCV column is required for the main series (no suffix) and optional for a context series.
     """
     day = to_day(df, require_column(df, DATE_NAMES, "date"))
@@ -45,12 +56,12 @@ def prepare_bars(
             raise ValueError(f"the bar table has no column for {field}")
         if source is not None:
             cols.append(to_number(F.col(source)).alias(f"{field}_{suffix}" if suffix else field))
-    extra = [F.col(c).alias(f"_seq{i}") for i, c in enumerate(recency)]
+    extra = _order_columns(df, recency)
     out = df.select(*keys, day.alias("date"), *cols, *extra)
     if validate:
         check_dates(out)
     out = out.where(F.col("date").isNotNull())
-    return _keep_last(out, [*keys, "date"], [f"_seq{i}" for i in range(len(recency))])
+    return _keep_last(out, [*keys, "date"], [f"_seq{i}" for i in range(len(extra))])
 
 
 def prepare_calendar(df: DataFrame, keys: Sequence[str] = (), recency: Sequence[str] = ()) -> DataFrame:
@@ -58,9 +69,9 @@ def prepare_calendar(df: DataFrame, keys: Sequence[str] = (), recency: Sequence[
     day = to_day(df, require_column(df, DATE_NAMES, "date"))
     flag = find_column(df, ("is_trading_day",))
     trading = F.lit(True) if flag is None else F.coalesce(F.col(flag).cast("boolean"), F.lit(True))
-    extra = [F.col(c).alias(f"_seq{i}") for i, c in enumerate(recency)]
+    extra = _order_columns(df, recency)
     out = df.select(*keys, day.alias("date"), trading.alias("is_trading_day"), *extra)
-    return _keep_last(out.where(F.col("date").isNotNull()), [*keys, "date"], [f"_seq{i}" for i in range(len(recency))])
+    return _keep_last(out.where(F.col("date").isNotNull()), [*keys, "date"], [f"_seq{i}" for i in range(len(extra))])
 
 
 def prepare_dividends(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
@@ -85,6 +96,7 @@ def prepare_dated(df: DataFrame, keys: Sequence[str] = (), recency: Sequence[str
     if name is None and required:
         raise ValueError(f"no date column: expected one of {', '.join(DATE_NAMES)}")
     instant = F.lit(None).cast("timestamp") if name is None else to_instant(df, name)
-    out = df.withColumn("date", instant).where(F.col("date").isNotNull())
-    order = list(recency) or [c for c in out.columns if c not in (*keys, "date")]
-    return keep_first(out, [*keys, "date"], [F.col(c).desc_nulls_last() for c in order])
+    seq = _order_columns(df, recency)
+    out = df.select("*", *seq).withColumn("date", instant).where(F.col("date").isNotNull())
+    order = [f"_seq{i}" for i in range(len(seq))] or [c for c in out.columns if c not in (*keys, "date")]
+    return keep_first(out, [*keys, "date"], [F.col(c).desc_nulls_last() for c in order]).drop(*[f"_seq{i}" for i in range(len(seq))])

@@ -35,6 +35,19 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
     raise ValueError(f"{path} ends in no known format")
 
 
+def input_order(df: DataFrame) -> Column | None:
+    """The place of a row in the files that ``df`` scans: file, part of the file, row. ``None`` if ``df`` is no scan of files.
+
+    A part of a file is read by one task from its first row to its last, so a row's number in the task orders the rows of
+    a part; parts are ordered by where they begin and files by their names.
+    """
+    try:
+        df.select("_metadata.file_path", "_metadata.file_block_start").schema
+    except AnalysisException:
+        return None
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("row"))
+
+
 def try_read(spark: SparkSession, path: str) -> DataFrame | None:
     """Like ``read_table`` but missing or unsupported input is ``None``."""
     try:

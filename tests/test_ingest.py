@@ -186,3 +186,21 @@ def test_texts_without_a_zone_are_utc_in_any_session(spark):
     assert [r.day for r in got] == ["2020-01-01", "2020-07-01", "2020-01-01", "2020-01-01", "2020-03-08", None, None]
     assert [r.at and r.at // 1_000_000 for r in got] == [1577919600, 1593561600, 1577908800, 1577838600, 1583634600, None, None]
     assert start == 1577836800 * 1_000_000
+
+
+def test_the_last_line_of_a_file_wins_without_recency(spark, folder):
+    lines = ["date,open,high,low,close,volume"] + [f"2024-01-{d:02d},{v},{v},{v},{v},{v}" for v, d in enumerate([2, 3, 2, 4, 3, 2, 5] * 300, 1)]
+    with open(f"{folder}/bars.csv", "w") as out:
+        out.write("\n".join(lines) + "\n")
+    want = {}
+    for line in lines[1:]:
+        day, v = line.split(",")[:2]
+        want[day] = float(v)
+    csv = R.read_table(spark, f"{folder}/bars.csv")
+    assert {str(r.date): r.close for r in prepare_bars(csv).collect()} == want
+    csv.coalesce(1).write.parquet(f"{folder}/bars.parquet")
+    for df in (R.read_table(spark, f"{folder}/bars.parquet"), R.read_table(spark, f"{folder}/bars.parquet").where("open > 0").withColumn("x", F.lit(1))):
+        assert {str(r.date): r.close for r in prepare_bars(df).collect()} == want
+    assert {str(r.date)[:10]: r.close for r in prepare_dated(csv).collect()} == {d: str(int(v)) for d, v in want.items()}
+    small = spark.createDataFrame([("2024-01-02", 1.0), ("2024-01-02", 2.0)], "date string, close double")
+    assert R.input_order(small) is None and prepare_dated(small).first().close == 2.0
