@@ -4,8 +4,8 @@
     BENCH_CPUS     local cores (default 4)
     BENCH_MEMORY   driver memory (default 6g)
 
-    BENCH_LIMIT    seconds after which a query is stopped and recorded with its limit (default 240)
-    BENCH_TOTAL    seconds for all queries (default 1500); those that do not begin in time are listed as not run
+    BENCH_LIMIT    seconds after which a query is stopped and recorded with its limit (default 500)
+    BENCH_TOTAL    seconds for all queries (default 1600); those that do not begin in time are listed as not run
 
 Every query is built and written in full to Spark's no-op sink. After each one the figures so far are printed to the
 standard error, so that a stopped bench still shows what it measured; the JSON line on the standard output comes last.
@@ -57,7 +57,7 @@ def timed(spark, name: str, folder: str, limit: float) -> tuple[float, str | Non
 
 def main() -> None:
     folder, began = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1"), time.perf_counter()
-    limit, total = (float(os.environ.get(k, d)) for k, d in (("BENCH_LIMIT", "240"), ("BENCH_TOTAL", "1500")))
+    limit, total = (float(os.environ.get(k, d)) for k, d in (("BENCH_LIMIT", "500"), ("BENCH_TOTAL", "1600")))
     spark = get_session("bench", int(os.environ["BENCH_CPUS"]))
     spark.sparkContext.setLogLevel("ERROR")
     QUERIES["daily_bars"](spark, folder).limit(1).count()  # start the executors and load the classes
