@@ -609,11 +609,19 @@ def compact_report(spark, folder):
     return out.where(known).select("section", "item", F.coalesce(short, F.col("value")).alias("value"))
 
 
-@query("deep_diagnostics")
+_COUNTS = ["rows", "columns", "date_non_null", "duplicate_dates", "volume_zero_count", "volume_negative_count", "ohlc_non_positive_rows", "high_below_low_rows"]
+
+
+@query("deep_diagnostics", with_(PREDS, dirty_sql(), CTX_B, CUTS, _TUNED, f"prof as ({_profile_sql()})") + " union all ".join(
+    f"""select 'table' as section, name || '.{c}' as item, cast("{c}" as varchar) as value, true as written from prof where "{c}" is not null""" for c in _COUNTS) + """
+  union all select 'artifacts', unnest(['predictions_rows', 'equity_curve_rows']), cast(count(*) as varchar), true from held where split = 'test'
+  union all select 'artifacts', 'model_quality_rows', cast(10 * count(*) as varchar), true from ok""")
 def deep_diagnostics(spark, folder):
-    """Profiles, common window, emptiest columns and the artifacts of a saved run, written out and read back."""
+    """The counts of profiles and artifacts of a saved run, and whether what was written out reads back the same."""
     path = saved_run(spark, folder)
     out = deep(spark, _profiles(spark, folder), path, f"{path}/reports/diagnostics_deep")
     stored = load_json(spark, f"{path}/reports/diagnostics_deep")
-    back = F.lit(sum(len(v) for v in stored.values()))
-    return out.withColumn("stored_items", back)
+    flat = spark.createDataFrame([(a, b, c) for a, part in stored.items() for b, c in part.items()], "section string, item string, back string")
+    known = (F.col("section") == "artifacts") | F.substring_index("item", ".", -1).isin(_COUNTS) & (F.col("section") == "table") & (F.col("value") != "null")
+    return out.where(known).join(flat, ["section", "item"], "left").select(
+        "section", "item", "value", F.coalesce(F.col("back") == F.col("value"), F.lit(False)).alias("written"))
