@@ -241,7 +241,6 @@ _CORR_FEATURES = ["ret_1", "momentum_5", "volatility_20", "log_volume", "day_of_
   + f"select feature, {q6('corr(rx, ry)')} as spearman from r group by feature having min(x) < max(x) order by abs(corr(rx, ry)) desc limit 5")
 def top_correlations(spark, folder):
     df = X.make_target(X.make_features(M.bars(spark, folder), K), K).dropna()
-    df = materialise(df, "features")
     return six(R.top_correlations(six(df.select("y", *_CORR_FEATURES)), "y", _CORR_FEATURES, 5))
 
 

@@ -13,7 +13,6 @@ from panelmill.plans.dataset import build_dataset
 from panelmill.queries.base import (
     BARS, BARS_5M, CALENDAR, CTX_A, CTX_B, DIVIDENDS, RETURNS, features_sql, over, q6, query, roll, six, with_,
 )
-from panelmill.session import materialise
 from panelmill.sources import views as M
 
 K = M.KEYS
@@ -206,7 +205,7 @@ _RANKED = [c for c in [*_DOUBLES, *_INTS] if c not in ("y", "y_dir")]
        + f"select feature, {q6('corr(rx, ry)')} as spearman from r group by feature having min(x) < max(x) order by abs(corr(rx, ry)) desc, feature limit 20")
 def all_correlations(spark, folder):
     """The 20 features that follow the target most closely, of all the features of the daily panel."""
-    df = materialise(six(dataset(spark, folder)), "features")
+    df = six(dataset(spark, folder))
     return six(R.top_correlations(df, "y", feature_columns(df, K), 20))
 
 
