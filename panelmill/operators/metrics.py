@@ -25,16 +25,16 @@ def error_aggregates(y: str, pred: str) -> list[Column]:
     return [F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"), guarded_corr(pred, y).alias("ic_pearson")]
 
 
-def regression_metrics(df: DataFrame, keys: Sequence[str], y: str = "y", pred: str = "pred", daily: bool = True) -> DataFrame:
+def regression_metrics(df: DataFrame, keys: Sequence[str], y: str = "y", pred: str = "pred", daily: bool = True, parts: int | None = None) -> DataFrame:
     """MAE, RMSE and both information coefficients per group.
 
     ``daily`` says a group has at most one row per day, so it may be ranked in one task. Otherwise the
-    ranks come from the range-partitioned form.
+    ranks come from the range-partitioned form. ``parts`` deals daily groups to so many tasks; None leaves it to Spark.
     """
     if daily and keys:
         # a pair with a missing side has no rank; nulls sort first, so they move all other ranks by the same amount
         both = F.col(y).isNotNull() & F.col(pred).isNotNull()
-        pairs = df.select(*keys, y, pred, F.when(both, F.col(y)).alias("_y"), F.when(both, F.col(pred)).alias("_p"))
+        pairs = (df if parts is None else df.select(*keys, y, pred).repartition(parts, *keys)).select(*keys, y, pred, F.when(both, F.col(y)).alias("_y"), F.when(both, F.col(pred)).alias("_p"))
         ranked = pairs.select(*keys, y, pred, F.when(both, series_rank(keys, "_p")).alias("_rp"), F.when(both, series_rank(keys, "_y")).alias("_ry"))
         return ranked.groupBy(*keys).agg(*error_aggregates(y, pred), guarded_corr("_rp", "_ry").alias("ic_spearman"))
     errors = df.groupBy(*keys).agg(*error_aggregates(y, pred))

@@ -113,7 +113,8 @@ def regression_sql(source, key):
 
 @query("regression_metrics", with_(PREDS) + "select * from " + regression_sql("preds", "series"))
 def regression_metrics(spark, folder):
-    return six(E.regression_metrics(preds(spark, folder), K))
+    df = stored_preds(spark, folder)
+    return six(E.regression_metrics(df, K, parts=R.parts_of(df)))
 
 
 @query("rank_ic_pooled", with_(PREDS, CUTS) + "select * from " + regression_sql("sp", "split"))

@@ -5,7 +5,9 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from panelmill.operators import metrics as E
 from panelmill.operators import ranks as R
+from panelmill.session import materialise
 
 
 def plan(df):
@@ -43,3 +45,15 @@ def test_rank_correlation_ranks_bounded_parts(spark, monkeypatch):
     got = {r.few: r.spearman for r in out.collect()}
     assert got == pytest.approx({k: g.hot.rank().corr(g.y.rank()) for k, g in pdf.groupby("few")}, abs=1e-12)
     assert R.rank_correlation(df.where(F.lit(False)), ["few"], "hot", "y").count() == 0
+
+
+def test_daily_metrics_by_parts_are_the_same(spark, monkeypatch):
+    """Sorts get a number of tasks that follows the rows, not the session's setting."""
+    monkeypatch.setattr(R, "PART", 300)
+    df = materialise(many(spark)[1].select(F.concat_ws(".", "few", "hot").alias("k"), "y", F.col("a").alias("pred")), "daily")
+    parts = R.parts_of(df)
+    assert parts == 10
+    out = E.regression_metrics(df, ["k"], parts=parts)
+    assert f", {parts})" in plan(out).split("Exchange hashpartitioning(k")[1].split("\n")[0]
+    assert {tuple(r) for r in out.select("k", F.round("ic_spearman", 12)).collect()} == {
+        tuple(r) for r in E.regression_metrics(df, ["k"]).select("k", F.round("ic_spearman", 12)).collect()}
