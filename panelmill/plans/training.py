@@ -241,8 +241,8 @@ def evaluate_split(
         "pred_quantile_upper", "pred_quantile_lower", "selector_signal",
     )
     return SplitRun(
-        list(features), models, selection, series, predictions, curves, tables, quality_table(val, test, curves, keys),
-        E.sanity_checks(both, keys),
+        list(features), models, selection, series, predictions, curves, tables, materialise(quality_table(val, test, curves, keys), "quality"),
+        materialise(E.sanity_checks(both, keys), "sanity"),  # both are read by several reports
     )
 
 

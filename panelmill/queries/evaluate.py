@@ -249,8 +249,9 @@ def top_correlations(spark, folder):
 
 
 def _profiles(spark, folder):
+    bars = materialise(M.bars(spark, folder), "bars")  # each profile reads its table several times
     return {
-        "bars": M.bars(spark, folder), "dirty": M.dirty_bars(spark, folder),
+        "bars": bars, "dirty": M.dirty_bars(spark, folder, bars),
         "context": M.context(spark, folder, urgent_only=True), "suppliers": M.table(spark, folder, "supplier"), "absent": None,
     }
 
@@ -565,7 +566,8 @@ def table_summary(spark, folder):
 
 def saved_run(spark, folder):
     """A run saved without fitting anything: the model-free predictions stand for the main, linear and quantile models."""
-    rows = split_preds(spark, folder).select(
+    split = split_preds(spark, folder)
+    rows = split.select(
         "series", "date", "split", "y", "y_dir", F.col("pred").alias("pred_main_raw"), F.col("pred").alias("pred_ridge"), F.col("pred").alias("pred_logreg_score"),
         (F.col("pred") > 0).cast("int").alias("pred_logreg_dir"), F.col("q_low").alias("pred_quantile_lower"), F.col("q_high").alias("pred_quantile_upper"),
         F.lit(1.0).alias("prediction_scale"), F.col("pred").alias("pred_main"))
@@ -573,7 +575,7 @@ def saved_run(spark, folder):
     both = materialise(rows.where("split <> 'train'"), "scored")
     held = both.groupBy("series").agg(F.count_if(F.col("split") == "val").alias("v"), F.count_if(F.col("split") == "test").alias("t")).where("v > 0 and t > 0")
     run = evaluate_split(both.join(held.select("series"), "series", "left_semi"), K, cfg, [], {})
-    ranges = P.split_ranges(split_preds(spark, folder))
+    ranges = P.split_ranges(split)
     path = scratch_path(spark, "run")
     save_tables({"predictions_test": run.predictions, "equity_curve_main": run.curves["main"]}, f"{path}/data", "parquet")
     save_tables({"model_quality": run.quality}, f"{path}/reports")

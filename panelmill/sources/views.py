@@ -116,9 +116,10 @@ def late_batch(spark: SparkSession, folder: str) -> DataFrame:
     return fresh.unionByName(again)
 
 
-def dirty_bars(spark: SparkSession, folder: str) -> DataFrame:
-    """Bars as text with the usual faults, each row sent twice; ``seq`` says which copy came later."""
-    b = bars(spark, folder)
+def dirty_bars(spark: SparkSession, folder: str, made: DataFrame | None = None) -> DataFrame:
+    """Bars (``made``, if they are stored already) as text with the usual faults, each row sent twice; ``seq`` says which copy
+    came later."""
+    b = bars(spark, folder) if made is None else made
     d = F.dayofmonth("date")
     first = b.select(
         "series", F.lit(1).alias("seq"), F.col("date").cast("string").alias("Date"),
