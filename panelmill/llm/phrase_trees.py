@@ -5,10 +5,15 @@ of their own. Prefixes of one word are counted in hash buckets; those of a bucke
 counted again, up to DEPTH words. Buckets are packed into groups up to a budget of rows, and a task builds the subtrees of
 a group without looking at any other: the count of a node is the total of its leaves. An extended prefix itself is a leaf
 of its own group. Suffixes are combined where they are read and travel in compressed blocks of one group each.
+
+A suffix ends before a word, or a pair of neighbours, that is too rare for any phrase. Words are counted in hash buckets that
+go through the driver; pairs in 2^32 buckets, which travel as sorted numbers and meet in tasks, and only a bit for each
+frequent one goes to the tasks that read the texts again.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from zlib import crc32
@@ -30,6 +35,9 @@ PARTS = 10_000  # tasks at most for the groups
 #: Hash buckets of words. A word whose bucket has too few occurrences is too rare for any phrase and ends a suffix as a stop
 #: does. Words that share a bucket with a frequent one are kept: the more words there are, the less is saved, nothing is lost.
 WORDS = 1 << 25
+PAIRS = 4_000_000  # pairs of neighbours whose buckets one task adds up
+SPARE = 16  # bits for each frequent pair, fewer beyond MOST bits: more suffixes are kept then, nothing is lost
+MOST = 1 << 29
 _FLUSH = 1 << 21  # words that are combined at a time
 _WORDS = [f"w{k + 1}" for k in range(DEPTH)]
 _STOP = b"."
@@ -43,6 +51,24 @@ def words(data: bytes) -> list[bytes]:
     return [*data.translate(_FOLD).replace(_STOP, b" . ").split(), _STOP]
 
 
+def _mix(h: np.ndarray | np.uint64, word: np.ndarray) -> np.ndarray:
+    """The hash of a phrase with one more word, whose crc32 is given."""
+    h = (h ^ word) * _MIX
+    return h ^ (h >> np.uint64(29))
+
+
+def _bit(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
+@dataclass
+class Known:
+    """What may be in a phrase: a bit for each bucket of words and, once counted, of pairs of words."""
+
+    words: np.ndarray
+    pairs: np.ndarray | None = None
+
+
 def _combined(keys: list[np.ndarray], count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(places of one row each, totals) of equal rows; the first key counts most."""
     order = np.lexsort(keys[::-1])
@@ -60,6 +86,11 @@ def _word_buckets(lang: str, book: pa.Array, number: int) -> np.ndarray:
     return np.array([crc32(w, seed) for w in book.to_pylist()], np.int64) % number
 
 
+def _crcs(book: pa.Array) -> np.ndarray:
+    """By the number of a word plus 1."""
+    return np.array([0, *map(crc32, book.to_pylist())], np.uint64)
+
+
 @dataclass
 class Suffixes:
     """Different suffixes of some texts of one language: numbers of ``book`` plus 1 for each word, 0 beyond the end."""
@@ -70,19 +101,23 @@ class Suffixes:
     count: np.ndarray
 
     @classmethod
-    def of(cls, lang: str, tokens: list[pa.Array], frequent: np.ndarray | None = None) -> Suffixes:
-        """One row for each word; ``frequent`` has a bit for each bucket of words."""
+    def of(cls, lang: str, tokens: list[pa.Array], known: Known | None = None) -> Suffixes:
+        """One row for each word."""
         coded = pa.concat_arrays(tokens).dictionary_encode()
         ids = np.concatenate((coded.indices.to_numpy().astype(np.int32) + np.int32(1), np.zeros(DEPTH, np.int32)))
         ids[ids == coded.dictionary.index(_STOP).as_py() + 1] = 0
-        if frequent is not None:
-            at = _word_buckets(lang, coded.dictionary, 8 * len(frequent))
-            rare = np.concatenate(([False], (frequent[at >> 3] >> (at & 7)) & 1 == 0))
+        if known is not None:
+            rare = np.concatenate(([False], ~_bit(known.words, _word_buckets(lang, coded.dictionary, 8 * len(known.words)))))
             ids[rare[ids]] = 0
+        joined = ids > 0  # with the word before
+        if known is not None and known.pairs is not None:
+            each = _crcs(coded.dictionary)[ids]
+            bucket = _mix(_mix(np.uint64(crc32(lang.encode())), each[:-1]), each[1:]) >> np.uint64(32)
+            joined[1:] &= _bit(known.pairs, (bucket * np.uint64(8 * len(known.pairs)) >> np.uint64(32)).astype(np.int64))
         n = len(ids) - DEPTH
         columns = [ids[:n]]
         for k in range(1, DEPTH):
-            columns.append(np.where(columns[-1] > 0, ids[k: k + n], np.int32(0)))
+            columns.append(np.where((columns[-1] > 0) & joined[k: k + n], ids[k: k + n], np.int32(0)))
         real = columns[0] > 0
         return cls(lang, coded.dictionary, [c[real] for c in columns], np.ones(int(real.sum()), np.int64))
 
@@ -91,13 +126,15 @@ class Suffixes:
         at, count = _combined([c[k].astype(np.int64) << 32 | c[k + 1] for k in range(0, DEPTH, 2)], self.count)
         return Suffixes(self.lang, self.book, [x[at] for x in self.columns], count)
 
-    def buckets(self, number: int) -> Iterator[np.ndarray]:
+    def hashes(self) -> Iterator[np.ndarray]:
         """Of the first 1, 2, ... words of every row, the same in all tasks."""
-        each = np.array([0, *map(crc32, self.book.to_pylist())], np.uint64)
-        h = np.full(len(self.count), crc32(self.lang.encode()), np.uint64)
+        each, h = _crcs(self.book), np.uint64(crc32(self.lang.encode()))
         for c in self.columns:
-            h = (h ^ each[c]) * _MIX
-            h ^= h >> np.uint64(29)
+            h = _mix(h, each[c])
+            yield h
+
+    def buckets(self, number: int) -> Iterator[np.ndarray]:
+        for h in self.hashes():
             yield (h % np.uint64(number)).astype(np.int64)
 
     def words(self, column: np.ndarray) -> pa.Array:
@@ -109,7 +146,7 @@ def _texts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
         F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"))
 
 
-def _each(rows: DataFrame, use: Callable[[Suffixes], Iterator[pa.RecordBatch]], schema: str, frequent: np.ndarray | None) -> DataFrame:
+def _each(rows: DataFrame, use: Callable[[Suffixes], Iterator[pa.RecordBatch]], schema: str, known: Known | None) -> DataFrame:
     """``use`` of the suffixes of all texts, _FLUSH words at a time."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,17 +170,17 @@ def _each(rows: DataFrame, use: Callable[[Suffixes], Iterator[pa.RecordBatch]],
                     for key in [*{**open_, **packed}]:
                         arrays = pack(key) if key in open_ else packed[key]
                         del packed[key]
-                        yield from use(Suffixes.of(key, arrays, frequent))
+                        yield from use(Suffixes.of(key, arrays, known))
                         del arrays
                     n = 0
         for key in [*{**open_, **packed}]:
-            yield from use(Suffixes.of(key, pack(key) if key in open_ else packed[key], frequent))
+            yield from use(Suffixes.of(key, pack(key) if key in open_ else packed[key], known))
             del packed[key]
 
     return rows.mapInArrow(cut, schema)
 
 
-def _loads(rows: DataFrame, number: int, hot: Sequence[np.ndarray], frequent: np.ndarray | None) -> DataFrame:
+def _loads(rows: DataFrame, number: int, hot: Sequence[np.ndarray], known: Known | None) -> DataFrame:
     """kind, lang, bucket, n. ``load``: suffixes by their first len(hot) + 1 words, of those that begin with a chain of
     extended prefixes; without any also ``word``, by the buckets of words, and ``total``, all words of a language."""
 
@@ -168,10 +205,62 @@ def _loads(rows: DataFrame, number: int, hot: Sequence[np.ndarray], frequent: np
             yield rows_of("word", bucket, np.add.reduceat(f[order], first))
             yield rows_of("total", None, np.array([len(s.count)]))
 
-    return _each(rows, count, "kind string, lang string, bucket bigint, n bigint", frequent).groupBy("kind", "lang", "bucket").agg(F.sum("n").alias("n"))
+    return _each(rows, count, "kind string, lang string, bucket bigint, n bigint", known).groupBy("kind", "lang", "bucket").agg(F.sum("n").alias("n"))
+
+
+def _pairs(rows: DataFrame, size: int, least: int, words: np.ndarray) -> np.ndarray:
+    """Bits, a power of two, by the bucket of a pair of neighbours (its share of 2^32): whether the pair may occur ``least`` times."""
+    parts = 1 + size // 4 // PAIRS
+    edges = np.arange(parts + 1, dtype=np.int64) * (1 << 32) // parts
+
+    def pack(s: Suffixes) -> Iterator[pa.RecordBatch]:
+        _, h = itertools.islice(s.hashes(), 2)
+        bucket, n = np.unique((h[s.columns[1] > 0] >> np.uint64(32)).astype(np.uint32), return_counts=True)
+        n = np.minimum(n, least).astype(np.uint32)  # more need not be told apart
+        cut = np.searchsorted(bucket, edges)
+        part = np.flatnonzero(np.diff(cut))
+        blocks = []
+        for a, z in zip(cut[part].tolist(), cut[part + 1].tolist()):
+            # steps between sorted numbers and their counts, the bytes of one weight side by side
+            both = np.concatenate((np.diff(bucket[a:z], prepend=np.uint32(0)), n[a:z]))
+            blocks.append(pa.compress(both.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(part, pa.int32()), pa.array(np.diff(cut)[part], pa.int64()), pa.array(blocks, pa.binary())], ["part", "n", "block"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[np.ndarray] = []
+        last = None
+
+        def close() -> pa.RecordBatch:
+            bucket, n = (np.concatenate(x) for x in zip(*waiting))
+            at, total = _combined([bucket], n)
+            return pa.RecordBatch.from_arrays([pa.array(bucket[at[total >= least]])], ["bucket"])
+
+        for b in batches:
+            for j, (part, n) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
+                if part != last and waiting:
+                    yield close()
+                    waiting.clear()
+                last = part
+                data = pa.decompress(b.column(2)[j].as_buffer(), decompressed_size=8 * n, codec="zstd")
+                both = np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
+                waiting.append((np.cumsum(both[:n], dtype=np.int64), both[n:].astype(np.int64)))
+        if waiting:
+            yield close()
+
+    sent = _each(rows, pack, "part int, n bigint, block binary", Known(words))
+    found = store(sent.repartition(min(parts, PARTS), "part").sortWithinPartitions("part").mapInArrow(meet, "bucket bigint"), "phrase-pairs")
+    bits = 1 << max(15, min(SPARE * found.df.count(), MOST).bit_length())  # a bitmap in SQL has 2^15
+    spot = F.shiftright("bucket", 33 - bits.bit_length()) + 1
+    maps = found.df.groupBy(F.bitmap_bucket_number(spot).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("m"))
+    out = np.zeros(bits >> 3, np.uint8)
+    for k, m in zip(*(c.to_pylist() for c in maps.toArrow().columns)):  # SPARE bits a frequent pair
+        out[(k - 1) << 12: k << 12] = np.frombuffer(m, np.uint8)
+    found.delete()
+    return out
 
 
-def _blocks(rows: DataFrame, hot: Sequence[np.ndarray], group_of: np.ndarray, frequent: np.ndarray) -> DataFrame:
+def _blocks(rows: DataFrame, hot: Sequence[np.ndarray], group_of: np.ndarray, known: Known) -> DataFrame:
     """grp, lang, block: the suffixes of one group as compressed Arrow data."""
     number = len(group_of)
 
@@ -219,7 +308,7 @@ def _blocks(rows: DataFrame, hot: Sequence[np.ndarray], group_of: np.ndarray, fr
                 [pa.array([int(group_[here[0]])], pa.int32()), pa.array([s.lang], pa.string()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
                 ["grp", "lang", "block"])
 
-    return _each(rows, pack, "grp int, lang string, block binary", frequent)
+    return _each(rows, pack, "grp int, lang string, block binary", known)
 
 
 @dataclass
@@ -296,20 +385,22 @@ def count_phrases(docs: DataFrame, least: int = 30, text_col: str = "text", lang
     """(nodes, totals): stored (lang, phrase, k, f) of all phrases of 1 to DEPTH words with ``least`` occurrences or more,
     and (lang, n) of all words.
 
-    What goes through the driver is bounded: FINE numbers for BUDGET words of the texts, and a number for each bucket of words.
+    What goes through the driver is bounded: FINE numbers for BUDGET words of the texts, a number for each bucket of words and
+    MOST bits for pairs.
     """
     rows = _texts(docs, text_col, lang_col)
     size = rows.agg(F.sum(F.octet_length("data"))).head()[0] or 0
     number = FINE * (1 + size // 4 // BUDGET)  # four bytes a word or more, else buckets are larger and more are extended
     hot: list[np.ndarray] = []
-    load, totals, frequent = np.zeros(number, np.int64), None, None
+    load, totals, known = np.zeros(number, np.int64), None, None
     for k in range(DEPTH):
-        found = store(_loads(rows, number, hot, frequent), "phrase-loads").df
+        found = store(_loads(rows, number, hot, known), "phrase-loads").df
         if not k:
             totals = found.where("kind = 'total'").select("lang", "n")
-            known = found.where((F.col("kind") == "word") & (F.col("n") >= least)).select("bucket").toArrow().column(0).to_numpy()
+            often = found.where((F.col("kind") == "word") & (F.col("n") >= least)).select("bucket").toArrow().column(0).to_numpy()
             frequent = np.zeros(WORDS >> 3, np.uint8)
-            np.bitwise_or.at(frequent, known >> 3, np.left_shift(1, known & 7).astype(np.uint8))
+            np.bitwise_or.at(frequent, often >> 3, np.left_shift(1, often & 7).astype(np.uint8))
+            known = Known(frequent, _pairs(rows, size, least, frequent))
         here = np.zeros(number, np.int64)
         for r in found.where("kind = 'load'").select("bucket", "n").collect():  # one row a bucket
             here[r.bucket] = r.n
@@ -324,7 +415,7 @@ def count_phrases(docs: DataFrame, least: int = 30, text_col: str = "text", lang
             group, held = group + 1, 0
         group_of[b] = group
         held += weight
-    return store(_trees(_blocks(rows, hot, group_of, frequent), group + 1, least), "phrase-nodes"), totals
+    return store(_trees(_blocks(rows, hot, group_of, known), group + 1, least), "phrase-nodes"), totals
 
 
 def _exact(c: Column) -> Column:
