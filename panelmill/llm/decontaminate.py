@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from panelmill.llm.common import ranked, store, texts
+from panelmill.llm.common import ranked, slices, store, texts
 from panelmill.llm.warc_index import open_folder
 from panelmill.session import scratch_path
 
@@ -246,7 +246,7 @@ def find_items(
     item_type = to_arrow_type(benchmark.schema[item_col].dataType)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _buffered(batches, 1) if len(names) > 1 else batches:
+        for b in _buffered(batches, 1) if len(names) > 1 else slices(batches):
             found = b.column(1).to_pylist()
             for name in names:
                 index = _index(folder, name, rate)
@@ -268,7 +268,7 @@ def drop_contaminated(
     folder, names = item_blocks(benchmark, item_col, item_text, least)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _buffered(batches, at) if len(names) > 1 else batches:
+        for b in _buffered(batches, at) if len(names) > 1 else slices(batches):
             found = [t or "" for t in b.column(at).to_pylist()]
             clean = np.ones(len(found), bool)
             for name in names:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import free_name, store, texts
+from panelmill.llm.common import free_name, slices, store, texts
 from panelmill.llm.components import components
 from panelmill.session import Stored
 
@@ -70,7 +70,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             sizes, nodes, sigs = [], [], []
             for text in b.column(1).to_pylist():
                 s = shingle_set(text)
@@ -107,7 +107,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -
     found = rows.join(chosen, (F.col("text_key") == F.col("key")) & F.col("doc_id").eqNullSafe(F.col("id"))).select("node", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             sets = [shingle_set(t).view(np.int64) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
 

@@ -18,9 +18,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from panelmill.llm.common import texts
+from panelmill.llm.common import slices, texts
 
-#: Words, pieces and pairs that a Python worker remembers, each; what was not used for as long is forgotten.
+#: Words and pieces that a Python worker remembers, each, and half the pairs; what was not used for as long is forgotten.
 REMEMBER = 200_000
 #: The end of patterns in which a blank can only stand first in a match, unless white space is beside it.
 BLANK_FIRST = r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -168,7 +168,7 @@ class PrefixBPE:
                 pair = last[begin] << 32 | token
                 fit = known.get(pair)
                 if fit is None:
-                    if len(known) >= 8 * REMEMBER:
+                    if len(known) >= 2 * REMEMBER:
                         known.clear()
                     fit = known[pair] = fits(last[begin], token)
                 if fit:
@@ -188,13 +188,14 @@ class PrefixBPE:
         whole = self.ranks.get(piece)
         return [whole] if whole is not None else self.walk(self.extend(piece, [], 0))
 
-    def _pieces(self, text: str) -> bytes:
+    def _pieces(self, text: str, word: bool = False) -> bytes:
+        """``word``: the caller remembers the ids of ``text``, so a piece that is all of it need not be kept twice."""
         out = []
         for piece in self.pattern.findall(text):
             ids = self.pieces.get(piece)
             if ids is None:
                 ids = np.array(self.encode_piece(piece.encode("utf-8", "replace")), "<u4").tobytes()
-                if len(piece) <= 64:  # long ones are rare, and keeping them would make the memory unbounded
+                if len(piece) <= 64 and not (word and len(piece) == len(text)):  # long ones are rare, and keeping them would make the memory unbounded
                     self.pieces.put(piece, ids)
             out.append(ids)
         return b"".join(out)
@@ -216,7 +217,7 @@ class PrefixBPE:
             if ids is None and (ids := words.get(word)) is None:
                 if not word or word[0].isspace() or word[-1].isspace():
                     return self._pieces(text)
-                ids = self._pieces(" " + word)
+                ids = self._pieces(" " + word, len(word) <= 64)
                 if len(word) <= 64:
                     words.put(word, ids)
             out.append(ids)
@@ -295,7 +296,7 @@ def encode_documents(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(vocabulary, pattern)
-        for b in (x.slice(i, 512) for x in batches for i in range(0, x.num_rows, 512)):  # ids take more room than texts
+        for b in slices(batches):
             counts, shas, backs, lists = [], [], [], []
             for text in b.column(1).to_pylist():
                 packed = bpe.encode_packed(text)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelmill.llm.common import store, texts
+from panelmill.llm.common import slices, store, texts
 
 #: Labelled rows used for the fit, about: the ones whose hash of the id is in the share of all hashes that gives so many.
 SAMPLE = 20_000
@@ -70,7 +70,7 @@ def add_statistics(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             m = np.array([statistics(t) for t in b.column(1).to_pylist()], np.float32).reshape(b.num_rows, len(FEATURES))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(m[:, j]) for j in range(m.shape[1]))], ["doc_id", *FEATURES])
 
@@ -190,7 +190,7 @@ def score_quality(
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_scores(forest, b.column(1).to_pylist()))], ["doc_id", "score"])
 
     return rows.mapInArrow(score, f"doc_id {kind}, score double").select(
@@ -207,7 +207,7 @@ def drop_low_quality(
     at = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array(_scores(forest, b.column(at).to_pylist()) >= threshold))
 
     return docs.mapInArrow(keep, docs.schema)
