@@ -208,6 +208,19 @@ def _loads(rows: DataFrame, number: int, hot: Sequence[np.ndarray], known: Known
     return _each(rows, count, "kind string, lang string, bucket bigint, n bigint", known).groupBy("kind", "lang", "bucket").agg(F.sum("n").alias("n"))
 
 
+def _often(waiting: list[np.ndarray], least: int) -> np.ndarray:
+    """The buckets with ``least`` pairs or more; a number of ``waiting``, which is emptied, holds a bucket and below it a count."""
+    both = np.concatenate(waiting)
+    waiting.clear()
+    both.sort()
+    new = np.ones(len(both), bool)
+    new[1:] = (both[1:] ^ both[:-1]) >> np.uint64(32) > 0
+    first = np.flatnonzero(new)
+    bucket = (both[first] >> np.uint64(32)).view(np.int64)
+    both &= np.uint64(0xFFFFFFFF)
+    return bucket[np.add.reduceat(both, first) >= least]
+
+
 def _pairs(rows: DataFrame, size: int, least: int, words: np.ndarray) -> np.ndarray:
     """Bits, a power of two, by the bucket of a pair of neighbours (its share of 2^32): whether the pair may occur ``least`` times."""
     parts = 1 + size // 4 // PAIRS
@@ -232,19 +245,16 @@ def _pairs(rows: DataFrame, size: int, least: int, words: np.ndarray) -> np.ndar
         last = None
 
         def close() -> pa.RecordBatch:
-            bucket, n = (np.concatenate(x) for x in zip(*waiting))
-            at, total = _combined([bucket], n)
-            return pa.RecordBatch.from_arrays([pa.array(bucket[at[total >= least]])], ["bucket"])
+            return pa.RecordBatch.from_arrays([pa.array(_often(waiting, least))], ["bucket"])
 
         for b in batches:
             for j, (part, n) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist())):
                 if part != last and waiting:
                     yield close()
-                    waiting.clear()
                 last = part
                 data = pa.decompress(b.column(2)[j].as_buffer(), decompressed_size=8 * n, codec="zstd")
                 both = np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view(np.uint32).ravel()
-                waiting.append((np.cumsum(both[:n], dtype=np.int64), both[n:].astype(np.int64)))
+                waiting.append(np.cumsum(both[:n], dtype=np.uint64) << np.uint64(32) | both[n:])
         if waiting:
             yield close()
 
