@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from panelmill.llm.common import ranked, slices, store, texts
+from panelmill.llm.common import forget, ranked, remembered, slices, store, texts
 from panelmill.llm.warc_index import open_folder
 from panelmill.session import scratch_path
 
@@ -164,7 +163,7 @@ class ItemIndex:
         return out
 
 
-@lru_cache(maxsize=2)
+@remembered(2)
 def _index(folder: str, name: str, rate: float) -> ItemIndex:
     """One index for each block in each worker process."""
     where, root = open_folder(folder)
@@ -215,6 +214,7 @@ def item_blocks(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
 
 def _buffered(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[pa.RecordBatch]:
     """Batches joined up to BLOCK bytes of text, so that few of them meet many blocks of items."""
+    forget(_index)
     waiting, size = [], 0
     for b in batches:
         waiting.append(b)
@@ -246,7 +246,7 @@ def find_items(
     item_type = to_arrow_type(benchmark.schema[item_col].dataType)
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _buffered(batches, 1) if len(names) > 1 else slices(batches):
+        for b in _buffered(batches, 1) if len(names) > 1 else slices(batches, using=_index):
             found = b.column(1).to_pylist()
             for name in names:
                 index = _index(folder, name, rate)
@@ -268,7 +268,7 @@ def drop_contaminated(
     folder, names = item_blocks(benchmark, item_col, item_text, least)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _buffered(batches, at) if len(names) > 1 else slices(batches):
+        for b in _buffered(batches, at) if len(names) > 1 else slices(batches, using=_index):
             found = [t or "" for t in b.column(at).to_pylist()]
             clean = np.ones(len(found), bool)
             for name in names:

@@ -10,7 +10,6 @@ from __future__ import annotations
 import base64
 import hashlib
 from collections.abc import Iterator
-from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -18,10 +17,10 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from panelmill.llm.common import slices, texts
+from panelmill.llm.common import remembered, slices, texts
 
 #: Words and pieces that a Python worker remembers, each, and half the pairs; what was not used for as long is forgotten.
-REMEMBER = 200_000
+REMEMBER = 100_000
 #: The end of patterns in which a blank can only stand first in a match, unless white space is beside it.
 BLANK_FIRST = r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -276,9 +275,9 @@ class EditableEncoding:
         return out
 
 
-@lru_cache(maxsize=4)
+@remembered(4)
 def load(path: str, pattern: str) -> PrefixBPE:
-    """One encoder for each worker process."""
+    """One encoder for each worker process that encodes."""
     return PrefixBPE.from_file(path, pattern)
 
 
@@ -295,8 +294,8 @@ def encode_documents(
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(vocabulary, pattern)
-        for b in slices(batches):
+        for b in slices(batches, using=load):
+            bpe = load(vocabulary, pattern)
             counts, shas, backs, lists = [], [], [], []
             for text in b.column(1).to_pylist():
                 packed = bpe.encode_packed(text)
