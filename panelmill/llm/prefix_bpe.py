@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from panelmill.llm.common import remembered, slices, texts
 
 #: Words and pieces that a Python worker remembers, each, and half the pairs; what was not used for as long is forgotten.
-REMEMBER = 100_000
+REMEMBER = 200_000
 #: The end of patterns in which a blank can only stand first in a match, unless white space is beside it.
 BLANK_FIRST = r"| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
