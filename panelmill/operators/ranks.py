@@ -14,6 +14,7 @@ from panelmill.session import Stored, materialise
 FLAT = 1e-12  # fixed value: a deviation below this counts as constant
 PART = 500_000  # rows that a task ranks
 RUN = 1 << 18  # rows whose values a task counts before it sends them
+AT_ONCE = 6  # features whose values are on disk at the same time
 SAMPLE = 100_000  # rows that choose the cuts between tasks; results do not depend on them
 
 
@@ -103,6 +104,15 @@ def _merged(x: np.ndarray, n: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np
     return x[at], np.add.reduceat(n[order], at), np.add.reduceat(s[order], at)
 
 
+def _pack(v: np.ndarray) -> bytes:
+    """First bytes of all numbers, then their second bytes and so on: neighbours share the high ones, which then take no room on disk."""
+    return v.view(np.uint8).reshape(len(v), v.itemsize).T.tobytes()
+
+
+def _unpack(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).reshape(-1)
+
+
 def _rank_sums(ranked: DataFrame, features: Sequence[str], cuts: Sequence[np.ndarray], middle: float, parts: int) -> DataFrame:
     """``feature, cov, var``: sums of products of the centred ranks, of each feature with ``ry`` (centred by ``middle``) and itself.
 
@@ -127,7 +137,7 @@ def _rank_sums(ranked: DataFrame, features: Sequence[str], cuts: Sequence[np.nda
             x, n, s = _merged(whole.column(j + 1).to_numpy(), np.ones(len(r), np.int64), r)
             edges = np.r_[0, np.searchsorted(x, cut, side="right"), len(x)]
             some = np.flatnonzero(np.diff(edges))
-            pieces = [[v[edges[k]: edges[k + 1]].tobytes() for k in some] for v in (x, n.astype(np.int32), s)]
+            pieces = [[_pack(v[edges[k]: edges[k + 1]]) for k in some] for v in (x, n.astype(np.int32), s)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.full(len(some), j, np.int32)), pa.array(some.astype(np.int32)), *(pa.array(p, pa.binary()) for p in pieces)],
                 ["feature", "range", "x", "n", "s"])
@@ -145,7 +155,7 @@ def _rank_sums(ranked: DataFrame, features: Sequence[str], cuts: Sequence[np.nda
             yield close(key, held)
 
     def close(key: tuple[int, int], held: list) -> pa.RecordBatch:
-        x, n, s = (np.frombuffer(b"".join(d[i] for d in held), t) for i, t in enumerate((np.float64, np.int32, np.float64)))
+        x, n, s = (np.concatenate([_unpack(d[i], t) for d in held]) for i, t in enumerate((np.float64, np.int32, np.float64)))
         x, n, s = _merged(x, n.astype(np.int64), s)
         rank = np.cumsum(n) - (n - 1) / 2  # inside the range
         out = (n.sum(), s.sum(), (rank * s).sum(), (n * rank).sum(), (n * rank * rank).sum())
@@ -187,12 +197,14 @@ def top_correlations(df: DataFrame, target: str, features: Sequence[str], top_n:
     """
     cols = [target, *features]
     names = ["y", *[f"f{i}" for i in range(1, len(cols))]]
-    base = materialise(df.select(
+    stored = Stored(df.select(
         *[F.col(f"`{c}`").cast("double").alias(n) for n, c in zip(names, cols)], F.monotonically_increasing_id().alias("_row")), "ranked-features")
+    base = stored.df
     n = base.count()
     stats = {r["i"]: r for r in _spans(base.select(*names)).collect()}  # a row a column
     varied = {k: cols[i] for i, k in enumerate(names) if i > 0 and stats.keys() >= {0, i} and stats[0]["varied"] and stats[i]["varied"]}
     if not varied:
+        stored.delete()
         return df.sparkSession.createDataFrame([], "feature string, spearman double")
     if all(stats[i]["n"] == n for i, k in enumerate(names) if k == "y" or k in varied):
         ranges = max(1, math.ceil(n / PART))
@@ -201,7 +213,12 @@ def top_correlations(df: DataFrame, target: str, features: Sequence[str], top_n:
         target_ranks = materialise(row_ranks(base.select("y", "_row"), [], "y", "ry", "_row", ranges).select("_row", "ry"), "target-ranks")
         middle = (n + 1) / 2
         spread = target_ranks.agg(F.sum((F.col("ry") - middle) * (F.col("ry") - middle))).head()[0]
-        sums = _rank_sums(base.join(target_ranks, "_row"), list(varied), cuts, middle, ranges * max(1, len(varied) // 4))
+        sums = None
+        for k in range(0, len(varied), AT_ONCE):  # the shuffles of some features are gone before the next ones begin
+            some = list(varied)[k: k + AT_ONCE]
+            ranked = base.select("_row", *some).join(target_ranks, "_row")
+            part = materialise(_rank_sums(ranked, some, cuts[k: k + AT_ONCE], middle, ranges * math.ceil(len(some) / 4)), "rank-sums")
+            sums = part if sums is None else sums.unionByName(part)
         r = F.try_divide("cov", F.sqrt(F.col("var") * F.lit(spread)))
         r = F.when(r.isNull() | F.isnan(r), 0.0).otherwise(F.greatest(F.least(r, F.lit(1.0)), F.lit(-1.0)))
         label = F.create_map(*[F.lit(v) for pair in varied.items() for v in pair])
@@ -210,6 +227,7 @@ def top_correlations(df: DataFrame, target: str, features: Sequence[str], top_n:
         stacked = F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(k).alias("x")) for k, c in varied.items()])).alias("f")
         long = base.select("y", stacked).select("f.*", "y").where("x is not null and y is not null")
         scored = rank_correlation(long, ["feature"], "x", "y")
+    stored.delete()  # both ways have read it
     return scored.orderBy(F.abs("spearman").desc(), "feature").limit(top_n)
 
 

@@ -1,13 +1,16 @@
 import re
+import time
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from panelmill import session
 from panelmill.operators import metrics as E
 from panelmill.operators import ranks as R
-from panelmill.session import materialise
+from panelmill.session import Stored, materialise
 
 
 def plan(df):
@@ -57,3 +60,44 @@ def test_daily_metrics_by_parts_are_the_same(spark, monkeypatch):
     assert f", {parts})" in plan(out).split("Exchange hashpartitioning(k")[1].split("\n")[0]
     assert {tuple(r) for r in out.select("k", F.round("ic_spearman", 12)).collect()} == {
         tuple(r) for r in E.regression_metrics(df, ["k"]).select("k", F.round("ic_spearman", 12)).collect()}
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    """They stayed until the driver's next garbage collection: all_correlations held those of the dataset beside its own."""
+    was, before = spark.conf.get(session.CLEANUP, "false"), shuffle_files(spark)
+    with ThreadPool(3) as pool:
+        tables = pool.map(lambda k: Stored(spark.range(5000).repartition(3, "id").groupBy((F.col("id") % k).alias("k")).count(), "left"), (3, 5, 7))
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert [t.df.count() for t in tables] == [3, 5, 7]
+    assert spark.conf.get(session.CLEANUP) == was
+    for t in tables:
+        t.delete()
+
+
+def test_correlations_take_a_few_features_at_a_time(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    pdf = pd.DataFrame(rng.integers(0, 40, (400, 7)).astype(float), columns=[f"x{i}" for i in range(7)])
+    df = spark.createDataFrame(pdf.assign(y=pdf.x0 - pdf.x3 + rng.normal(size=400)))
+    real, sizes = R._rank_sums, []
+    monkeypatch.setattr(R, "_rank_sums", lambda ranked, features, *rest: (sizes.append(len(features)), real(ranked, features, *rest))[1])
+    found = {}
+    for at_once in (2, 100):
+        monkeypatch.setattr(R, "AT_ONCE", at_once)
+        found[at_once] = {r["feature"]: r["spearman"] for r in R.top_correlations(df, "y", list(pdf.columns)).collect()}
+    assert sizes == [2, 2, 2, 1, 7]
+    want = pdf.rank().corrwith(df.toPandas().y.rank()).to_dict()
+    assert found[2] == pytest.approx(found[100], abs=1e-12)
+    assert found[2] == pytest.approx(want, abs=1e-9)
+
+
+def test_numbers_packed_by_bytes_are_read_back():
+    for v in (np.array([1.5, -0.0, np.nan, np.inf, 3e-300]), np.array([3, -1, 2**31 - 1], np.int32), np.zeros(0)):
+        assert R._unpack(R._pack(v), v.dtype.type).tobytes() == v.tobytes()
